@@ -184,15 +184,119 @@ SHEET_NAMES = {
     "product_dim": "product_Dim",
 }
 
-# Page markers: where the landed markup keeps each field. One entry per field:
-# field, element, parts of its class, parts of an ancestor's class, texts of
-# which one must occur, table cell, attribute read instead of the text.
-CREATOR_FIELDS = [
-    ("tiktok_link", "a", (), (), (), 0, "href", "tiktok.com/@"),
-    ("mcn", "div", ("text-base-666",), ("mcn",), (), 0, "", ""),
-    ("debut_text", "div", ("text-base-666",), (), ("Debut Time : ",), 0, "", ""),
-    ("bio_flex", "div", ("flex-1", "text-base-666"), ("flex", "items-center"), (), 0, "", ""),
-    ("target_sexual", "span", (), (), ("Majority", "Gender Balance"), 0, "", ""),
-    ("target_age", "span", (), ("flex", "gap-[4px]"), ("-",), 0, "", ""),
+# Page markers: where landed markup keeps each field. Class names and texts are
+# looked for as parts of the class attribute and of the text.
+#   tag, cls      the element; ``own`` / ``text``: one of these occurs in its own
+#                 / whole text; ``attr``: read this attribute, ``has`` is part of it
+#   within        class parts of an ancestor; ``within_text``: part of its text
+#   inside        (tag, class part, n): the n-th such element holds or is it
+#   after         (class part, text): it is the first such element past this one
+#   part          class part of the descendant that is read instead
+CREATOR_RULES = [
+    {"field": "tiktok_link", "tag": "a", "attr": "href", "has": "tiktok.com/@"},
+    {"field": "mcn", "tag": "div", "cls": ["text-base-666"], "within": ["mcn"]},
+    {"field": "debut_text", "tag": "div", "cls": ["text-base-666"], "text": ["Debut Time : "]},
+    {"field": "bio", "tag": "div", "after": ("", "Creator Bio:")},
+    {"field": "target_sexual", "tag": "span", "own": ["Majority", "Gender Balance"]},
+    {"field": "target_age", "tag": "span", "own": ["-"], "within": ["flex", "gap-[4px]"]},
 ]
-BIO_LABEL = "Creator Bio:"
+SHOP_CREATOR_RULES = [
+    *CREATOR_RULES,
+    {
+        "field": "bio_fallback",
+        "tag": "div",
+        "cls": ["flex-1", "text-base-666"],
+        "within": ["flex", "items-center", "gap-[2px]"],
+    },
+    {"field": "followers_text", "tag": "div", "cls": ["table-row"], "text": ["Followers"]},
+]
+PRODUCT_CREATOR_RULES = [
+    *CREATOR_RULES,
+    {
+        "field": "bio_fallback",
+        "tag": "div",
+        "cls": ["flex-1", "text-base-666"],
+        "within": ["flex", "items-center"],
+    },
+    {
+        "field": "followers_text",
+        "tag": "div",
+        "own": ["k", "m"],
+        "within": ["table-row"],
+        "within_text": "Followers",
+    },
+]
+PRODUCT_RULES = [
+    {"field": "product_link", "tag": "a", "text": ["View on TikTok"], "attr": "href"},
+    {"field": "rating_text", "tag": "span", "text": ["/5"]},
+    {"field": "reviews_text", "tag": "span", "text": ["Reviews:"]},
+    {"field": "skus_text", "tag": "div", "cls": ["product-sku"]},
+]
+VIDEO_RULES = [
+    {"field": "creator", "tag": "div", "cls": ["text-ellipsis1", "font-medium"]},
+    {"field": "publish_date", "tag": "div", "after": ("text-base-999", "Publish Date")},
+    {"field": "video_duration", "tag": "div", "after": ("text-base-999", "Duration")},
+    {"field": "ad_period", "tag": "div", "cls": ["info"], "own": ["Days"]},
+    {"field": "views", "tag": "div", "cls": ["value"], "after": ("labelViews", ""), "part": "block"},
+    {"field": "item_sold", "tag": "div", "cls": ["value"], "after": ("labelSales", ""), "part": "block"},
+    {
+        "field": "new_followers_generated",
+        "tag": "div",
+        "cls": ["value"],
+        "after": ("labelNew Followers", ""),
+        "part": "block",
+    },
+    {
+        "field": "ad_view_ratio",
+        "tag": "div",
+        "cls": ["value"],
+        "after": ("labelAd View Ratio", ""),
+        "part": "block",
+    },
+    {
+        "field": "ad_revenue_ratio",
+        "tag": "div",
+        "cls": ["value"],
+        "after": ("labelAd Revenue Ratio", ""),
+        "part": "block",
+    },
+    {
+        "field": "ads_spending",
+        "tag": "div",
+        "cls": ["value"],
+        "after": ("labelAd Spend", ""),
+        "part": "block",
+    },
+    {"field": "ad_roas", "tag": "div", "cls": ["value"], "after": ("labelAd ROAS", ""), "part": "block"},
+]
+LIVE_RULES = [
+    {"field": "creator", "tag": "div", "cls": ["text-ellipsis1", "font-medium", "mb-1"]},
+    {"field": "livestream_time", "tag": "span", "inside": ("div", "table-row", 2)},
+    {"field": "duration", "tag": "div", "cls": ["table-cell"], "inside": ("div", "table-row", 2)},
+]
+ROW_RULES = {
+    "shop_creator": [
+        {"field": "name", "tag": "div", "cls": ["line-clamp-1"], "inside": ("td", "", 2)},
+        {"field": "account_type", "tag": "td", "inside": ("td", "", 3)},
+    ],
+    "product": [
+        {"field": "name", "tag": "div", "cls": ["line-clamp-2"], "inside": ("td", "", 2)},
+    ],
+    "creator": [
+        {"field": "name", "tag": "div", "cls": ["line-clamp-1"], "inside": ("td", "", 2)},
+    ],
+    "video": [
+        {"field": "name", "tag": "span", "cls": ["line-clamp-2"], "inside": ("td", "", 2)},
+        {"field": "revenue", "tag": "td", "inside": ("td", "", 3)},
+        {"field": "ad_mark", "tag": "g", "attr": "id", "has": "AD"},
+    ],
+    "live": [
+        {"field": "name", "tag": "div", "cls": ["line-clamp-2"]},
+        {"field": "revenue", "tag": "td", "inside": ("td", "", 4)},
+    ],
+}
+# Metric tiles: class parts of the container, the tile, its label and its value.
+METRICS_CONTAINER = "Layout-CoreMetrics"
+METRIC_TILE = "item"
+METRIC_LABEL = ("label", "line-clamp-2")
+METRIC_VALUE = "value"

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.fixed import NA
-from snaplake.operators.keys import Seq, key_column, names, ordering
+from snaplake.operators.keys import Seq, names, ordering, with_keys
 from snaplake.operators.resume import resume_anti
 
 
@@ -59,33 +59,29 @@ def dedup_dual_key(
     name does not use up its link. Hence two plain stages: first row per name,
     then, among these, first row per link. Stored ``N/A`` links never count.
     With ``exempt_na`` rows whose link is ``N/A`` all pass the link stage.
+    Missing parents, names and links come out as ``N/A``.
 
     Each stage reduces to one row per key before its anti-join, on the same
     partitioning, so that join has no hot key and costs no further shuffle.
     """
-    parents = {f"_parent_{p}": p for p in names(parent)}
-    name_keys = [*parents, "_name"]
-    link_keys = [*parents, "_link", "_tie"]
-
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumns(
-            {
-                **{k: key_column(df, p) for k, p in parents.items()},
-                "_name": key_column(df, name),
-                "_link": key_column(df, link),
-            }
+    parent = names(parent)
+    by_name = [*parent, name]
+    by_link = [*parent, "_slot"]
+
+    def slot(exempt: Column) -> Column:
+        # An exempt row takes a slot of its own, told apart by its name: such
+        # rows neither drop each other nor meet in one group.
+        return F.when(exempt, F.concat(F.lit("name "), F.col(name))).otherwise(
+            F.concat(F.lit("link "), F.col(link))
         )
 
-    kept = dedup_first(keyed(new), name_keys, seq)
+    kept = dedup_first(with_keys(new, [*by_name, link]), by_name, seq)
     if stored is not None:
-        kept = resume_anti(kept, keyed(stored), name_keys, unique=True)
-
-    # Exempt rows are told apart by their name, so that they neither drop each
-    # other nor meet in one group.
-    exempt = (F.col("_link") == NA) & F.lit(exempt_na)
-    tie = F.when(exempt, F.col("_name").cast("string")).otherwise(F.lit(""))
-    kept = dedup_first(kept.withColumn("_tie", tie), link_keys, seq)
+        stored = with_keys(stored, [*by_name, link])
+        kept = resume_anti(kept, stored, by_name, unique=True)
+    exempt = (F.col(link) == NA) if exempt_na else F.lit(False)
+    kept = dedup_first(kept.withColumn("_slot", slot(exempt)), by_link, seq)
     if stored is not None:
-        known = keyed(stored).where(F.col("_link") != NA).withColumn("_tie", F.lit(""))
-        kept = resume_anti(kept, known, link_keys, unique=True)
+        known = stored.where(F.col(link) != NA).withColumn("_slot", slot(F.lit(False)))
+        kept = resume_anti(kept, known, by_link, unique=True)
     return kept.select(*new.columns)

@@ -11,7 +11,7 @@ from snaplake.fixed import NA
 from snaplake.functions.text import normalise_handle, normalise_key
 from snaplake.functions.values import known_or_existing, na_default
 from snaplake.operators.dedup import first_value
-from snaplake.operators.keys import Seq, key_column
+from snaplake.operators.keys import Seq, key_column, match, names
 
 
 def _lookup_key(df: DataFrame, name: str, normalise: bool, handle: str | None) -> Column:
@@ -44,13 +44,22 @@ def lookup_first(
     facts of a hot key (see :func:`snaplake.operators.keys.spread`).
     """
     keys = [f"_key_{c}" for c in on]
-    dim_keyed = dim.withColumns(
-        {k: _lookup_key(dim, c, normalise, handle) for k, c in zip(keys, on)}
-    ).withColumns({"_digest": F.xxhash64(*keys), "_value": F.col(value)})
-    first = first_value(dim_keyed, ["_digest", *keys], "_value", seq, prefer_real)
-    joined = facts.withColumns(
-        {k: _lookup_key(facts, c, normalise, handle) for k, c in zip(keys, on)}
-    ).join(first.drop("_digest"), keys, "left")
+    dim_keyed = dim.select(
+        *[_lookup_key(dim, c, normalise, handle).alias(k) for k, c in zip(keys, on)],
+        F.col(value).alias("_value"),
+        *[F.col(c).alias(f"_seq_{c}") for c in names(seq)],
+    ).withColumn("_digest", F.xxhash64(*keys))
+    order = [f"_seq_{c}" for c in names(seq)]
+    first = first_value(dim_keyed, ["_digest", *keys], "_value", order, prefer_real)
+    first = first.drop("_digest")
+    if normalise:
+        # Normalising is dear, so its result is kept for hashing and sorting.
+        facts_keyed = facts.withColumns(
+            {k: _lookup_key(facts, c, normalise, handle) for k, c in zip(keys, on)}
+        )
+        joined = facts_keyed.join(first, keys, "left")
+    else:
+        joined = facts.join(first, match([key_column(facts, c) for c in on], first, keys), "left")
     if into is None:
         return joined.select(*facts.columns, na_default(F.col("_value"), default).alias(value))
     return joined.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,12 @@ def key_column(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
+def with_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The frame with missing text keys spelled out as ``N/A``."""
+    texts = [c for c in on if isinstance(df.schema[c].dataType, T.StringType)]
+    return df.withColumns({c: key_column(df, c) for c in texts}) if texts else df
+
+
 def distinct_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """The distinct key tuples, combined before the shuffle."""
     return df.select(*[key_column(df, c).alias(c) for c in on]).distinct()
@@ -42,9 +49,13 @@ def spread(df: DataFrame, on: Sequence[str]) -> DataFrame:
     of the aggregate. Both join inputs then are plain shuffles, and only for
     those can adaptive execution split a partition that one hot key fills.
     """
-    return (
-        distinct_keys(df, on)
-        .groupBy(F.xxhash64(*on).alias("_digest"), *on)
-        .agg(F.lit(1).alias("_one"))
-        .drop("_digest", "_one")
-    )
+    keys = df.select(*[key_column(df, c).alias(c) for c in on])
+    return keys.withColumn("_digest", F.xxhash64(*on)).distinct().drop("_digest")
+
+
+def match(left: Sequence[Column], right: DataFrame, names: Sequence[str]) -> Column:
+    """Equality of left key expressions with the named columns of ``right``.
+
+    Expressions as join keys save a second copy of the key in the shuffle.
+    """
+    return reduce(lambda a, b: a & b, [l == right[n] for l, n in zip(left, names)])

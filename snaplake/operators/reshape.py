@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.functions.values import na_default
-from snaplake.operators.dedup import first_value
+from snaplake.operators.dedup import dedup_first
 from snaplake.operators.keys import Seq, names, ordering
 from snaplake.schemas import snake
 
@@ -80,15 +80,16 @@ def union_ragged(*frames: DataFrame) -> DataFrame:
     return united
 
 
-def product_dim(products: DataFrame, seq: Seq) -> DataFrame:
+def product_dim(products: DataFrame, seq: Seq, keep_seq: bool = False) -> DataFrame:
     """First link of each (shop, product), under the dimension's column names."""
-    keyed = products.select(
-        na_default(F.col("shop_link")).alias("shop_link"),
-        na_default(F.col("product_name")).alias("product_name"),
+    order = names(seq)
+    named = products.select(
+        *[na_default(F.col(c)).alias(c) for c in ("shop_link", "product_name")],
         na_default(F.col("tiktok_product_link")).alias("product_link"),
-        *names(seq),
+        *order,
     )
-    return first_value(keyed, ["shop_link", "product_name"], "product_link", seq)
+    first = dedup_first(named, ["shop_link", "product_name"], seq)
+    return first if keep_seq else first.drop(*order)
 
 
 def sync_counts(df: DataFrame, group: str, is_new: Column, is_updated: Column) -> DataFrame:

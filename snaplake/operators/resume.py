@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snaplake.operators.keys import distinct_keys, key_column, names, spread
+from snaplake.operators.keys import distinct_keys, key_column, match, names, spread
 
 ROWS_PER_SLICE = 100_000
 
@@ -18,16 +18,15 @@ def resume_anti(
     """Rows of ``new`` whose key is not among the stored keys; duplicates stay.
 
     NULL text keys count as ``N/A``. ``unique`` says that ``new`` has one row per
-    key and is partitioned by it already; then the stored side keeps that
-    partitioning, otherwise it is laid out for splitting hot keys.
+    key, without NULL, and is partitioned by it already; the stored side then
+    keeps that partitioning. Otherwise it is laid out for splitting hot keys.
     """
     on = names(on)
     if unique:
         return new.join(distinct_keys(stored, on), on, "left_anti")
     keys = [f"_key_{c}" for c in on]
-    keyed = new.withColumns({k: key_column(new, c) for k, c in zip(keys, on)})
     known = spread(stored, on).withColumnsRenamed(dict(zip(on, keys)))
-    return keyed.join(known, keys, "left_anti").select(*new.columns)
+    return new.join(known, match([key_column(new, c) for c in on], known, keys), "left_anti")
 
 
 def key_union(stored: DataFrame, new: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -21,9 +21,13 @@ def snake(header: str) -> str:
 
 
 def table_schema(table: str) -> T.StructType:
-    """Ingest order plus the table's text columns; the snapshot comes last."""
+    """Ingest order, the table's text columns, load time; the snapshot comes last."""
+    columns = [snake(h) for h in TABLE_HEADERS[table]]
     fields = [T.StructField(SEQ, T.LongType())]
-    fields += [T.StructField(snake(h), T.StringType()) for h in TABLE_HEADERS[table]]
+    fields += [T.StructField(c, T.StringType()) for c in columns if c != SNAPSHOT]
+    fields.append(T.StructField(LOAD_TIME, T.TimestampType()))
+    if SNAPSHOT in columns:
+        fields.append(T.StructField(SNAPSHOT, T.StringType()))
     return T.StructType(fields)
 
 

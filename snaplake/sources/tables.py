@@ -64,18 +64,19 @@ def snapshot_scan(
 def create_tables(spark: SparkSession, root: str) -> None:
     """Declare the warehouse tables in the session's catalog."""
     for table, schema in SCHEMAS.items():
-        fields = [f for f in schema.fields if f.name != SNAPSHOT]
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        partition = ""
-        if SNAPSHOT in schema.fieldNames():
-            columns += f", `{SNAPSHOT}` string"
-            partition = f"PARTITIONED BY (`{SNAPSHOT}`)"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        partition = f"PARTITIONED BY (`{SNAPSHOT}`)" if SNAPSHOT in schema.fieldNames() else ""
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({columns}, `{LOAD_TIME}` timestamp) "
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) "
             f"USING parquet {partition} LOCATION '{table_path(root, table)}'"
         )
 
 
+def stamp(df: DataFrame) -> DataFrame:
+    """Load time for rows that have none yet."""
+    return df.withColumn(LOAD_TIME, F.coalesce(LOAD_TIME, F.current_timestamp()))
+
+
 def _writer(df: DataFrame, partition: str | None, fmt: str = "parquet"):
     """Files sized by data volume: a large partition is split over tasks, small
     ones share a task, whatever the key distribution."""

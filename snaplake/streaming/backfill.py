@@ -61,3 +61,14 @@ def backfill_late(
     replace_snapshots(spark, enrich(affected).select(*stored.columns), path, partition)
 
 
+
+
+def catch_up(
+    loaded: DataFrame, start: str | date, end: str | date, load_day: Callable[[date], object]
+) -> list[date]:
+    """Load each missing day in order, one at a time; returns the days loaded."""
+    missing = missing_snapshots(loaded, start, end).select("day").orderBy("day")
+    days = [row["day"] for row in missing.collect()]  # no more than the spine has
+    for day in days:
+        load_day(day)
+    return days
