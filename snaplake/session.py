@@ -11,9 +11,9 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def local_session(app: str = "snaplake", cores: str = "8") -> SparkSession:
+def local_session(app: str = "snaplake", cores: str = "8", **options: str) -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -26,8 +26,10 @@ def local_session(app: str = "snaplake", cores: str = "8") -> SparkSession:
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="snaplake-warehouse-"))
-        .getOrCreate()
     )
+    for name, value in options.items():
+        builder = builder.config(name, value)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

@@ -49,9 +49,8 @@ def write_sheets(frames: Mapping[str, DataFrame], book: str, fmt: str = "parquet
 def read_sheet(
     spark: SparkSession, book: str, sheet: str, schema: T.StructType, fmt: str = "parquet"
 ) -> DataFrame:
-    """A sheet under its declared schema; empty when there is none."""
-    path = sheet_path(book, sheet)
-    if fmt == "parquet":
-        return load_first(spark, [path], schema)
-    reader = spark.read.schema(schema).options(**_options(fmt))
-    return reader.format(fmt).load(path)
+    """A sheet under its declared schema; empty when there is none.
+
+    In a CSV sheet an empty cell is a missing value, as it is in a workbook.
+    """
+    return load_first(spark, [sheet_path(book, sheet)], schema, fmt, **_options(fmt))

@@ -22,7 +22,11 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def load_first(
-    spark: SparkSession, paths: Sequence[str], schema: T.StructType, fmt: str = "parquet"
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: T.StructType,
+    fmt: str = "parquet",
+    **options: object,
 ) -> DataFrame:
     """The first path that exists; a typed empty frame when none does.
 
@@ -30,7 +34,7 @@ def load_first(
     """
     for path in paths:
         try:
-            return spark.read.schema(schema).format(fmt).load(path)
+            return spark.read.schema(schema).format(fmt).options(**options).load(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -13,10 +13,10 @@ from snaplake.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("tests", "4")
+    # As on a cluster, written intermediates go where this setting says.
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("tests", "4", **{"spark.checkpoint.dir": shared})
     session.sparkContext.setLogLevel("ERROR")
-    # Cluster-like: written intermediates go where this setting says.
-    session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
 
