@@ -112,13 +112,10 @@ def table_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = shared_dir(spark, "routed")
     schema = _fields(("key", T.LongType()), ("name", T.StringType()))
-    targets = {name: schema for name in ("creators", "products", "shops")}
-    tables.route_tables(mixed, "tag", targets, root)
+    tables.route_tables(mixed, "tag", root)
     frames = [
-        tables.load_first(spark, [tables.table_path(root, name)], schema).withColumn(
-            "table_name", F.lit(name)
-        )
-        for name in targets
+        tables.routed_table(spark, root, "tag", name, schema).withColumn("table_name", F.lit(name))
+        for name in ("creators", "products", "shops")
     ]
     return reduce(DataFrame.unionByName, frames)
 

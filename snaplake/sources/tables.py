@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from snaplake.functions.dates import label
 from snaplake.operators.dedup import dedup_first
+from snaplake.operators.keys import with_keys
 from snaplake.operators.resume import resume_anti
 from snaplake.schemas import LOAD_TIME, SCHEMAS, SEQ, SNAPSHOT, conform
 from snaplake.session import shared_dir
@@ -159,25 +160,29 @@ def has_data(*frames: DataFrame) -> bool:
     return any(not df.isEmpty() for df in frames)
 
 
-def route_tables(df: DataFrame, tag: str, tables: dict[str, T.StructType], root: str) -> None:
-    """Write each tagged share of a mixed frame to its own table."""
-    path = shared_dir(df.sparkSession, "route")
-    df.write.partitionBy(tag).mode("overwrite").parquet(path)
-    schema = T.StructType([f for f in df.schema.fields if f.name != tag])
-    for table, declared in tables.items():
-        part = load_first(df.sparkSession, [f"{path}/{tag}={table}"], schema)
-        overwrite_table(conform(part, declared), table_path(root, table))
+def route_tables(df: DataFrame, tag: str, root: str) -> None:
+    """Write each tagged share of a mixed frame to its own table, in one pass."""
+    _writer(df, tag).option("partitionOverwriteMode", "dynamic").mode("overwrite").save(root)
+
+
+def routed_table(
+    spark: SparkSession, root: str, tag: str, table: str, schema: T.StructType
+) -> DataFrame:
+    """One routed table with its declared columns; empty if no row was routed to it."""
+    return load_first(spark, [f"{root.rstrip('/')}/{tag}={table}"], schema)
 
 
 def upsert_dim(
     spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str], seq: str = SEQ
 ) -> None:
-    """Keep a dimension unique: stored rows win over new ones of the same key."""
+    """Add the keys a dimension lacks, each with its first row.
+
+    Stored rows stay as they are, so only new keys are written.
+    """
+    keys = list(keys)
+    first = dedup_first(with_keys(new, keys), keys, seq)
     stored = load_first(spark, [path], new.schema)
-    rank = "_new"
-    merged = stored.withColumn(rank, F.lit(0)).unionByName(new.withColumn(rank, F.lit(1)))
-    kept = dedup_first(merged, keys, [rank, seq]).drop(rank)
-    overwrite_table(stage(spark, kept, "dim"), path)
+    append_rows(resume_anti(first, stored, keys, unique=True), path, None)
 
 
 def dual_sink(df: DataFrame, *sinks: Callable[[DataFrame], None]) -> None:
