@@ -73,7 +73,8 @@ def run(
 ) -> dict[str, int]:
     """Load one snapshot; returns the number of rows added to each table.
 
-    ``shop_base`` is the address an id is appended to, ``live_host`` the host of
+    The landing folder is best partitioned by snapshot and page kind: each table
+    then reads its own pages only. ``shop_base`` is the address an id is appended to, ``live_host`` the host of
     livestream pages. ``max_shops`` takes that many shops in list order with all
     that belongs to them. With ``book`` the sheets of the snapshot are rewritten.
     """
@@ -151,20 +152,30 @@ def _load_content(day: _Day, pages: Callable[[str], DataFrame], live_host: str)
     unseen = resume_anti(rows, stored, [*PRODUCT, "item_title"])
     parsed = conform(records.videos(unseen), SCHEMAS["videos"])
     kept = dedup_dual_key(parsed, stored, PRODUCT, "item_title", "link", SEQ, exempt_na=True)
-    day.append("videos", _with_product_link(day, kept.drop("product_link")))
+    _append_content(day, "videos", kept)
 
     # Livestreams have no key of their own; a page taken once is not taken again.
     rows = records.with_row(pages("live"), "live")
     rows = rows.withColumn("item_title", F.col("row.name"))
     unseen = resume_anti(rows, day.stored("lives"), SEQ)
     parsed = conform(records.lives(unseen, live_host), SCHEMAS["lives"])
-    day.append("lives", _with_product_link(day, parsed.drop("product_link")))
+    _append_content(day, "lives", parsed)
 
-    # Creators may be stored after the content that names them, so the links of
-    # the whole snapshot are filled in, and its partition is written again.
-    for table in ("videos", "lives"):
-        filled = enrich_creator_links(day.stored(table), day.stored("product_creators"))
-        tables.replace_snapshots(day.spark, filled, day.path(table))
+
+def _append_content(day: _Day, table: str, new: DataFrame) -> None:
+    """Append with links filled in, then fill those of the rows stored before.
+
+    Creators may be stored after the content that names them. The partition is
+    written again only if some stored link has become known.
+    """
+    creators = day.stored("product_creators")
+    linked = _with_product_link(day, new.drop("product_link"))
+    day.append(table, enrich_creator_links(linked, creators))
+
+    stored = day.stored(table).withColumn("_before", F.col("creator_link"))
+    filled = enrich_creator_links(stored, creators)
+    if not filled.where(F.col("creator_link") != F.col("_before")).isEmpty():
+        tables.replace_snapshots(day.spark, filled.drop("_before"), day.path(table))
 
 
 def write_book(

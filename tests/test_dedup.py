@@ -6,6 +6,7 @@ import pytest
 
 from snaplake.operators.dedup import dedup_dual_key, dedup_first, first_value
 from snaplake.operators.reshape import last_values, pivot_metrics, product_dim
+from snaplake.operators.resume import resume_anti
 
 ROWS = "seq long, p string, n string, l string"
 
@@ -74,8 +75,7 @@ def test_dual_key_equals_loop(spark, exempt_na, seed):
 
 @pytest.mark.parametrize("exempt_na", [True, False])
 def test_dual_key_in_two_batches(spark, exempt_na):
-    """Resuming after any cut keeps what one batch keeps, as names of dropped
-    rows are seen again as stored links' names or not at all."""
+    """Only kept rows are stored, so the second batch starts from their keys."""
     rng = random.Random(3)
     rows = [
         (i, "p", f"n{rng.randrange(200)}", rng.choice(["N/A", f"l{rng.randrange(100)}"]))
@@ -88,6 +88,18 @@ def test_dual_key_in_two_batches(spark, exempt_na):
     assert rest == greedy([r for r in rows if r[0] >= 150], stored, exempt_na)
 
 
+@pytest.mark.parametrize("cut", [0, 1, 77, 299])
+def test_one_key_in_two_batches(spark, cut):
+    """With one key, resuming after any cut keeps what one batch keeps."""
+    rng = random.Random(cut)
+    rows = [(i, f"k{rng.randrange(120)}") for i in range(300)]
+    df = spark.createDataFrame(rows, "seq long, k string")
+    whole = {r["seq"] for r in dedup_first(df, "k", "seq").collect()}
+    first = dedup_first(df.where(df.seq < cut), "k", "seq")
+    rest = dedup_first(resume_anti(df.where(df.seq >= cut), first, "k"), "k", "seq")
+    assert {r["seq"] for r in first.union(rest).collect()} == whole
+
+
 def test_dual_key_missing_values(spark):
     rows = [(1, None, None, None), (2, None, None, "x"), (3, "N/A", "a", None)]
     kept = dedup_dual_key(
