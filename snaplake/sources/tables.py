@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from snaplake.functions.dates import label
 from snaplake.operators.dedup import dedup_first
-from snaplake.operators.keys import with_keys
+from snaplake.operators.keys import Seq, with_keys
 from snaplake.operators.resume import resume_anti
 from snaplake.schemas import LOAD_TIME, SCHEMAS, SEQ, SNAPSHOT, conform
 from snaplake.session import shared_dir
@@ -133,9 +133,10 @@ def append_new(
     df: DataFrame,
     path: str,
     keys: Sequence[str],
+    seq: Seq,
     partition: str = SNAPSHOT,
 ) -> None:
-    """Append the rows whose key is not stored yet in their partition.
+    """Append the first row of each key that its partition does not hold yet.
 
     The stored side is read for the partition range of ``df`` only. Running it
     again with the same rows adds nothing.
@@ -143,10 +144,12 @@ def append_new(
     span = df.agg(F.min(partition).alias("low"), F.max(partition).alias("high")).first()
     if span is None or span["low"] is None:
         return
+    on = [partition, *keys]
+    first = dedup_first(with_keys(df, on), on, seq)
     stored = load_first(spark, [path], df.schema).where(
         F.col(partition).between(F.lit(span["low"]), F.lit(span["high"]))
     )
-    append_rows(resume_anti(df, stored, [partition, *keys]), path, partition)
+    append_rows(resume_anti(first, stored, on, unique=True), path, partition)
 
 
 def saved_cursor(stored: DataFrame, seq: str = SEQ) -> int:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake.functions.dates import day_snapshot
-from snaplake.operators.keys import distinct_keys
+from snaplake.operators.keys import spread
 from snaplake.operators.resume import resume_anti
 from snaplake.schemas import SNAPSHOT
 from snaplake.sources.tables import replace_snapshots
@@ -38,7 +38,7 @@ def date_spine(spark: SparkSession, start: str | date, end: str | date) -> DataF
 def missing_snapshots(loaded: DataFrame, start: str | date, end: str | date) -> DataFrame:
     """Days of the spine without a loaded snapshot."""
     spine = date_spine(loaded.sparkSession, start, end)
-    return resume_anti(spine, distinct_keys(loaded, [SNAPSHOT]), SNAPSHOT)
+    return resume_anti(spine, loaded, SNAPSHOT)
 
 
 def backfill_late(
@@ -51,7 +51,7 @@ def backfill_late(
 ) -> None:
     """Enrich again, and rewrite, the partitions that late dimension rows touch."""
     stored = spark.read.parquet(path)
-    touched = stored.join(distinct_keys(late, on), list(on), "left_semi")
+    touched = stored.join(spread(late, on), list(on), "left_semi")
     # Partition names only, of which the file listing holds all: with them as
     # literals the second read opens no other partition.
     labels = [row[0] for row in touched.select(partition).distinct().collect()]

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from snaplake.operators.keys import Seq
 from snaplake.schemas import SNAPSHOT
 from snaplake.sources.tables import append_new
 
@@ -42,11 +43,12 @@ def append_stream(
     path: str,
     checkpoint: str,
     keys: Sequence[str],
+    seq: Seq,
     partition: str = SNAPSHOT,
 ) -> None:
     """Append the new rows of a landing folder to a table, each key once."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch.sparkSession, batch, path, keys, partition)
+        append_new(batch.sparkSession, batch, path, keys, seq, partition)
 
     drain(stream, save, checkpoint)

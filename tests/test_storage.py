@@ -74,12 +74,14 @@ def test_snapshot_overwrite_scan_and_rerun(spark, tmp_path):
 
 def test_append_new_twice(spark, tmp_path):
     path = f"{tmp_path}/t"
-    tables.append_new(spark, rows(spark, (1, "x", "a"), (2, "y", "b")), path, ["k"])
-    tables.append_new(spark, rows(spark, (1, "x", "a"), (3, "z", "b")), path, ["k"])
-    tables.append_new(spark, rows(spark, (1, "x", "b")), path, ["k"])
-    tables.append_new(spark, rows(spark), path, ["k"])
-    assert read(spark, path) == [(1, "x", "a"), (1, "x", "b"), (2, "y", "b"), (3, "z", "b")]
-    assert tables.saved_cursor(spark.read.parquet(path), "k") == 3
+    tables.append_new(spark, rows(spark, (1, "x", "a"), (2, "y", "b")), path, ["k"], "v")
+    tables.append_new(spark, rows(spark, (1, "x", "a"), (3, "z", "b")), path, ["k"], "v")
+    tables.append_new(spark, rows(spark, (1, "x", "b")), path, ["k"], "v")
+    tables.append_new(spark, rows(spark), path, ["k"], "v")
+    tables.append_new(spark, rows(spark, (9, "second", "c"), (9, "first", "c")), path, ["k"], "v")
+    assert read(spark, path)[-1] == (9, "first", "c")
+    assert read(spark, path)[:-1] == [(1, "x", "a"), (1, "x", "b"), (2, "y", "b"), (3, "z", "b")]
+    assert tables.saved_cursor(spark.read.parquet(path), "k") == 9
     assert tables.saved_cursor(rows(spark), "k") == -1
 
 
@@ -170,7 +172,7 @@ def test_stream_takes_each_file_and_key_once(spark, tmp_path):
 
     def drain(checkpoint=offsets):
         stream = ingest.read_landing(spark, landing, rows(spark).schema, files_per_batch=1)
-        ingest.append_stream(spark, stream, path, checkpoint, ["k"])
+        ingest.append_stream(spark, stream, path, checkpoint, ["k"], "v")
         return len(read(spark, path))
 
     land((1, "x", "a"), (2, "y", "a"), (3, "z", "b"))
@@ -182,6 +184,26 @@ def test_stream_takes_each_file_and_key_once(spark, tmp_path):
     assert drain(f"{tmp_path}/offsets2") == 4
 
 
+def test_stream_into_two_sinks(spark, tmp_path):
+    landing = f"{tmp_path}/landing"
+    rows(spark, (1, "x", "a"), (2, "y", "b")).write.parquet(landing)
+
+    def save(batch, batch_id):
+        tables.dual_sink(
+            batch,
+            lambda df: tables.append_new(spark, df, f"{tmp_path}/t", ["k"], "v"),
+            lambda df: sheets.write_sheet(df, str(tmp_path), "Sheet", "csv", "date_filter"),
+        )
+
+    for offsets in ("one", "two"):  # the second checkpoint replays the batch
+        stream = ingest.read_landing(spark, landing, rows(spark).schema)
+        ingest.drain(stream, save, f"{tmp_path}/{offsets}")
+    want = [(1, "x", "a"), (2, "y", "b")]
+    assert read(spark, f"{tmp_path}/t") == want
+    sheet = sheets.read_sheet(spark, str(tmp_path), "Sheet", rows(spark).schema, "csv")
+    assert sorted(map(tuple, sheet.collect())) == want
+
+
 def test_late_links_rewrite_only_touched_snapshots(spark, tmp_path):
     path = f"{tmp_path}/facts"
     facts = spark.createDataFrame(
