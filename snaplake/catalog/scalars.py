@@ -273,8 +273,12 @@ def compact_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT o_orderkey, CASE o_orderstatus
-    WHEN 'O' THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '2025-10-01' END AS day
+SELECT o_orderkey,
+       CASE WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '2025-10-01' END AS day,
+       CASE WHEN o_orderstatus = 'O' AND o_orderpriority <> '5-LOW'
+            THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '2025-10-01' END AS first_day,
+       CASE WHEN o_orderstatus = 'O' AND o_orderpriority <> '5-LOW'
+            THEN strftime(last_day(o_orderdate), '%Y-%m-%d') ELSE '2025-11-30' END AS last_day
 FROM orders
 """
 )
@@ -285,8 +289,15 @@ def date_parse_default(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(status == "P", F.lit("1999-13-45"))
         .otherwise(F.concat(F.lit("day "), "o_orderkey"))
     )
+    until = F.when(
+        F.col("o_orderpriority") != "5-LOW", F.last_day("o_orderdate").cast("string")
+    ).otherwise(F.lit(""))
+    first, last = dates.parse_span(shown, until, ("2025-10-01", "2025-11-30"))
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", dates.parse_day(shown, "2025-10-01").cast("string").alias("day")
+        "o_orderkey",
+        dates.parse_day(shown, "2025-10-01").cast("string").alias("day"),
+        first.cast("string").alias("first_day"),
+        last.cast("string").alias("last_day"),
     )
 
 

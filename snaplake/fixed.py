@@ -12,8 +12,7 @@ PLACEHOLDER_TEXTS = ("", "-", "N/A")
 
 # Snapshot label "<start> ~ <end>", dates as yyyy-MM-dd.
 SNAPSHOT_SEPARATOR = " ~ "
-DAY_FORMAT = "yyyy-MM-dd"
-DAY_PARSE_FORMAT = "yyyy-M-d"
+DAY_FORMAT = "yyyy-M-d"
 LOCAL_ZONE = "Asia/Ho_Chi_Minh"
 
 # The characters Python's str.strip() removes.

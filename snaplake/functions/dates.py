@@ -16,11 +16,8 @@ def label(start: str | date, end: str | date) -> str:
 
 
 def snapshot_label(start: Column, end: Column) -> Column:
-    return F.concat_ws(
-        fixed.SNAPSHOT_SEPARATOR,
-        F.date_format(start, fixed.DAY_FORMAT),
-        F.date_format(end, fixed.DAY_FORMAT),
-    )
+    first, last = (day.cast("date").cast("string") for day in (start, end))
+    return F.concat(first, F.lit(fixed.SNAPSHOT_SEPARATOR), last)
 
 
 def day_snapshot(moment: Column) -> Column:
@@ -44,12 +41,23 @@ def parse_day(text: Column, default: str | None = None) -> Column:
 
     Month and day may have one digit, as ``strptime`` has it.
     """
-    day = F.try_to_timestamp(text, F.lit(fixed.DAY_PARSE_FORMAT)).cast("date")
+    day = F.try_to_timestamp(text, F.lit(fixed.DAY_FORMAT)).cast("date")
     if default is None:
         return day
     return F.coalesce(day, F.lit(default).cast("date"))
 
 
+def parse_span(start: Column, end: Column, defaults: tuple[str, str]) -> tuple[Column, Column]:
+    """First and last day; when either text is no day, both defaults count."""
+    days = parse_day(start), parse_day(end)
+    both = days[0].isNotNull() & days[1].isNotNull()
+    first, last = (
+        F.when(both, day).otherwise(F.lit(default).cast("date"))
+        for day, default in zip(days, defaults)
+    )
+    return first, last
+
+
 def to_zone(moment: Column, zone: str = fixed.LOCAL_ZONE) -> Column:
     """A naive moment is UTC; the result is naive local time in ``zone``."""
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), moment.cast("timestamp_ntz"))

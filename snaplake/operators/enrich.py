@@ -59,7 +59,7 @@ def lookup_first(
         )
         joined = facts_keyed.join(first, keys, "left")
     else:
-        joined = facts.join(first, match([key_column(facts, c) for c in on], first, keys), "left")
+        joined = facts.join(first, match(facts, on, first, keys), "left")
     if into is None:
         return joined.select(*facts.columns, na_default(F.col("_value"), default).alias(value))
     return joined.select(

@@ -53,9 +53,17 @@ def spread(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return keys.withColumn("_digest", F.xxhash64(*on)).distinct().drop("_digest")
 
 
-def match(left: Sequence[Column], right: DataFrame, names: Sequence[str]) -> Column:
-    """Equality of left key expressions with the named columns of ``right``.
+def match(left: DataFrame, on: Sequence[str], right: DataFrame, names: Sequence[str]) -> Column:
+    """Equality of the ``on`` keys of ``left`` with the named columns of ``right``.
 
-    Expressions as join keys save a second copy of the key in the shuffle.
+    Key expressions as join keys save a second copy of the key in the shuffle.
+    Text keys cannot be NULL here; for others NULL equals NULL.
     """
-    return reduce(lambda a, b: a & b, [l == right[n] for l, n in zip(left, names)])
+
+    def same(column: str, name: str) -> Column:
+        key = key_column(left, column)
+        if isinstance(left.schema[column].dataType, T.StringType):
+            return key == right[name]
+        return key.eqNullSafe(right[name])
+
+    return reduce(lambda a, b: a & b, map(same, on, names))

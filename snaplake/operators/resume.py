@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snaplake.operators.keys import distinct_keys, key_column, match, names, spread
+from snaplake.operators.keys import distinct_keys, match, names, spread
 
 ROWS_PER_SLICE = 100_000
 
@@ -18,15 +18,15 @@ def resume_anti(
     """Rows of ``new`` whose key is not among the stored keys; duplicates stay.
 
     NULL text keys count as ``N/A``. ``unique`` says that ``new`` has one row per
-    key, without NULL, and is partitioned by it already; the stored side then
-    keeps that partitioning. Otherwise it is laid out for splitting hot keys.
+    key, none of them NULL, and is partitioned by it already; the stored side
+    then keeps that partitioning. Otherwise it is laid out for splitting hot keys.
     """
     on = names(on)
     if unique:
         return new.join(distinct_keys(stored, on), on, "left_anti")
     keys = [f"_key_{c}" for c in on]
     known = spread(stored, on).withColumnsRenamed(dict(zip(on, keys)))
-    return new.join(known, match([key_column(new, c) for c in on], known, keys), "left_anti")
+    return new.join(known, match(new, on, known, keys), "left_anti")
 
 
 def key_union(stored: DataFrame, new: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -49,9 +49,16 @@ def number_pages(
     holds a whole parent; a window over parents sees one row per slice.
     """
     parent = names(parent)
-    group = [*parent, "_slice"]
-    sliced = df.withColumn("_slice", F.floor(F.col(seq) / F.lit(rows_per_slice)))
-    before = Window.partitionBy(*parent).orderBy("_slice").rowsBetween(
+    group = ["_parent", "_slice"]
+    rest = [c for c in df.columns if c not in parent]
+    # A struct of the parent keys is never NULL itself, so the join below loses
+    # no row whose parent is unknown.
+    sliced = df.select(
+        F.struct(*parent).alias("_parent"),
+        _whole(F.col(seq), rows_per_slice).alias("_slice"),
+        *rest,
+    )
+    before = Window.partitionBy("_parent").orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = (
@@ -64,14 +71,16 @@ def number_pages(
     return (
         sliced.withColumn("_row", local)
         .join(offsets, group)
-        .withColumn(
-            "page",
-            F.floor((F.col("_offset") + F.col("_row") - 1) / F.lit(page_size)) + 1,
-        )
-        .select(*df.columns, "page")
+        .withColumn("page", _whole(F.col("_offset") + F.col("_row") - 1, page_size) + 1)
+        .select(*[F.col(f"_parent.{c}") if c in parent else F.col(c) for c in df.columns], "page")
     )
 
 
+def _whole(value: Column, divisor: int) -> Column:
+    """Whole-number division, exact for any size."""
+    return F.call_function("div", value, F.lit(divisor))
+
+
 def resume_pages(
     new: DataFrame, done: DataFrame, parent: Sequence[str], page: str = "page"
 ) -> DataFrame:

@@ -53,4 +53,4 @@ def read_sheet(
 
     In a CSV sheet an empty cell is a missing value, as it is in a workbook.
     """
-    return load_first(spark, [sheet_path(book, sheet)], schema, fmt, **_options(fmt))
+    return load_first(spark, [(sheet_path(book, sheet), fmt)], schema, **_options(fmt))

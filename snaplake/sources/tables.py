@@ -24,16 +24,17 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 def load_first(
     spark: SparkSession,
-    paths: Sequence[str],
+    sources: Sequence[str | tuple[str, str]],
     schema: T.StructType,
-    fmt: str = "parquet",
     **options: object,
 ) -> DataFrame:
-    """The first path that exists; a typed empty frame when none does.
+    """The first source that exists; a typed empty frame when none does.
 
-    Only absence moves on to the next path. Any other failure is raised.
+    A source is a path to Parquet, or a path and its format. Only absence moves
+    on to the next source. Any other failure is raised.
     """
-    for path in paths:
+    for source in sources:
+        path, fmt = (source, "parquet") if isinstance(source, str) else source
         try:
             return spark.read.schema(schema).format(fmt).options(**options).load(path)
         except AnalysisException as error:

@@ -19,6 +19,15 @@ def test_resume_anti_keeps_duplicates_and_meets_missing_keys(spark):
     assert sorted(r["seq"] for r in resume_anti(new, stored, ["k"]).collect()) == [1, 2, 3]
 
 
+def test_missing_number_keys_meet(spark):
+    new = spark.createDataFrame([(1, None), (2, 5)], "seq long, k long")
+    stored = spark.createDataFrame([(None,), (7,)], "k long")
+    assert [r["seq"] for r in resume_anti(new, stored, "k").collect()] == [2]
+    dim = spark.createDataFrame([(1, None, "x")], "seq long, k long, v string")
+    found = {r["seq"]: r["v"] for r in lookup_first(new, dim, ["k"], "v", "seq").collect()}
+    assert found == {1: "x", 2: "N/A"}
+
+
 def test_key_case_matters(spark):
     new = spark.createDataFrame([("Bob",), ("bob",)], "k string")
     stored = spark.createDataFrame([("bob",)], "k string")
@@ -42,6 +51,9 @@ def test_page_numbers_across_slices(spark):
     for per_slice in (7, 100, 10_000):
         got = number_pages(df, ["p"], "seq", 10, rows_per_slice=per_slice)
         assert {r["seq"]: r["page"] for r in got.collect()} == want
+    nobody = spark.createDataFrame([(2**60 + 1, None), (2**60 + 3, None), (2, None)], "seq long, p string")
+    got = number_pages(nobody, ["p"], "seq", 2, rows_per_slice=100)
+    assert sorted((r["seq"], r["page"]) for r in got.collect()) == [(2, 1), (2**60 + 1, 1), (2**60 + 3, 2)]
     numbered = number_pages(df, ["p"], "seq", 10, rows_per_slice=50)
     done = numbered.where("page <= 2").select("p", "page")
     left = {r["seq"] for r in resume_pages(numbered, done, ["p"]).collect()}

@@ -195,6 +195,14 @@ def test_parse_day(spark):
     assert apply(spark, ["x"], dates.parse_day) == [None]
 
 
+def test_one_bad_day_resets_both(spark):
+    df = spark.createDataFrame([("2025-01-02", "2025-01-03"), ("2025-01-02", "x"), (None, "2025-01-03")], "a string, b string")
+    first, last = dates.parse_span(F.col("a"), F.col("b"), ("2025-10-01", "2025-11-30"))
+    rows = [tuple(r) for r in df.select(first.alias("first"), last.alias("last")).collect()]
+    default = (date(2025, 10, 1), date(2025, 11, 30))
+    assert rows == [(date(2025, 1, 2), date(2025, 1, 3)), default, default]
+
+
 def test_zone_does_not_depend_on_the_session(spark, conf):
     conf("spark.sql.session.timeZone", "America/New_York")
     df = spark.sql("SELECT TIMESTAMP_NTZ'2025-10-01 20:00:00' AS t")

@@ -55,7 +55,10 @@ def test_load_first_only_skips_absence(spark, tmp_path):
     assert tables.load_first(spark, [f"{tmp_path}/no", good], schema).count() == 3
     assert tables.load_first(spark, [f"{tmp_path}/no"], schema).schema == schema
     with pytest.raises(Exception, match="no.such.format"):
-        tables.load_first(spark, [good], schema, fmt="no.such.format")
+        tables.load_first(spark, [(good, "no.such.format")], schema)
+    spark.range(2).toDF("k").write.csv(f"{tmp_path}/sheet")
+    sources = [f"{tmp_path}/no", (f"{tmp_path}/sheet", "csv"), good]
+    assert tables.load_first(spark, sources, schema).count() == 2
 
 
 def test_snapshot_overwrite_scan_and_rerun(spark, tmp_path):
