@@ -23,12 +23,13 @@ WHITESPACE = (
 )
 
 # Public addresses of a video and of a livestream room.
-VIDEO_LINK_FORMAT = "https://www.tiktok.com/@%s/video/%s"
-LIVE_LINK_FORMAT = "https://www.tiktok.com/@%s/live?room_id=%s"
+#   https://www.tiktok.com/@<creator>/video/<id>
+#   https://www.tiktok.com/@<creator>/live?room_id=<id>
+PROFILE_BASE = "https://www.tiktok.com/@"
+VIDEO_PART = "/video/"
+LIVE_PART = "/live?room_id="
 LIVE_PATH = "/livestream/detail"
 ID_PARAM = "id"
-PROFILE_HREF = "tiktok.com/@"
-PRODUCT_LINK_TEXT = "View on TikTok"
 
 # Text patterns.
 REVIEWS_PATTERN = r"Reviews:\s*(\d+)"

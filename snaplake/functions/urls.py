@@ -15,6 +15,11 @@ from snaplake.functions.values import empty_to_null
 _AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 _PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
 _QUERY = r"^[^?#]*[?]([^#]*)"
+# An authority with one kind of bracket only; nothing of such an address counts.
+_BROKEN_HOST = (
+    r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"
+    r"(?:[^/?#\[]*\][^/?#\[]*|[^/?#\]]*\[[^/?#\]]*)(?:[/?#]|$)"
+)
 _BROKEN_ESCAPE = r"%(?![0-9A-Fa-f]{2})"
 
 
@@ -37,8 +42,8 @@ def percent_decode(text: Column) -> Column:
 
 def query_param(url: Column, name: str) -> Column:
     """First non-blank value of a query parameter, decoded; NULL when absent."""
-    host = url_host(url)
-    pairs = F.split(F.regexp_extract(_clean(url), _QUERY, 1), "&")
+    clean = _clean(url)
+    pairs = F.split(F.regexp_extract(clean, _QUERY, 1), "&")
     # The value starts after the first '='; a pair without '=' has none.
     values = F.transform(
         F.filter(
@@ -48,9 +53,7 @@ def query_param(url: Column, name: str) -> Column:
         lambda p: F.regexp_extract(p, r"^[^=]*=(.*)$", 1),
     )
     first = F.get(F.filter(values, lambda v: v != ""), F.lit(0))
-    # An address with an unbalanced host bracket cannot be parsed at all.
-    parsable = host.contains("[") == host.contains("]")
-    return F.when(parsable, percent_decode(first))
+    return F.when(~clean.rlike(_BROKEN_HOST), percent_decode(first))
 
 
 def canonical_url(url: Column, base: str, param: str = fixed.ID_PARAM) -> Column:
@@ -58,11 +61,13 @@ def canonical_url(url: Column, base: str, param: str = fixed.ID_PARAM) -> Column
     return F.coalesce(F.concat(F.lit(base), query_param(url, param)), url)
 
 
+def _link(*parts: Column) -> Column:
+    """The joined parts, or ``N/A`` if one is missing."""
+    return F.coalesce(F.concat(*parts), F.lit(fixed.NA))
+
+
 def video_link(creator: Column, video_id: Column) -> Column:
-    return F.when(
-        empty_to_null(video_id).isNotNull(),
-        F.format_string(fixed.VIDEO_LINK_FORMAT, creator, video_id),
-    ).otherwise(F.lit(fixed.NA))
+    return _link(F.lit(fixed.PROFILE_BASE), creator, F.lit(fixed.VIDEO_PART), empty_to_null(video_id))
 
 
 def is_live_page(url: Column, host: str, path: str = fixed.LIVE_PATH) -> Column:
@@ -71,7 +76,7 @@ def is_live_page(url: Column, host: str, path: str = fixed.LIVE_PATH) -> Column:
 
 def live_link(creator: Column, room_id: Column, on_live_page: Column) -> Column:
     """Room address for a live page with an id and a known creator, else ``N/A``."""
-    known = on_live_page & empty_to_null(room_id).isNotNull() & (creator != F.lit(fixed.NA))
-    return F.when(known, F.format_string(fixed.LIVE_LINK_FORMAT, creator, room_id)).otherwise(
-        F.lit(fixed.NA)
+    shown = F.when(on_live_page, F.nullif(creator, F.lit(fixed.NA)))
+    return _link(
+        F.lit(fixed.PROFILE_BASE), shown, F.lit(fixed.LIVE_PART), empty_to_null(room_id)
     )

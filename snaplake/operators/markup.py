@@ -8,15 +8,20 @@ after it is columns again.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snaplake import fixed
+from snaplake.fixed import METRIC_LABEL, METRIC_TILE, METRIC_VALUE, METRICS_CONTAINER
+
+# Executors need no copy of this package: the parser travels with the function.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"}
 Rule = Mapping[str, object]
@@ -138,16 +143,16 @@ class _Page(HTMLParser):
 
     def metrics(self) -> list[dict[str, str]]:
         found = []
-        for box in self.matching("div", [fixed.METRICS_CONTAINER]):
-            for tile in self.matching("div", [fixed.METRIC_TILE], box + 1, self.elements[box]["end"]):
+        for box in self.matching("div", [METRICS_CONTAINER]):
+            for tile in self.matching("div", [METRIC_TILE], box + 1, self.elements[box]["end"]):
                 end = self.elements[tile]["end"]
-                holder, inner = fixed.METRIC_LABEL
+                holder, inner = METRIC_LABEL
                 labels = [
                     at
                     for label in self.matching("div", [holder], tile + 1, end)
                     for at in self.matching("div", [inner], label + 1, self.elements[label]["end"])
                 ]
-                values = list(self.matching("div", [fixed.METRIC_VALUE], tile + 1, end))
+                values = list(self.matching("div", [METRIC_VALUE], tile + 1, end))
                 if labels and values:
                     found.append({"label": self.text(labels[0]).strip(), "value": self.text(values[0])})
         return found
@@ -173,7 +178,8 @@ def parse(markup: Column, rules: Sequence[Rule], metrics: bool = False) -> Colum
     def read_batch(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([read(t) for t in texts], columns=schema.fieldNames())
 
-    return read_batch(markup)
+    # Parsing is dear. Marked so, it is not repeated for a filter on its result.
+    return read_batch.asNondeterministic()(markup)
 
 
 def metric(metrics: Column, label: str) -> Column:

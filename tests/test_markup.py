@@ -1,11 +1,16 @@
 """Fields and tiles out of landed markup."""
 
+import subprocess
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from snaplake import fixed
 from snaplake.functions import text
-from snaplake.operators import extract
+from snaplake.operators import extract, markup
 from snaplake.operators.markup import metric, parse
+from snaplake.plans import records
 
 TILES = """
 <div class="x Layout-CoreMetrics y">
@@ -23,8 +28,8 @@ TILES = """
 """
 
 
-def one(spark, markup, rules, metrics=False):
-    df = spark.createDataFrame([(markup,)], "html string")
+def one(spark, html, rules, metrics=False):
+    df = spark.createDataFrame([(html,)], "html string")
     return df.select(parse(F.col("html"), rules, metrics).alias("d"))
 
 
@@ -40,7 +45,7 @@ def test_metric_tiles(spark):
 
 
 def test_creator_page(spark):
-    markup = """<p>broken <b>markup<br>
+    html = """<p>broken <b>markup<br>
     <a href="/x">no</a><a href="https://www.tiktok.com/@bob?a=1&amp;b=2">yes</a>
     <div class="mcn-box"><div><div class="text-base-666">Agency</div></div></div>
     <div class="text-base-666">Debut Time : 2024: a</div>
@@ -49,7 +54,7 @@ line two</div>
     <span>Female Majority</span>
     <div class="flex gap-[4px]"><span>all</span><span>18-24</span></div>
     <div class="table-row"><div>Followers</div><div>1.2k</div></div>"""
-    shop = one(spark, markup, fixed.SHOP_CREATOR_RULES).select("d.*").first().asDict()
+    shop = one(spark, html, fixed.SHOP_CREATOR_RULES).select("d.*").first().asDict()
     assert shop["tiktok_link"] == "https://www.tiktok.com/@bob?a=1&b=2"
     assert shop["mcn"] == "Agency"
     assert shop["debut_text"] == "Debut Time : 2024: a"
@@ -57,7 +62,7 @@ line two</div>
     assert shop["target_sexual"] == "Female Majority"
     assert shop["target_age"] == "18-24"
     assert "Followers" in shop["followers_text"] and "1.2k" in shop["followers_text"]
-    product = one(spark, markup, fixed.PRODUCT_CREATOR_RULES).select("d.*").first()
+    product = one(spark, html, fixed.PRODUCT_CREATOR_RULES).select("d.*").first()
     assert product["followers_text"] == "1.2k"
     empty = one(spark, None, fixed.SHOP_CREATOR_RULES).select("d.*").first()
     assert all(v is None for v in empty)
@@ -73,8 +78,8 @@ def test_row_cells(spark):
 
 
 def test_jvm_patterns(spark):
-    markup = '<a href="/a">x</a><a href="/the">y</a><ul><li>1</li><li class="z">2\n3</li></ul>'
-    df = spark.createDataFrame([(1, markup), (2, "<link>")], "id long, html string")
+    html = '<a href="/a">x</a><a href="/the">y</a><ul><li>1</li><li class="z">2\n3</li></ul>'
+    df = spark.createDataFrame([(1, html), (2, "<link>")], "id long, html string")
     rows = df.select(
         extract.first_link(F.col("html"), "the").alias("a"),
         extract.nth_element(F.col("html"), "li", 2).alias("b"),
@@ -83,3 +88,18 @@ def test_jvm_patterns(spark):
     assert [tuple(r) for r in rows] == [("/the", "2\n3", None), ("N/A", None, None)]
     long = extract.label_values(df, "id", "html", {"first": "<li>(.*?)</li>", "no": "<h1>(.*)</h1>"})
     assert [tuple(r) for r in long.collect()] == [(1, 0, "first", "1")]
+
+
+def test_parser_travels_without_the_package(tmp_path):
+    pickled = tmp_path / "page"
+    pickled.write_bytes(cloudpickle.dumps(markup._Page))
+    code = f"import pickle; P = pickle.load(open({str(pickled)!r}, 'rb')); p = P('<p>a<b>c'); print(p.text(0), len(p.metrics()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={}, capture_output=True, text=True)
+    assert done.stdout.split() == ["ac", "0"], done.stderr
+
+
+def test_row_is_parsed_once(spark):
+    pages = spark.createDataFrame([("<td>", "x")], "row_html string, url string")
+    named = records.with_row(pages, "video").withColumn("item_title", F.col("row.name"))
+    plan = named.select("item_title", "row.revenue")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1

@@ -61,6 +61,12 @@ def test_query_param_equals_python(spark):
         "https://h/p?&&id=9&",
         "https://h/p?id=a\n&x=b",
         "https://u:p@h:80/p?id=1/2?3",
+        "https://[h/p?id=1",
+        "https://h]/p?id=1",
+        "https://h]",
+        "https://[::1]/p?id=1",
+        "https://h/[p?id=1",
+        "https://h/p?id=[1",
         "",
     ]
     got = apply(spark, cases, lambda c: urls.query_param(c, "id"))
