@@ -150,7 +150,7 @@ def union_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT p_name, p_partkey, NULL AS p_rating,
+SELECT p_name, p_partkey, CAST(NULL AS VARCHAR) AS p_rating,
        CASE WHEN p_type = 'SMALL' THEN NULL ELSE p_size END AS p_size
 FROM part
 """
