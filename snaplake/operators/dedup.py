@@ -13,19 +13,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.fixed import NA
-from snaplake.operators.keys import Seq, names, ordering, with_keys
-from snaplake.operators.resume import resume_anti
+from snaplake.operators.keys import Seq, names, ordering, text_keys, with_digest, with_keys
+
+
+def _first_rows(df: DataFrame, keys: list[str], texts: list[str], seq: Seq) -> DataFrame:
+    """First rows, with the digest of the text keys where there are any."""
+    front = ["_digest"] if texts else []
+    rest = [c for c in df.columns if c not in keys]
+    keyed = with_digest(df, "_digest", texts) if texts else df
+    first = keyed.groupBy(*front, *keys).agg(
+        F.min_by(F.struct(*rest), ordering(seq)).alias("_first")
+    )
+    columns = [F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns]
+    return first.select(*front, *columns)
 
 
 def dedup_first(df: DataFrame, subset: str | Sequence[str], seq: Seq) -> DataFrame:
     """The first row of each ``subset`` group, with the columns of ``df``."""
     keys = names(subset)
-    rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.min_by(F.struct(*rest), ordering(seq)).alias("_first"))
-        .select(*[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns])
-    )
+    return _first_rows(df, keys, text_keys(keys, df), seq).select(*df.columns)
+
+
+def dedup_new(
+    new: DataFrame, stored: DataFrame | None, on: str | Sequence[str], seq: Seq
+) -> DataFrame:
+    """The first row of each key that is not among the stored keys.
+
+    The anti-join meets one row per key, on the partitioning that finding the
+    first rows has made: no hot key, and no further shuffle of the rows. Missing
+    text keys come out as ``N/A``; other keys must not be NULL.
+    """
+    on = names(on)
+    keyed = with_keys(new, on)
+    if stored is None:
+        return dedup_first(keyed, on, seq)
+    texts = text_keys(on, new, stored)
+    first = _first_rows(keyed, on, texts, seq)
+    known = with_keys(stored, on).select(*on)
+    if texts:
+        known = with_digest(known, "_digest", texts).select("_digest", *on)
+    return first.join(known.distinct(), known.columns, "left_anti").select(*new.columns)
 
 
 def first_value(
@@ -61,27 +88,23 @@ def dedup_dual_key(
     With ``exempt_na`` rows whose link is ``N/A`` all pass the link stage.
     Missing parents, names and links come out as ``N/A``.
 
-    Each stage reduces to one row per key before its anti-join, on the same
-    partitioning, so that join has no hot key and costs no further shuffle.
+    Each stage is a :func:`dedup_new`, so the rows are shuffled twice in all.
     """
     parent = names(parent)
-    by_name = [*parent, name]
-    by_link = [*parent, "_slot"]
 
-    def slot(exempt: Column) -> Column:
+    def slot(df: DataFrame, exempt: Column) -> DataFrame:
         # An exempt row takes a slot of its own, told apart by its name: such
         # rows neither drop each other nor meet in one group.
-        return F.when(exempt, F.concat(F.lit("name "), F.col(name))).otherwise(
+        taken = F.when(exempt, F.concat(F.lit("name "), F.col(name))).otherwise(
             F.concat(F.lit("link "), F.col(link))
         )
+        return df.withColumn("_slot", taken)
 
-    kept = dedup_first(with_keys(new, [*by_name, link]), by_name, seq)
+    new = with_keys(new, [*parent, name, link])
+    known = None
     if stored is not None:
-        stored = with_keys(stored, [*by_name, link])
-        kept = resume_anti(kept, stored, by_name, unique=True)
+        stored = with_keys(stored, [*parent, name, link])
+        known = slot(stored.where(F.col(link) != NA), F.lit(False))
+    kept = dedup_new(new, stored, [*parent, name], seq)
     exempt = (F.col(link) == NA) if exempt_na else F.lit(False)
-    kept = dedup_first(kept.withColumn("_slot", slot(exempt)), by_link, seq)
-    if stored is not None:
-        known = stored.where(F.col(link) != NA).withColumn("_slot", slot(F.lit(False)))
-        kept = resume_anti(kept, known, by_link, unique=True)
-    return kept.select(*new.columns)
+    return dedup_new(slot(kept, exempt), known, [*parent, "_slot"], seq).select(*new.columns)

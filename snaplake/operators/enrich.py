@@ -11,7 +11,7 @@ from snaplake.fixed import NA
 from snaplake.functions.text import normalise_handle, normalise_key
 from snaplake.functions.values import known_or_existing, na_default
 from snaplake.operators.dedup import first_value
-from snaplake.operators.keys import Seq, key_column, match, names
+from snaplake.operators.keys import Seq, join_by, key_column, names, spreading
 
 
 def _lookup_key(df: DataFrame, name: str, normalise: bool, handle: str | None) -> Column:
@@ -39,27 +39,27 @@ def lookup_first(
     loses leading ``@`` signs. With ``into`` the value updates that column: a
     known value replaces it, otherwise the present one stays.
 
-    Facts may be skewed: the dimension's digest column keeps its aggregate from
-    fixing the join's partitioning, which lets adaptive execution split the
-    facts of a hot key (see :func:`snaplake.operators.keys.spread`).
+    Facts may be skewed: the dimension is laid out so that adaptive execution can
+    split the facts of a hot key (see :func:`snaplake.operators.keys.spread`).
     """
     keys = [f"_key_{c}" for c in on]
+    order = [f"_seq_{c}" for c in names(seq)]
     dim_keyed = dim.select(
         *[_lookup_key(dim, c, normalise, handle).alias(k) for k, c in zip(keys, on)],
         F.col(value).alias("_value"),
-        *[F.col(c).alias(f"_seq_{c}") for c in names(seq)],
-    ).withColumn("_digest", F.xxhash64(*keys))
-    order = [f"_seq_{c}" for c in names(seq)]
-    first = first_value(dim_keyed, ["_digest", *keys], "_value", order, prefer_real)
-    first = first.drop("_digest")
+        *[F.col(c).alias(o) for o, c in zip(order, names(seq))],
+    ).withColumn("_spread", spreading(keys))
+    first = first_value(dim_keyed, ["_spread", *keys], "_value", order, prefer_real)
+    first = first.drop("_spread")
     if normalise:
         # Normalising is dear, so its result is kept for hashing and sorting.
+        mine = [f"_my{k}" for k in keys]
         facts_keyed = facts.withColumns(
-            {k: _lookup_key(facts, c, normalise, handle) for k, c in zip(keys, on)}
+            {m: _lookup_key(facts, c, normalise, handle) for m, c in zip(mine, on)}
         )
-        joined = facts_keyed.join(first, keys, "left")
+        joined = join_by(facts_keyed, mine, first, keys, "left")
     else:
-        joined = facts.join(first, match(facts, on, first, keys), "left")
+        joined = join_by(facts, on, first, keys, "left")
     if into is None:
         return joined.select(*facts.columns, na_default(F.col("_value"), default).alias(value))
     return joined.select(

@@ -37,6 +37,21 @@ def with_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.withColumns({c: key_column(df, c) for c in texts}) if texts else df
 
 
+def text_keys(on: Sequence[str], *frames: DataFrame) -> list[str]:
+    """The keys that are text in all frames."""
+    return [c for c in on if all(isinstance(f.schema[c].dataType, T.StringType) for f in frames)]
+
+
+def with_digest(df: DataFrame, name: str, on: Sequence[str]) -> DataFrame:
+    """Add a digest of text keys, to stand before them in groups and joins.
+
+    Sorting looks at the first eight bytes of a key before the rest. Addresses
+    all begin alike, so on text keys that settles nothing; on a digest it
+    settles nearly every comparison.
+    """
+    return df.withColumn(name, F.xxhash64(*on))
+
+
 def distinct_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """The distinct key tuples, combined before the shuffle."""
     return df.select(*[key_column(df, c).alias(c) for c in on]).distinct()
@@ -45,25 +60,39 @@ def distinct_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
 def spread(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """Distinct keys of ``df``, ready to meet rows where one key may dominate.
 
-    Grouping by the digest as well keeps the join from reusing the partitioning
-    of the aggregate. Both join inputs then are plain shuffles, and only for
-    those can adaptive execution split a partition that one hot key fills.
+    Grouping by a digest that the join does not use keeps the join from reusing
+    the partitioning of the aggregate. Both join inputs then are plain shuffles,
+    and only for those can adaptive execution split a partition that one hot key
+    fills.
     """
     keys = df.select(*[key_column(df, c).alias(c) for c in on])
-    return keys.withColumn("_digest", F.xxhash64(*on)).distinct().drop("_digest")
+    return keys.withColumn("_spread", spreading(on)).distinct().drop("_spread")
+
+
+def spreading(on: Sequence[str]) -> Column:
+    """Digest for :func:`spread`, unlike that of :func:`with_digest`."""
+    return F.xxhash64(F.lit("spread"), *on)
 
 
-def match(left: DataFrame, on: Sequence[str], right: DataFrame, names: Sequence[str]) -> Column:
-    """Equality of the ``on`` keys of ``left`` with the named columns of ``right``.
+def join_by(
+    left: DataFrame, on: Sequence[str], right: DataFrame, names: Sequence[str], how: str
+) -> DataFrame:
+    """Join the ``on`` keys of ``left`` to the named columns of ``right``.
 
     Key expressions as join keys save a second copy of the key in the shuffle.
-    Text keys cannot be NULL here; for others NULL equals NULL.
+    Missing text keys count as ``N/A``; for other types NULL equals NULL.
     """
-
-    def same(column: str, name: str) -> Column:
+    same = []
+    texts = []
+    for column, name in zip(on, names):
         key = key_column(left, column)
-        if isinstance(left.schema[column].dataType, T.StringType):
-            return key == right[name]
-        return key.eqNullSafe(right[name])
-
-    return reduce(lambda a, b: a & b, map(same, on, names))
+        if text_keys([column], left):
+            same.append(key == F.col(name))
+            if text_keys([name], right):
+                texts.append((key, name))
+        else:
+            same.append(key.eqNullSafe(F.col(name)))
+    if texts:
+        right = with_digest(right, "_digest", [name for _, name in texts])
+        same.insert(0, F.xxhash64(*[key for key, _ in texts]) == F.col("_digest"))
+    return left.join(right, reduce(lambda a, b: a & b, same), how)

@@ -7,26 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snaplake.operators.keys import distinct_keys, match, names, spread
+from snaplake.operators.keys import distinct_keys, join_by, names, spread
 
 ROWS_PER_SLICE = 100_000
 
 
-def resume_anti(
-    new: DataFrame, stored: DataFrame, on: str | Sequence[str], unique: bool = False
-) -> DataFrame:
+def resume_anti(new: DataFrame, stored: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key is not among the stored keys; duplicates stay.
 
-    NULL text keys count as ``N/A``. ``unique`` says that ``new`` has one row per
-    key, none of them NULL, and is partitioned by it already; the stored side
-    then keeps that partitioning. Otherwise it is laid out for splitting hot keys.
+    Missing text keys count as ``N/A``. The stored keys are laid out for
+    splitting the rows of a hot key.
     """
     on = names(on)
-    if unique:
-        return new.join(distinct_keys(stored, on), on, "left_anti")
     keys = [f"_key_{c}" for c in on]
     known = spread(stored, on).withColumnsRenamed(dict(zip(on, keys)))
-    return new.join(known, match(new, on, known, keys), "left_anti")
+    return join_by(new, on, known, keys, "left_anti")
 
 
 def key_union(stored: DataFrame, new: DataFrame, on: Sequence[str]) -> DataFrame:

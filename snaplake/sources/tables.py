@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snaplake.functions.dates import label
-from snaplake.operators.dedup import dedup_first
-from snaplake.operators.keys import Seq, with_keys
-from snaplake.operators.resume import resume_anti
+from snaplake.operators.dedup import dedup_new
+from snaplake.operators.keys import Seq
 from snaplake.schemas import LOAD_TIME, SCHEMAS, SEQ, SNAPSHOT, conform
 from snaplake.session import shared_dir
 
@@ -145,12 +144,10 @@ def append_new(
     span = df.agg(F.min(partition).alias("low"), F.max(partition).alias("high")).first()
     if span is None or span["low"] is None:
         return
-    on = [partition, *keys]
-    first = dedup_first(with_keys(df, on), on, seq)
     stored = load_first(spark, [path], df.schema).where(
         F.col(partition).between(F.lit(span["low"]), F.lit(span["high"]))
     )
-    append_rows(resume_anti(first, stored, on, unique=True), path, partition)
+    append_rows(dedup_new(df, stored, [partition, *keys], seq), path, partition)
 
 
 def saved_cursor(stored: DataFrame, seq: str = SEQ) -> int:
@@ -183,10 +180,8 @@ def upsert_dim(
 
     Stored rows stay as they are, so only new keys are written.
     """
-    keys = list(keys)
-    first = dedup_first(with_keys(new, keys), keys, seq)
     stored = load_first(spark, [path], new.schema)
-    append_rows(resume_anti(first, stored, keys, unique=True), path, None)
+    append_rows(dedup_new(new, stored, keys, seq), path, None)
 
 
 def dual_sink(df: DataFrame, *sinks: Callable[[DataFrame], None]) -> None:

@@ -56,6 +56,18 @@ def test_hot_key_of_a_lookup_is_split(spark, hot, small_is_skewed):
     assert all(r["v"] == (f"v{r['k']}" if r["k"] < 400 else "N/A") for r in rows)
 
 
+def test_hot_text_key_is_split(spark, hot, small_is_skewed):
+    rows = hot.withColumn("k", F.concat(F.lit("https://h.example/?id="), "k"))
+    dim = rows.where("seq < 900").withColumn("v", F.col("n"))
+    found, text = final_plan(lookup_first(rows, dim, ["k"], "v", "seq", normalise=True))
+    assert "SortMergeJoin(skew=true)" in text
+    assert len(found) == 20_000
+    known = rows.where("seq < 900 AND seq % 2 = 1")
+    left, text = final_plan(resume_anti(rows, known, "k"))
+    assert "SortMergeJoin(skew=true)" in text
+    assert sum(r["k"].endswith("=7") for r in left) == 0
+
+
 def test_hot_key_of_a_resume_is_split(spark, hot, small_is_skewed):
     stored = spark.range(100, 300).selectExpr("id AS k").union(spark.range(9).selectExpr("100L AS k"))
     rows, text = final_plan(resume_anti(hot, stored, "k"))
