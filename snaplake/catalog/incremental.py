@@ -33,7 +33,7 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         if landed is not None:
             events.where(landed).write.mode("append").parquet(landing)
         stream = ingest.read_landing(spark, landing, events.schema, files_per_batch=8)
-        ingest.append_stream(spark, stream, path, checkpoint, ["event_id"], "event_id")
+        ingest.append_stream(stream, path, checkpoint, ["event_id"], "event_id")
     return spark.read.schema(events.schema).parquet(path)
 
 

@@ -223,5 +223,5 @@ def product_dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     early = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     for load in (lines.where(early), lines.where(~early)):
-        tables.upsert_dim(spark, load.drop("l_shipdate"), path, ["shop_link", "product_name"])
+        tables.upsert_dim(load.drop("l_shipdate"), path, ["shop_link", "product_name"])
     return spark.read.parquet(path).drop("seq")

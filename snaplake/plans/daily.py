@@ -122,7 +122,7 @@ def _load_products(day: _Day, pages: Callable[[str], DataFrame]) -> None:
     day.save(
         "product_dim",
         dim,
-        lambda rows: tables.upsert_dim(day.spark, rows, day.path("product_dim"), PRODUCT),
+        lambda rows: tables.upsert_dim(rows, day.path("product_dim"), PRODUCT),
     )
 
 
@@ -175,7 +175,7 @@ def _append_content(day: _Day, table: str, new: DataFrame) -> None:
     stored = day.stored(table).withColumn("_before", F.col("creator_link"))
     filled = enrich_creator_links(stored, creators)
     if not filled.where(F.col("creator_link") != F.col("_before")).isEmpty():
-        tables.replace_snapshots(day.spark, filled.drop("_before"), day.path(table))
+        tables.replace_snapshots(filled.drop("_before"), day.path(table))
 
 
 def write_book(

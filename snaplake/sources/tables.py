@@ -112,24 +112,23 @@ def append_rows(df: DataFrame, path: str, partition: str | None = SNAPSHOT) -> N
     _writer(df, partition).mode("append").save(path)
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and continue from the written table.
 
     This cuts lineage in a way that outlives executors, and lets a job replace
     the files it has read.
     """
-    path = shared_dir(spark, name)
+    path = shared_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def replace_snapshots(spark: SparkSession, df: DataFrame, path: str, partition: str = SNAPSHOT) -> None:
+def replace_snapshots(df: DataFrame, path: str, partition: str = SNAPSHOT) -> None:
     """Like :func:`overwrite_snapshot` where ``df`` is computed from ``path``."""
-    overwrite_snapshot(stage(spark, df, "replace"), path, partition)
+    overwrite_snapshot(stage(df, "replace"), path, partition)
 
 
 def append_new(
-    spark: SparkSession,
     df: DataFrame,
     path: str,
     keys: Sequence[str],
@@ -144,7 +143,7 @@ def append_new(
     span = df.agg(F.min(partition).alias("low"), F.max(partition).alias("high")).first()
     if span is None or span["low"] is None:
         return
-    stored = load_first(spark, [path], df.schema).where(
+    stored = load_first(df.sparkSession, [path], df.schema).where(
         F.col(partition).between(F.lit(span["low"]), F.lit(span["high"]))
     )
     append_rows(dedup_new(df, stored, [partition, *keys], seq), path, partition)
@@ -173,14 +172,12 @@ def routed_table(
     return load_first(spark, [f"{root.rstrip('/')}/{tag}={table}"], schema)
 
 
-def upsert_dim(
-    spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str], seq: str = SEQ
-) -> None:
+def upsert_dim(new: DataFrame, path: str, keys: Sequence[str], seq: str = SEQ) -> None:
     """Add the keys a dimension lacks, each with its first row.
 
     Stored rows stay as they are, so only new keys are written.
     """
-    stored = load_first(spark, [path], new.schema)
+    stored = load_first(new.sparkSession, [path], new.schema)
     append_rows(dedup_new(new, stored, keys, seq), path, None)
 
 

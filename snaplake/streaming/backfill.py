@@ -58,7 +58,7 @@ def backfill_late(
     if not labels:
         return
     affected = stored.where(F.col(partition).isin(labels))
-    replace_snapshots(spark, enrich(affected).select(*stored.columns), path, partition)
+    replace_snapshots(enrich(affected).select(*stored.columns), path, partition)
 
 
 

@@ -38,7 +38,6 @@ def drain(stream: DataFrame, save: Callable[[DataFrame, int], None], checkpoint:
 
 
 def append_stream(
-    spark: SparkSession,
     stream: DataFrame,
     path: str,
     checkpoint: str,
@@ -49,6 +48,6 @@ def append_stream(
     """Append the new rows of a landing folder to a table, each key once."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch.sparkSession, batch, path, keys, seq, partition)
+        append_new(batch, path, keys, seq, partition)
 
     drain(stream, save, checkpoint)

@@ -77,11 +77,11 @@ def test_snapshot_overwrite_scan_and_rerun(spark, tmp_path):
 
 def test_append_new_twice(spark, tmp_path):
     path = f"{tmp_path}/t"
-    tables.append_new(spark, rows(spark, (1, "x", "a"), (2, "y", "b")), path, ["k"], "v")
-    tables.append_new(spark, rows(spark, (1, "x", "a"), (3, "z", "b")), path, ["k"], "v")
-    tables.append_new(spark, rows(spark, (1, "x", "b")), path, ["k"], "v")
-    tables.append_new(spark, rows(spark), path, ["k"], "v")
-    tables.append_new(spark, rows(spark, (9, "second", "c"), (9, "first", "c")), path, ["k"], "v")
+    tables.append_new(rows(spark, (1, "x", "a"), (2, "y", "b")), path, ["k"], "v")
+    tables.append_new(rows(spark, (1, "x", "a"), (3, "z", "b")), path, ["k"], "v")
+    tables.append_new(rows(spark, (1, "x", "b")), path, ["k"], "v")
+    tables.append_new(rows(spark), path, ["k"], "v")
+    tables.append_new(rows(spark, (9, "second", "c"), (9, "first", "c")), path, ["k"], "v")
     assert read(spark, path)[-1] == (9, "first", "c")
     assert read(spark, path)[:-1] == [(1, "x", "a"), (1, "x", "b"), (2, "y", "b"), (3, "z", "b")]
     assert tables.saved_cursor(spark.read.parquet(path), "k") == 9
@@ -99,7 +99,7 @@ def test_upsert_dim_is_unique(spark, tmp_path):
     first = spark.createDataFrame([("s", "p", "old", 5)], dim)
     second = spark.createDataFrame([("s", "p", "new", 1), ("s", "q", "b", 3), ("s", "q", "a", 2)], dim)
     for load in (first, second, second):
-        tables.upsert_dim(spark, load, path, ["shop", "product"])
+        tables.upsert_dim(load, path, ["shop", "product"])
     got = sorted((r["product"], r["link"]) for r in spark.read.parquet(path).collect())
     assert got == [("p", "old"), ("q", "a")]
 
@@ -175,7 +175,7 @@ def test_stream_takes_each_file_and_key_once(spark, tmp_path):
 
     def drain(checkpoint=offsets):
         stream = ingest.read_landing(spark, landing, rows(spark).schema, files_per_batch=1)
-        ingest.append_stream(spark, stream, path, checkpoint, ["k"], "v")
+        ingest.append_stream(stream, path, checkpoint, ["k"], "v")
         return len(read(spark, path))
 
     land((1, "x", "a"), (2, "y", "a"), (3, "z", "b"))
@@ -194,7 +194,7 @@ def test_stream_into_two_sinks(spark, tmp_path):
     def save(batch, batch_id):
         tables.dual_sink(
             batch,
-            lambda df: tables.append_new(spark, df, f"{tmp_path}/t", ["k"], "v"),
+            lambda df: tables.append_new(df, f"{tmp_path}/t", ["k"], "v"),
             lambda df: sheets.write_sheet(df, str(tmp_path), "Sheet", "csv", "date_filter"),
         )
 
