@@ -21,6 +21,8 @@ def _first_rows(df: DataFrame, keys: list[str], texts: list[str], seq: Seq) -> D
     front = ["_digest"] if texts else []
     rest = [c for c in df.columns if c not in keys]
     keyed = with_digest(df, "_digest", texts) if texts else df
+    if not rest:
+        return keyed.select(*front, *df.columns).distinct()
     first = keyed.groupBy(*front, *keys).agg(
         F.min_by(F.struct(*rest), ordering(seq)).alias("_first")
     )

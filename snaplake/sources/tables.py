@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from snaplake.functions.dates import label
 from snaplake.operators.dedup import dedup_new
 from snaplake.operators.keys import Seq
-from snaplake.schemas import LOAD_TIME, SCHEMAS, SEQ, SNAPSHOT, conform
+from snaplake.schemas import LOAD_TIME, SCHEMAS, SEQ, SNAPSHOT
 from snaplake.session import shared_dir
 
 

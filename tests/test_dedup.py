@@ -120,6 +120,11 @@ def test_dedup_first(spark):
         assert sorted(map(str, again.collect())) == sorted(map(str, got.collect()))
 
 
+def test_dedup_first_of_keys_alone(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
+    assert sorted(r["k"] for r in dedup_first(df, "k", "k").collect()) == ["a", "b"]
+
+
 def test_first_value_keeps_na_unless_told(spark):
     rows = [(1, "a", "N/A"), (2, "a", "x"), (3, "a", "y"), (4, "b", "N/A")]
     df = spark.createDataFrame(rows, "seq long, k string, v string")
