@@ -35,12 +35,17 @@ def local_session(app: str = "snaplake", cores: str = "8", **options: str) -> Sp
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder all executors can reach, for tables that cut lineage.
 
-    The cluster names the parent in ``spark.checkpoint.dir``. Only a local
-    session without that setting falls back to a temporary folder.
+    The cluster names the parent in ``spark.checkpoint.dir``; a session without
+    that setting uses its warehouse folder, which is shared as well.
     """
-    parent = spark.conf.get(CHECKPOINT_DIR, None)
-    if not parent:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        parent = tempfile.mkdtemp(prefix="snaplake-")
+    parent = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{parent.rstrip('/')}/snaplake/{name}-{uuid.uuid4().hex}"
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`shared_dir` has named, on whatever store it is."""
+    if "/snaplake/" not in path:
+        raise ValueError(f"not a staged folder: {path}")
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

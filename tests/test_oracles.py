@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import compare, connect
+from snaplake import catalog
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,10 +19,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, con, name):
     got, want, _ = compare(
         spark, con, contract.queries()[name], contract.oracle_sql()[name], SF_DIR

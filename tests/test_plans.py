@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from snaplake import catalog
 from snaplake.operators.dedup import dedup_dual_key, dedup_first
 from snaplake.operators.enrich import lookup_first
 from snaplake.operators.filters import snapshot_rows
@@ -104,7 +105,7 @@ def test_snapshot_bounds_reach_the_scan(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in text
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_cross_joins_or_python_rows(spark, name):
     skip = ("incremental_append", "late_dim_backfill", "sheet_overwrite", "snapshot_rerun")
     if name in skip:
