@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.llm import line_dedup, mixing, sharding
+from snaplake.llm import line_dedup, mixing, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,13 +36,18 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, most_bits=3)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_documents(spark, sf_dir), weights=(1, 2, 3), cap=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_line_dedup, op6_sharding, op9_mixing)
+    f.__name__: f for f in (op3_line_dedup, op6_sharding, op8_simhash, op9_mixing)
 }
 
 ORACLES: dict[str, str] = {
