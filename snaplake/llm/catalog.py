@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.llm import line_dedup, mixing, sharding, simhash
+from snaplake.llm import decontamination, line_dedup, mixing, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,8 +46,21 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.contamination(_documents(spark, sf_dir), benchmark, window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_line_dedup, op6_sharding, op8_simhash, op9_mixing)
+    f.__name__: f for f in (op3_line_dedup, op6_sharding, op8_simhash, op9_mixing, op10_decontamination)
 }
 
 ORACLES: dict[str, str] = {
@@ -91,5 +104,31 @@ SELECT doc_id, size, source_size, target,
        (size * (epochs + CASE WHEN budget > 0 AND 2 * (upto - own) + own <= 2 * budget THEN 1 ELSE 0 END))::BIGINT
          AS taken
 FROM placed
+""",
+    "op10_decontamination": r"""
+WITH folded AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+sized AS (SELECT *, least(len(w), 10) AS n FROM items WHERE len(w) > 0),
+wins AS (
+  SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM sized)),
+lengths AS (SELECT DISTINCT n FROM wins),
+docwins AS (
+  SELECT row, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win
+  FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM folded, lengths WHERE len(w) >= n)),
+hits AS (SELECT d.row, d.i, d.n, s.item_id FROM docwins d JOIN wins s ON s.n = d.n AND s.win = d.win),
+covered AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS p FROM hits) GROUP BY row),
+named AS (
+  SELECT row, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT row, item_id::VARCHAR AS id FROM hits) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM folded LEFT JOIN covered USING (row) LEFT JOIN named USING (row)
 """,
 }
