@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.llm import decontamination, line_dedup, mixing, sharding, simhash
+from snaplake.llm import decontamination, line_dedup, mixing, sharding, simhash, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(_documents(spark, sf_dir), window=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     lean = sharding.with_sizes(docs).drop("text")
@@ -60,7 +65,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_line_dedup, op6_sharding, op8_simhash, op9_mixing, op10_decontamination)
+    f.__name__: f for f in (op3_line_dedup, op5_substring_dedup, op6_sharding, op8_simhash, op9_mixing, op10_decontamination)
 }
 
 ORACLES: dict[str, str] = {
@@ -75,6 +80,26 @@ flagged AS (SELECT k.*, c.key IS NOT NULL AS gone FROM keyed k LEFT JOIN common
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM flagged GROUP BY row
+""",
+    "op5_substring_dedup": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+wins AS (
+  SELECT row, doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM docs WHERE len(w) >= 13)),
+firsts AS (SELECT win, min(doc_id) AS first FROM wins GROUP BY win),
+gone AS (
+  SELECT DISTINCT row, p FROM (
+    SELECT row, unnest(range(i, i + 13)) AS p FROM wins JOIN firsts USING (win) WHERE first < coalesce(doc_id, 9223372036854775807))),
+words AS (SELECT row, doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs),
+kept AS (
+  SELECT row, count(g.p) AS n_removed,
+         string_agg(word, ' ' ORDER BY p) FILTER (g.p IS NULL) AS text
+  FROM words LEFT JOIN gone g USING (row, p) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row)
 """,
     "op9_mixing": r"""
 WITH sized AS (

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 SLICE_BYTES = 4 << 20
@@ -18,7 +19,7 @@ def slices(
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
         group = np.cumsum(sizes) // most
         starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
         for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
