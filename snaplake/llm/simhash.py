@@ -13,7 +13,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -104,7 +103,7 @@ def linked(
     most_bits: int = 3,
     leaf_rows: int = 2048,
     sample_rows: int = 1 << 14,
-    tile_rows: int = 8192,
+    tile_rows: int = 1 << 16,
 ) -> DataFrame:
     """Edges (u, v) that connect all of the distinct ``fingerprint`` rows within ``most_bits``.
 
