@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.llm import decontamination, line_dedup, mixing, sharding, simhash, substring_dedup, top_k
+from snaplake.llm import (
+    decontamination,
+    line_dedup,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    substring_dedup,
+    top_k,
+    toxicity,
+)
+from snaplake.llm.learning import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +37,21 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def _judged(scored: DataFrame, folds: int, held: int, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), folds) == held).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), folds=5, held=0)
+    return _judged(quality.score_documents(docs, model), 5, 0, 0.3)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(_documents(spark, sf_dir), window=13)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -46,6 +72,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), folds=3, held=1)
+    return _judged(quality.score_documents(docs, model), 3, 1, 0.7)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, most_bits=3)
     return found.select("doc_id", "fingerprint", "component_id")
@@ -70,7 +102,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_top_k, op3_line_dedup, op5_substring_dedup, op6_sharding, op8_simhash, op9_mixing, op10_decontamination)
+    f.__name__: f
+    for f in (
+        op1_top_k,
+        op3_line_dedup,
+        op4_quality,
+        op5_substring_dedup,
+        op6_sharding,
+        op7_toxicity,
+        op8_simhash,
+        op9_mixing,
+        op10_decontamination,
+    )
 }
 
 ORACLES: dict[str, str] = {
