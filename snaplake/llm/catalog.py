@@ -11,6 +11,7 @@ from snaplake.llm import (
     decontamination,
     line_dedup,
     mixing,
+    pii,
     quality,
     sharding,
     simhash,
@@ -32,6 +33,21 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["name"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in pii.KINDS),
+        F.sha2(pii.named(base), 256).alias("base_sha256"),
+        pii.named(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.drop_common_lines(_documents(spark, sf_dir), min_docs=10, min_chars=1)
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -105,6 +121,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_top_k,
+        op2_pii,
         op3_line_dedup,
         op4_quality,
         op5_substring_dedup,
