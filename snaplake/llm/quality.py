@@ -115,7 +115,9 @@ class GatedAttention:
             return
         rng = np.random.default_rng(5)
         adam = Adam(self.weights, 0.004)
-        x, begins = passages(texts)
+        parts = [passages(texts[a : a + batch]) for a in range(0, len(texts), batch)]
+        x = np.concatenate([part for part, _ in parts])
+        begins = words.offsets(np.concatenate([np.diff(cuts) for _, cuts in parts]))
         for _ in range(epochs):
             order = rng.permutation(len(labels))
             for a in range(0, len(order), batch):
