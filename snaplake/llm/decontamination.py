@@ -279,3 +279,12 @@ def contamination(
         "k1",
         "k2",
     )
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """The rows of ``docs`` that have no word of a benchmark window, with all their columns."""
+    found = contamination(docs, benchmark, window)
+    bad, _ = staged(found.where("n_hit > 0").select("k1", "k2").distinct().toDF("_k1", "_k2"), "contaminated")
+    keys = digest128(F.col("doc_id"), F.col("text"), salt="row")
+    keyed = docs.withColumns(dict(zip(("_k1", "_k2"), keys, strict=True)))
+    return keyed.join(bad, ["_k1", "_k2"], "left_anti").drop("_k1", "_k2")

@@ -174,3 +174,14 @@ def mix(
         .withColumn("taken", F.col("size") * F.col("copies"))
         .drop(*rules.columns)
     )
+
+
+def mixed_rows(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it is taken, with all their columns."""
+    names = ["_" + str(i) for i in range(len(docs.columns))]  # apart from what the mix adds
+    at = {c.lower(): n for c, n in zip(docs.columns, names, strict=True)}
+    taken = mix(
+        docs.toDF(*names), weights, cap, doc_id=at["doc_id"], text=at["text"], source=at["source"]
+    ).where("copies > 0")
+    repeated = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return repeated.select(*names).toDF(*docs.columns)

@@ -164,3 +164,13 @@ def score_documents(docs: DataFrame, model, keep: tuple[str, ...] = ()) -> DataF
 
     schema = ", ".join([*(f"{c} long" for c in columns), "score double"])
     return small_batches(lean).mapInArrow(run, schema)
+
+
+def accepted(docs: DataFrame, model, threshold: float) -> DataFrame:
+    """The rows of ``docs`` whose whole text scores ``threshold`` or more, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in words.slices(batches, "text"):
+            yield batch.filter(pa.array(model.score(words.texts(batch, "text")) >= threshold))
+
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -188,13 +188,14 @@ def near_duplicates(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``, ``k1`` and ``k2``, a row per document.
+    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``, ``class``, ``k1``, ``k2``, a row per document.
 
     Documents whose fingerprints differ in ``most_bits`` bits or fewer are linked;
     ``component_id`` is the smallest id a document reaches, itself included. A
     missing text is empty, and texts without words have fingerprint zero, linked
     like any other. Rows may repeat; a missing id is never the smallest, and a
-    class of such rows alone has none. Other columns of ``docs`` are not read. An empty table
+    class of such rows alone has none. ``class`` tells classes apart in any case; ``k1``
+    and ``k2`` stand for id and text. Other columns of ``docs`` are not read. An empty table
     gives an empty one.
     """
     prints, prints_path = staged(fingerprints(docs, shingle, doc_id, text), "simhash-prints")
@@ -211,13 +212,53 @@ def near_duplicates(
         classes.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-smallest"
     )
     found, _ = staged(
-        classes.join(smallest, "root").select("fingerprint", "component_id"), "simhash-found"
+        classes.join(smallest, "root").select(
+            "fingerprint", "component_id", F.col("root").alias("class")
+        ),
+        "simhash-found",
     )
     dropped(found, unique_path, classes_path, smallest_path)
     return prints.join(found, "fingerprint").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
+        "class",
         "k1",
         "k2",
     )
+
+
+def one_of_each(
+    docs: DataFrame,
+    shingle: int = 3,
+    most_bits: int = 3,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """``docs`` with one row of each class of near-duplicates: that with the smallest id.
+
+    A missing id is larger than all; among equal ids the smaller hash stays, and of
+    equal rows any one. All columns of the rows that stay are kept.
+    """
+    found, found_path = staged(near_duplicates(docs, shingle, most_bits, doc_id, text), "simhash-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
+    best, best_path = staged(
+        found.groupBy("class").agg(F.min(order).alias("best")).select("class", "best.k1", "best.k2"),
+        "simhash-best",
+    )
+    rest = found.join(best.select("class", F.col("k1").alias("b1"), F.col("k2").alias("b2")), "class")
+    rest, _ = staged(rest.where("k1 <> b1 OR k2 <> b2").select("k1", "k2").distinct(), "simhash-rest")
+    again, _ = staged(
+        found.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1", "k2"),
+        "simhash-again",
+    )
+    dropped(rest, found_path, best_path)
+    names = ["_k1", "_k2"]
+    keys = digest128(F.col(doc_id), F.col(text), salt="row")
+    keyed = docs.withColumns(dict(zip(names, keys, strict=True)))
+    rest, again = (frame.toDF(*names) for frame in (rest, again))
+    kept = keyed.join(rest, names, "left_anti")
+    if not again.isEmpty():  # equal rows: only they are dealt out by key once more
+        once = kept.join(again, names, "left_semi").dropDuplicates(names)
+        kept = kept.join(again, names, "left_anti").unionByName(once)
+    return kept.drop(*names)
