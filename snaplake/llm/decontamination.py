@@ -162,7 +162,7 @@ def search_index(index: DataFrame, block: Block, rarity: np.ndarray, gap: int, s
                         held = [places[begins[s] : begins[s + 1]] for s in slot[windows[w]]]
                         exact, near = find(windows[w], rarity[windows[w]], held, slop)
                         for kind, found in ((0, exact), (1, near if slop else exact[:0])):
-                            of = np.searchsorted(docs, found, "right") - 1
+                            of = np.searchsorted(docs, found + slop, "right") - 1
                             for doc, at in zip(of.tolist(), (found - docs[of]).tolist(), strict=True):
                                 spans, known, close = hits.setdefault(doc, (set(), set(), set()))
                                 if kind == 0:

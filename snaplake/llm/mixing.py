@@ -78,7 +78,7 @@ def source_rules(
     at one position stay together; the one on the cut is in if half of it fits.
     """
     spark = sized.sparkSession
-    epochs = F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0))
+    epochs = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0))
     budget = F.col("target") - F.col("epochs") * F.col("source_size")
     targets = source_targets(sized, weights, cap).withColumn("epochs", epochs)
     targets, path = staged(targets.withColumn("budget", budget), "mix-targets")

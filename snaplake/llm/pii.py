@@ -83,8 +83,10 @@ def passes_luhn(digits: Column) -> Column:
 def _valid(kind: Column, match: Column) -> Column:
     """What a strict match must also meet."""
     digits = _digits(match)
-    parts = F.split(match, r"\.")
-    in_range = F.forall(parts, lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3) & (F.try_to_number(p, F.lit("999999999")) <= 255))
+    parts = F.transform(F.split(match, r"\."), lambda p: F.ltrim(p, F.lit("0")))
+    in_range = F.forall(
+        parts, lambda p: (F.length(p) <= 3) & (F.coalesce(p.try_cast("int"), F.lit(0)) <= 255)
+    )
     return (
         F.when(kind == 0, True)
         .when(kind == 1, in_range)

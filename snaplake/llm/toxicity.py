@@ -105,7 +105,11 @@ class BiGru:
         self.shift = 0.0
 
     def learn_signals(self, vocabulary: Vocabulary, labels: np.ndarray) -> None:
-        """How far words and runs of characters are off their expected share of toxic documents."""
+        """How far words and runs of characters are off their expected share of toxic documents.
+
+        One document of either kind is left out of the count, so that what only
+        one document has says as little here as it will in documents not seen.
+        """
         share = float(labels.mean())
         order = np.argsort(vocabulary.owners, kind="stable")
         sorted_grams = _buckets(vocabulary.grams[order])
@@ -118,6 +122,7 @@ class BiGru:
             seen[0, int(label), np.unique(word_at[distinct])] += 1
             if len(distinct):
                 seen[1, int(label), np.unique(np.concatenate([by_word[i] for i in distinct.tolist()]))] += 1
+        seen = np.maximum(seen - 1, 0)
         total = seen.sum(axis=1)
         off = (seen[:, 1] - total * share) / np.sqrt(total * share * (1 - share) + 1)
         self.word_signal, self.gram_signal = np.clip(off, -6, 6) / 3
@@ -208,18 +213,21 @@ class BiGru:
         parts = [self.forward(table, windows[a : a + BLOCK]) for a in range(0, len(windows), BLOCK)]
         return np.concatenate(parts) if parts else np.zeros(0, np.float32)
 
-    def fit(self, texts: list[bytes], labels: np.ndarray, share: float, epochs: int = 10, batch: int = 96) -> None:
-        """In each round, a toxic document teaches by its highest window, others by that and one more."""
+    def fit(self, texts: list[bytes], labels: np.ndarray, share: float, epochs: int = 10, batch: int = 96, steps: int = 300) -> None:
+        """In each round, a toxic document teaches by its highest window, others by that and one more.
+
+        Few documents go round more often, up to ``steps`` batches.
+        """
         if not len(labels):
             return
         rng = np.random.default_rng(8)
         vocabulary = Vocabulary(texts)
+        windows, of = vocabulary.windows()
         self.learn_signals(vocabulary, labels)
         table = self.inputs(vocabulary)
-        windows, of = vocabulary.windows()
         begins = np.searchsorted(of, np.arange(len(texts)))
         adam = Adam(self.weights, 0.01)
-        for _ in range(epochs):
+        for _ in range(max(epochs, min(8 * epochs, steps * batch // len(texts)))):
             logits = self._logits(table, windows)
             order = np.lexsort((logits, of))
             top = order[np.searchsorted(of[order], np.arange(len(texts)), "right") - 1]
@@ -240,7 +248,8 @@ class BiGru:
         windows, of = vocabulary.windows()
         logits = self._logits(self.inputs(vocabulary), windows)
         begins = np.searchsorted(of, np.arange(len(texts)))
-        return sigmoid(np.maximum.reduceat(logits, begins).astype(np.float64) + self.shift)
+        # Rounded, since the last bits depend on what else is in the slice.
+        return np.round(sigmoid(np.maximum.reduceat(logits, begins).astype(np.float64) + self.shift), 5)
 
 
 def train(
