@@ -257,7 +257,8 @@ def one_of_each(
     keys = digest128(F.col(doc_id), F.col(text), salt="row")
     keyed = docs.withColumns(dict(zip(names, keys, strict=True)))
     rest, again = (frame.toDF(*names) for frame in (rest, again))
-    kept = keyed.join(rest, names, "left_anti")
+    # What goes is a share of all documents, so it is dealt out with them at any size.
+    kept = keyed.join(rest.hint("shuffle_hash"), names, "left_anti")
     if not again.isEmpty():  # equal rows: only they are dealt out by key once more
         once = kept.join(again, names, "left_semi").dropDuplicates(names)
         kept = kept.join(again, names, "left_anti").unionByName(once)
