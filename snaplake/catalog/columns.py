@@ -104,10 +104,13 @@ FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'P'
 )
 def na_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     partial = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
-    return (
-        table(spark, sf_dir, "customer")
-        .join(partial, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .select("c_custkey", values.na_default(F.col("o_orderpriority")).alias("priority"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey")
+    # The many-row side stands on the left, where a hot customer can be split.
+    on = F.col("o_custkey") == F.col("c_custkey")
+    met = partial.join(customers, on).select("c_custkey", "o_orderpriority")
+    rest = customers.join(partial.select("o_custkey"), on, "left_anti")
+    return met.unionByName(rest, allowMissingColumns=True).select(
+        "c_custkey", values.na_default(F.col("o_orderpriority")).alias("priority")
     )
 
 

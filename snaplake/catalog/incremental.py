@@ -16,19 +16,28 @@ from snaplake.streaming import backfill, ingest
 
 @query(
     """
-SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') || ' ~ ' || strftime(ts, '%Y-%m-%d')
-  AS date_filter FROM events
+SELECT event_id, user_id, event_type,
+       CASE WHEN event_id % 50 = 0 THEN 'N/A'
+            ELSE strftime(ts, '%Y-%m-%d') || ' ~ ' || strftime(ts, '%Y-%m-%d') END AS date_filter FROM events
 """
 )
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three landings, each drained after it arrives, and one drain too many."""
     landing, path, checkpoint = (shared_dir(spark, n) for n in ("landing", "events", "offsets"))
     events = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", day_snapshot(F.col("ts")).alias("date_filter")
+        "event_id",
+        "user_id",
+        "event_type",
+        F.when(F.col("event_id") % 50 != 0, day_snapshot(F.col("ts"))).alias("date_filter"),
     )
     day = F.substring("date_filter", 1, 10)
-    # The second landing repeats the last days of the first one.
-    landings = [day < "2024-01-11", day.between("2024-01-09", "2024-01-20"), day > "2024-01-20"]
+    # The second landing repeats the last days of the first one, and all rows without a day.
+    undated = F.col("date_filter").isNull()
+    landings = [
+        undated | (day < "2024-01-11"),
+        undated | day.between("2024-01-09", "2024-01-20"),
+        day > "2024-01-20",
+    ]
     for landed in [*landings, None]:
         if landed is not None:
             events.where(landed).write.mode("append").parquet(landing)

@@ -189,14 +189,17 @@ SHEET_NAMES = {
 #   tag, cls      the element; ``own`` / ``text``: one of these occurs in its own
 #                 / whole text; ``attr``: read this attribute, ``has`` is part of it
 #   within        class parts of an ancestor; ``within_text``: part of its text
-#   inside        (tag, class part, n): the n-th such element holds or is it
-#   after         (class part, text): it is the first such element past this one
+#   inside        (tag, class part, n): an element that is the n-th such child of its
+#                 parent holds or is it; ``child``: it is a child of that element
+#   after         (class part, text): it is the first such element past this label
+#   sibling       (class part, text): it is the next one beside this label;
+#                 ``beside``: or an earlier one with this class part
 #   part          class part of the descendant that is read instead
 CREATOR_RULES = [
     {"field": "tiktok_link", "tag": "a", "attr": "href", "has": "tiktok.com/@"},
     {"field": "mcn", "tag": "div", "cls": ["text-base-666"], "within": ["mcn"]},
     {"field": "debut_text", "tag": "div", "cls": ["text-base-666"], "text": ["Debut Time : "]},
-    {"field": "bio", "tag": "div", "after": ("", "Creator Bio:")},
+    {"field": "bio", "tag": "div", "sibling": ("", "Creator Bio:"), "beside": "flex-1"},
     {"field": "target_sexual", "tag": "span", "own": ["Majority", "Gender Balance"]},
     {"field": "target_age", "tag": "span", "own": ["-"], "within": ["flex", "gap-[4px]"]},
 ]
@@ -234,8 +237,8 @@ PRODUCT_RULES = [
 ]
 VIDEO_RULES = [
     {"field": "creator", "tag": "div", "cls": ["text-ellipsis1", "font-medium"]},
-    {"field": "publish_date", "tag": "div", "after": ("text-base-999", "Publish Date")},
-    {"field": "video_duration", "tag": "div", "after": ("text-base-999", "Duration")},
+    {"field": "publish_date", "tag": "div", "sibling": ("text-base-999", "Publish Date")},
+    {"field": "video_duration", "tag": "div", "sibling": ("text-base-999", "Duration")},
     {"field": "ad_period", "tag": "div", "cls": ["info"], "own": ["Days"]},
     {"field": "views", "tag": "div", "cls": ["value"], "after": ("labelViews", ""), "part": "block"},
     {"field": "item_sold", "tag": "div", "cls": ["value"], "after": ("labelSales", ""), "part": "block"},
@@ -271,8 +274,14 @@ VIDEO_RULES = [
 ]
 LIVE_RULES = [
     {"field": "creator", "tag": "div", "cls": ["text-ellipsis1", "font-medium", "mb-1"]},
-    {"field": "livestream_time", "tag": "span", "inside": ("div", "table-row", 2)},
-    {"field": "duration", "tag": "div", "cls": ["table-cell"], "inside": ("div", "table-row", 2)},
+    {"field": "livestream_time", "tag": "span", "inside": ("div", "table-row", 2), "child": True},
+    {
+        "field": "duration",
+        "tag": "div",
+        "cls": ["table-cell"],
+        "inside": ("div", "table-row", 2),
+        "child": True,
+    },
 ]
 ROW_RULES = {
     "shop_creator": [

@@ -24,7 +24,8 @@ _BROKEN_ESCAPE = r"%(?![0-9A-Fa-f]{2})"
 
 
 def _clean(url: Column) -> Column:
-    return F.translate(url, "\t\r\n", "")
+    """Without what browsers and Python drop: signs before the address, line breaks in it."""
+    return F.regexp_replace(F.translate(url, "\t\r\n", ""), r"^[\x00-\x20]+", "")
 
 
 def url_host(url: Column) -> Column:
@@ -50,7 +51,7 @@ def query_param(url: Column, name: str) -> Column:
             pairs,
             lambda p: percent_decode(F.split_part(p, F.lit("="), F.lit(1))) == F.lit(name),
         ),
-        lambda p: F.regexp_extract(p, r"^[^=]*=(.*)$", 1),
+        lambda p: F.regexp_extract(p, r"(?s)^[^=]*=(.*)$", 1),
     )
     first = F.get(F.filter(values, lambda v: v != ""), F.lit(0))
     return F.when(~clean.rlike(_BROKEN_HOST), percent_decode(first))

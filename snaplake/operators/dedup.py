@@ -13,7 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.fixed import NA
-from snaplake.operators.keys import Seq, names, ordering, text_keys, with_digest, with_keys
+from snaplake.operators.keys import (
+    Seq,
+    names,
+    ordering,
+    plain_keys,
+    text_keys,
+    with_digest,
+    with_keys,
+)
 
 
 def _first_rows(df: DataFrame, keys: list[str], texts: list[str], seq: Seq) -> DataFrame:
@@ -43,17 +51,18 @@ def dedup_new(
 
     The anti-join meets one row per key, on the partitioning that finding the
     first rows has made: no hot key, and no further shuffle of the rows. Missing
-    text keys come out as ``N/A``; other keys must not be NULL.
+    text keys come out as ``N/A``; for other keys NULL equals NULL.
     """
     on = names(on)
     keyed = with_keys(new, on)
     if stored is None:
         return dedup_first(keyed, on, seq)
     texts = text_keys(on, new, stored)
-    first = _first_rows(keyed, on, texts, seq)
-    known = with_keys(stored, on).select(*on)
+    keyed, plain = plain_keys(keyed, on)
+    first = _first_rows(keyed, plain, texts, seq)
+    known = plain_keys(with_keys(stored, on), on)[0].select(*plain)
     if texts:
-        known = with_digest(known, "_digest", texts).select("_digest", *on)
+        known = with_digest(known, "_digest", texts).select("_digest", *plain)
     return first.join(known.distinct(), known.columns, "left_anti").select(*new.columns)
 
 

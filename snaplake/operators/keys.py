@@ -52,6 +52,27 @@ def with_digest(df: DataFrame, name: str, on: Sequence[str]) -> DataFrame:
     return df.withColumn(name, F.xxhash64(*on))
 
 
+def plain_keys(df: DataFrame, on: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns that are equal where the keys are, NULL included, and never NULL.
+
+    Groups and joins over them share one partitioning, which null-safe equality
+    would not. Text keys stand for themselves, once :func:`with_keys` has named
+    the missing ones.
+    """
+    extra, plain = {}, []
+    for c in on:
+        kind = df.schema[c].dataType
+        if isinstance(kind, T.StringType):
+            plain.append(c)
+            continue
+        value = F.col(c) if isinstance(kind, T.NumericType) else F.col(c).cast("string")
+        none = F.lit(0).cast(kind) if isinstance(kind, T.NumericType) else F.lit("")
+        extra[f"_{c}_value"] = F.coalesce(value, none)
+        extra[f"_{c}_none"] = F.col(c).isNull()
+        plain += [f"_{c}_value", f"_{c}_none"]
+    return df.withColumns(extra) if extra else df, plain
+
+
 def distinct_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """The distinct key tuples, combined before the shuffle."""
     return df.select(*[key_column(df, c).alias(c) for c in on]).distinct()

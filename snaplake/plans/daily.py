@@ -14,9 +14,10 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.fixed import SHEET_NAMES
+from snaplake.fixed import NA, SHEET_NAMES
 from snaplake.functions import text
 from snaplake.functions.dates import label
+from snaplake.functions.urls import canonical_url
 from snaplake.operators.dedup import dedup_dual_key, dedup_first
 from snaplake.operators.enrich import (
     children_of,
@@ -37,8 +38,9 @@ PRODUCT = ["shop_link", "product_name"]
 class _Day:
     """The stored and the new rows of one snapshot."""
 
-    def __init__(self, spark: SparkSession, warehouse: str, snapshot: str) -> None:
+    def __init__(self, spark: SparkSession, warehouse: str, snapshot: str, shop_base: str) -> None:
         self.spark, self.warehouse, self.snapshot = spark, warehouse, snapshot
+        self.shop_base = shop_base
         self.new_rows: dict[str, int] = {}
 
     def path(self, table: str) -> str:
@@ -50,10 +52,17 @@ class _Day:
             return rows
         return rows.where(F.col(SNAPSHOT) == self.snapshot)
 
+    def seeds(self, table: str) -> DataFrame:
+        """Stored rows under the canonical shop address; rows without a shop are no seeds."""
+        link = canonical_url(F.col("shop_link"), self.shop_base)
+        rows = self.stored(table).withColumn("shop_link", link)
+        return rows.where(~F.col("shop_link").isin("", NA))
+
     def save(self, table: str, new: DataFrame, write: Callable[[DataFrame], None]) -> None:
         # Both counts come from file footers of one partition.
         before = self.stored(table).count()
         write(tables.stamp(conform(new, SCHEMAS[table])))
+        tables.add_partition(self.spark, table, self.path(table), self.snapshot)
         self.new_rows[table] = self.stored(table).count() - before
 
     def append(self, table: str, new: DataFrame) -> None:
@@ -79,11 +88,13 @@ def run(
     that belongs to them. With ``book`` the sheets of the snapshot are rewritten.
     """
     snapshot = label(start, end)
-    day = _Day(spark, warehouse, snapshot)
+    day = _Day(spark, warehouse, snapshot, shop_base)
     landed = read_pages(spark, landing, LANDED).where(F.col(SNAPSHOT) == snapshot)
     landed = records.with_shop(landed, shop_base)
     if max_shops is not None:
-        listed = landed.where(F.col("kind") == "shop").select("shop_link", SEQ)
+        # A shop that landed again counts once, where it came first.
+        shops = landed.where(F.col("kind") == "shop")
+        listed = shops.groupBy("shop_link").agg(F.min(SEQ).alias(SEQ))
         landed = children_of(landed, top_shops(listed, [F.asc(SEQ)], max_shops), ["shop_link"])
 
     def pages(kind: str) -> DataFrame:
@@ -98,25 +109,30 @@ def run(
     return day.new_rows
 
 
+def _new_rows(day: _Day, table: str, parsed: DataFrame, key: list[str]) -> DataFrame:
+    """First rows of the keys that are not stored.
+
+    Pages are parsed where they are read; only the short fields are shuffled.
+    """
+    return dedup_first(resume_anti(parsed, day.seeds(table), key), key, SEQ)
+
+
 def _load_shops(day: _Day, pages: Callable[[str], DataFrame]) -> None:
-    new = resume_anti(pages("shop"), day.stored("shop_metrics"), "shop_link")
-    parsed = conform(records.shops(new), SCHEMAS["shop_metrics"])
-    day.append("shop_metrics", dedup_first(parsed, "shop_link", SEQ))
+    parsed = conform(records.shops(pages("shop")), SCHEMAS["shop_metrics"])
+    day.append("shop_metrics", _new_rows(day, "shop_metrics", parsed, ["shop_link"]))
 
     key = ["shop_link", "creator_name"]
     rows = records.with_row(pages("shop_creator"), "shop_creator")
     rows = rows.withColumn("creator_name", F.col("row.name"))
-    new = resume_anti(rows, day.stored("shop_creators"), key)
-    parsed = conform(records.shop_creators(new), SCHEMAS["shop_creators"])
-    day.append("shop_creators", dedup_first(parsed, key, SEQ))
+    parsed = conform(records.shop_creators(rows), SCHEMAS["shop_creators"])
+    day.append("shop_creators", _new_rows(day, "shop_creators", parsed, key))
 
 
 def _load_products(day: _Day, pages: Callable[[str], DataFrame]) -> None:
     rows = records.with_row(pages("product"), "product")
     rows = rows.withColumn("product_name", text.clean_name(F.col("row.name")))
-    new = resume_anti(rows, day.stored("product_metrics"), PRODUCT)
-    parsed = conform(records.products(new), SCHEMAS["product_metrics"])
-    day.append("product_metrics", dedup_first(parsed, PRODUCT, SEQ))
+    parsed = conform(records.products(rows), SCHEMAS["product_metrics"])
+    day.append("product_metrics", _new_rows(day, "product_metrics", parsed, PRODUCT))
 
     dim = product_dim(day.stored("product_metrics"), SEQ, keep_seq=True)
     day.save(
@@ -128,17 +144,16 @@ def _load_products(day: _Day, pages: Callable[[str], DataFrame]) -> None:
 
 def _with_product_link(day: _Day, rows: DataFrame) -> DataFrame:
     linked = lookup_first(
-        rows, day.stored("product_metrics"), PRODUCT, "tiktok_product_link", SEQ
+        rows, day.seeds("product_metrics"), PRODUCT, "tiktok_product_link", SEQ
     )
     return linked.withColumnRenamed("tiktok_product_link", "product_link")
 
 
 def _load_creators(day: _Day, pages: Callable[[str], DataFrame]) -> None:
-    stored = day.stored("product_creators")
+    stored = day.seeds("product_creators")
     rows = records.with_row(pages("creator"), "creator")
     rows = rows.withColumn("creator_name", F.col("row.name"))
-    unseen = resume_anti(rows, stored, [*PRODUCT, "creator_name"])
-    parsed = conform(records.product_creators(unseen), SCHEMAS["product_creators"])
+    parsed = conform(records.product_creators(rows), SCHEMAS["product_creators"])
     kept = dedup_dual_key(
         parsed, stored, PRODUCT, "creator_name", "tiktok_link", SEQ, exempt_na=False
     )
@@ -146,20 +161,18 @@ def _load_creators(day: _Day, pages: Callable[[str], DataFrame]) -> None:
 
 
 def _load_content(day: _Day, pages: Callable[[str], DataFrame], live_host: str) -> None:
-    stored = day.stored("videos")
+    stored = day.seeds("videos")
     rows = records.with_row(pages("video"), "video")
     rows = rows.withColumn("item_title", F.col("row.name"))
-    unseen = resume_anti(rows, stored, [*PRODUCT, "item_title"])
-    parsed = conform(records.videos(unseen), SCHEMAS["videos"])
+    parsed = conform(records.videos(rows), SCHEMAS["videos"])
     kept = dedup_dual_key(parsed, stored, PRODUCT, "item_title", "link", SEQ, exempt_na=True)
     _append_content(day, "videos", kept)
 
     # Livestreams have no key of their own; a page taken once is not taken again.
     rows = records.with_row(pages("live"), "live")
     rows = rows.withColumn("item_title", F.col("row.name"))
-    unseen = resume_anti(rows, day.stored("lives"), SEQ)
-    parsed = conform(records.lives(unseen, live_host), SCHEMAS["lives"])
-    _append_content(day, "lives", parsed)
+    parsed = conform(records.lives(rows, live_host), SCHEMAS["lives"])
+    _append_content(day, "lives", resume_anti(parsed, day.stored("lives"), SEQ))
 
 
 def _append_content(day: _Day, table: str, new: DataFrame) -> None:
@@ -192,7 +205,7 @@ def write_book(
         try:
             if SNAPSHOT in shown.columns:
                 here = shown.where(F.col(SNAPSHOT) == snapshot)
-                sheets.write_sheet(here, book, sheet, fmt, partition=SNAPSHOT)
+                sheets.write_sheet(here, book, sheet, fmt, partition=SNAPSHOT, value=snapshot)
             else:
                 sheets.write_sheet(shown, book, sheet, fmt)
         except Exception as error:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,12 @@ def _na(name: str) -> Column:
     return values.na_default(F.col(name))
 
 
+def _after(earlier: list[str], name: str) -> Column:
+    """A detail field, missing where one that is read before it is missing."""
+    found = [F.col(f"d.{e}").isNotNull() for e in earlier]
+    return F.when(reduce(lambda a, b: a & b, found), F.col(f"d.{name}"))
+
+
 def _metrics(labels: list[str], prefix: str) -> dict[str, Column]:
     return {
         snake(f"{prefix}{label}"): text.join_lines(metric(F.col("d.metrics"), label))
@@ -68,8 +76,9 @@ def products(pages: DataFrame) -> DataFrame:
         {
             "tiktok_product_link": _na("d.product_link"),
             "rating": values.na_default(text.before_slash(F.col("d.rating_text"))),
-            "number_of_reviews": text.review_count(F.col("d.reviews_text")),
-            "product_skus": text.sku_count(F.col("d.skus_text")),
+            # Read one after the other: the first that is missing ends it.
+            "number_of_reviews": text.review_count(_after(["rating_text"], "reviews_text")),
+            "product_skus": text.sku_count(_after(["rating_text", "reviews_text"], "skus_text")),
             **_metrics(fixed.PRODUCT_LABELS, "Product_"),
         }
     )
@@ -84,7 +93,7 @@ def product_creators(pages: DataFrame) -> DataFrame:
 def videos(pages: DataFrame) -> DataFrame:
     creator = _na("d.creator")
     plain = ["item_sold", "new_followers_generated", "ad_view_ratio", "ad_revenue_ratio"]
-    plain += ["ads_spending", "ad_roas", "publish_date", "video_duration"]
+    plain += ["ads_spending", "ad_roas", "publish_date"]
     return _detail(pages, fixed.VIDEO_RULES).withColumns(
         {
             "creator_name": text.strip_at(creator),
@@ -94,6 +103,7 @@ def videos(pages: DataFrame) -> DataFrame:
             "revenue": _na("row.revenue"),
             "advertising_period_days": text.ad_days(F.col("d.ad_period")),
             "views": values.na_default(text.compact_number(F.col("d.views"))),
+            "video_duration": values.na_default(_after(["publish_date"], "video_duration")),
             **{name: _na(f"d.{name}") for name in plain},
         }
     )

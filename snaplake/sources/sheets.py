@@ -28,17 +28,23 @@ def sheet_path(book: str, sheet: str) -> str:
 
 
 def write_sheet(
-    df: DataFrame, book: str, sheet: str, fmt: str = "parquet", partition: str | None = None
+    df: DataFrame,
+    book: str,
+    sheet: str,
+    fmt: str = "parquet",
+    partition: str | None = None,
+    value: str | None = None,
 ) -> None:
     """Rewrite a sheet, or with ``partition`` only the partitions in ``df``.
 
-    A frame without rows leaves a Parquet sheet that still has its schema.
+    A frame without rows leaves a Parquet sheet that still has its schema; for a
+    partitioned sheet ``value`` says which partition it empties.
     """
     path = sheet_path(book, sheet)
     if partition is None:
         overwrite_table(df, path, fmt, **_options(fmt))
     else:
-        overwrite_snapshot(df, path, partition, fmt, **_options(fmt))
+        overwrite_snapshot(df, path, partition, fmt, value, **_options(fmt))
 
 
 def write_sheets(frames: Mapping[str, DataFrame], book: str, fmt: str = "parquet") -> None:

@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 from snaplake.functions.dates import label
 from snaplake.operators.dedup import dedup_new
-from snaplake.operators.keys import Seq
+from snaplake.operators.keys import Seq, with_keys
 from snaplake.schemas import LOAD_TIME, SCHEMAS, SEQ, SNAPSHOT
-from snaplake.session import shared_dir
+from snaplake.session import drop_dir, shared_dir
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -77,6 +77,19 @@ def create_tables(spark: SparkSession, root: str) -> None:
         )
 
 
+def add_partition(spark: SparkSession, table: str, path: str, value: str) -> None:
+    """Tell the catalog of a partition written by path, if ``table`` is declared there."""
+    if not spark.catalog.tableExists(table):
+        return
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    if about is None or about["data_type"].rstrip("/").removeprefix("file:") != path.rstrip("/").removeprefix("file:"):
+        return
+    if SNAPSHOT in SCHEMAS[table].fieldNames():
+        quoted = value.replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({SNAPSHOT} = '{quoted}')")
+    spark.catalog.refreshTable(table)
+
+
 def stamp(df: DataFrame) -> DataFrame:
     """Load time for rows that have none yet."""
     return df.withColumn(LOAD_TIME, F.coalesce(LOAD_TIME, F.current_timestamp()))
@@ -90,10 +103,29 @@ def _writer(df: DataFrame, partition: str | None, fmt: str = "parquet"):
     return df.hint("rebalance", partition).write.format(fmt).partitionBy(partition)
 
 
+def partition_path(spark: SparkSession, path: str, partition: str, value: str) -> str:
+    """The folder of one partition, its value written as Spark writes it."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{path.rstrip('/')}/{partition}={escape(value)}"
+
+
 def overwrite_snapshot(
-    df: DataFrame, path: str, partition: str = SNAPSHOT, fmt: str = "parquet", **options: object
+    df: DataFrame,
+    path: str,
+    partition: str = SNAPSHOT,
+    fmt: str = "parquet",
+    value: str | None = None,
+    **options: object,
 ) -> None:
-    """Replace the partitions that occur in ``df``; all others stay."""
+    """Replace the partitions that occur in ``df``; all others stay.
+
+    ``value`` names the one partition that ``df`` stands for: without rows it is
+    left empty, with a file that has the columns.
+    """
+    if value is not None and df.isEmpty():
+        only = partition_path(df.sparkSession, path, partition, value)
+        overwrite_table(df.drop(partition), only, fmt, **options)
+        return
     (
         _writer(df, partition, fmt)
         .options(**options)
@@ -125,7 +157,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def replace_snapshots(df: DataFrame, path: str, partition: str = SNAPSHOT) -> None:
     """Like :func:`overwrite_snapshot` where ``df`` is computed from ``path``."""
-    overwrite_snapshot(stage(df, "replace"), path, partition)
+    copy = shared_dir(df.sparkSession, "replace")
+    df.write.parquet(copy)
+    overwrite_snapshot(df.sparkSession.read.schema(df.schema).parquet(copy), path, partition)
+    drop_dir(df.sparkSession, copy)
 
 
 def append_new(
@@ -137,15 +172,14 @@ def append_new(
 ) -> None:
     """Append the first row of each key that its partition does not hold yet.
 
-    The stored side is read for the partition range of ``df`` only. Running it
-    again with the same rows adds nothing.
+    Rows without a partition go to ``N/A``. The stored side is read for the
+    partitions of ``df`` only. Running it again with the same rows adds nothing.
     """
-    span = df.agg(F.min(partition).alias("low"), F.max(partition).alias("high")).first()
-    if span is None or span["low"] is None:
+    df = with_keys(df, [partition])
+    labels = [row[0] for row in df.select(partition).distinct().collect()]  # one per snapshot
+    if not labels:
         return
-    stored = load_first(df.sparkSession, [path], df.schema).where(
-        F.col(partition).between(F.lit(span["low"]), F.lit(span["high"]))
-    )
+    stored = load_first(df.sparkSession, [path], df.schema).where(F.col(partition).isin(labels))
     append_rows(dedup_new(df, stored, [partition, *keys], seq), path, partition)
 
 
