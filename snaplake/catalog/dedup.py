@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from snaplake.catalog import LINE_SEQ, query, table
 from snaplake.operators import dedup, reshape
 from snaplake.operators.resume import key_union
+from snaplake.sources import tables
 
 _LINE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice"
 
@@ -145,20 +146,25 @@ def sync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT user_id, bool_or(event_type = 'purchase') AS has_purchase,
-       bool_or(value > 400) AS has_large
-FROM events GROUP BY 1
+SELECT 'purchase' AS name, EXISTS (SELECT 1 FROM events WHERE event_type = 'purchase') AS has_data
+UNION ALL SELECT 'huge', EXISTS (SELECT 1 FROM events WHERE value > 1000000000)
+UNION ALL SELECT 'huge or open', EXISTS (SELECT 1 FROM events WHERE value > 1000000000)
+                              OR EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'O')
+UNION ALL SELECT 'unknown', EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey IS NULL)
 """
 )
 def has_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "events")
-        .groupBy("user_id")
-        .agg(
-            F.bool_or(F.col("event_type") == "purchase").alias("has_purchase"),
-            F.bool_or(F.col("value") > 400).alias("has_large"),
-        )
-    )
+    """Which of some row sets have any row; a search stops at the first one it finds."""
+    events, orders = table(spark, sf_dir, "events"), table(spark, sf_dir, "orders")
+    huge = events.where(F.col("value") > 1_000_000_000)
+    checks = {
+        "purchase": [events.where(F.col("event_type") == "purchase")],
+        "huge": [huge],
+        "huge or open": [huge, orders.where(F.col("o_orderstatus") == "O")],
+        "unknown": [table(spark, sf_dir, "lineitem").where(F.col("l_orderkey").isNull())],
+    }
+    found = [(name, tables.has_data(*frames)) for name, frames in checks.items()]
+    return spark.createDataFrame(found, "name string, has_data boolean")
 
 
 @query(

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from snaplake.catalog import query, table
 from snaplake.functions import dates, text, urls, values
-from snaplake.operators.filters import category_path, date_range, snapshot_rows
+from snaplake.operators.filters import category_path, date_range
+from snaplake.session import shared_dir
+from snaplake.sources import tables
 
 # The same character set as text.strip, spelled for the other engine.
 _SPACES = "||".join(
@@ -73,7 +75,7 @@ def live_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     creator = F.when(host.startswith("www."), F.lit("N/A")).otherwise(
         F.split_part(host, F.lit("."), F.lit(1))
     )
-    on_page = host.endswith("example.com") & urls.url_path(url).contains("/en/")
+    on_page = urls.is_live_page(url, F.when(host.endswith("example.com"), host), "/en/")
     return table(spark, sf_dir, "pages").select(
         "page_id",
         host.alias("host"),
@@ -349,10 +351,14 @@ WHERE strftime(o_orderdate, '%Y-%m') = '1997-05'
 """
 )
 def snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    return snapshot_rows(orders, "o_orderdate", "1997-05-01", "1997-05-31").select(
-        "o_orderkey", "o_custkey", "date_filter"
+    """Orders stored by month; one month read back."""
+    path = shared_dir(spark, "orders")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", dates.month_snapshot(F.col("o_orderdate")).alias("date_filter")
     )
+    tables.overwrite_snapshot(orders, path)
+    columns = ["o_orderkey", "o_custkey", "date_filter"]
+    return tables.snapshot_scan(spark, path, "1997-05-01", "1997-05-31", columns, orders.schema)
 
 
 @query(

@@ -71,7 +71,7 @@ def video_link(creator: Column, video_id: Column) -> Column:
     return _link(F.lit(fixed.PROFILE_BASE), creator, F.lit(fixed.VIDEO_PART), empty_to_null(video_id))
 
 
-def is_live_page(url: Column, host: str, path: str = fixed.LIVE_PATH) -> Column:
+def is_live_page(url: Column, host: str | Column, path: str = fixed.LIVE_PATH) -> Column:
     return (url_host(url) == F.lit(host)) & url_path(url).contains(path)
 
 

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snaplake.operators.keys import distinct_keys, join_by, names, spread
-
-ROWS_PER_SLICE = 100_000
+from snaplake.session import stage
 
 
 def resume_anti(new: DataFrame, stored: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -30,29 +29,26 @@ def key_union(stored: DataFrame, new: DataFrame, on: Sequence[str]) -> DataFrame
 
 
 def number_pages(
-    df: DataFrame,
-    parent: Sequence[str],
-    seq: str,
-    page_size: int,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    df: DataFrame, parent: Sequence[str], seq: str, page_size: int, parts: int | None = None
 ) -> DataFrame:
     """Add ``page``: 1-based page of a row within its parent, in ``seq`` order.
 
-    ``seq`` is a unique whole number, so a slice of its range holds at most
-    ``rows_per_slice`` rows of a parent. Rows are numbered within (parent, slice)
-    and moved up by the counts of the parent's earlier slices. No task ever
-    holds a whole parent; a window over parents sees one row per slice.
+    Rows are laid out over ``parts`` (by default the shuffle partitions) by ranges of
+    parent and ``seq``, whatever the values, so a part holds a share of a hot
+    parent. They are numbered within (parent, part) and moved up by the counts of
+    the parent's earlier parts. No task ever holds a whole parent; a window
+    over parents sees one row per part.
     """
     parent = names(parent)
     group = ["_parent", "_slice"]
     rest = [c for c in df.columns if c not in parent]
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # A struct of the parent keys is never NULL itself, so the join below loses
     # no row whose parent is unknown.
-    sliced = df.select(
-        F.struct(*parent).alias("_parent"),
-        _whole(F.col(seq), rows_per_slice).alias("_slice"),
-        *rest,
+    sliced = df.repartitionByRange(parts, *[F.col(c) for c in parent], F.col(seq)).select(
+        F.struct(*parent).alias("_parent"), F.spark_partition_id().alias("_slice"), *rest
     )
+    sliced = stage(sliced, "pages")  # the layout is the same for all that reads it
     before = Window.partitionBy("_parent").orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )

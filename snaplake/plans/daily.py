@@ -82,9 +82,9 @@ def run(
 ) -> dict[str, int]:
     """Load one snapshot; returns the number of rows added to each table.
 
-    The landing folder is best partitioned by snapshot and page kind: each table
-    then reads its own pages only. ``shop_base`` is the address an id is appended to, ``live_host`` the host of
-    livestream pages. ``max_shops`` takes that many shops in list order with all
+    Pages landed by :func:`~snaplake.sources.pages.land_pages` lie by snapshot and
+    kind, so each table reads its own only. ``shop_base`` is the address an id is
+    appended to, ``live_host`` the host of livestream pages. ``max_shops`` takes that many shops in list order with all
     that belongs to them. With ``book`` the sheets of the snapshot are rewritten.
     """
     snapshot = label(start, end)

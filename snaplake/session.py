@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -42,6 +42,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{parent.rstrip('/')}/snaplake/{name}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and continue from the written table.
+
+    This cuts lineage in a way that outlives executors.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_dir(spark: SparkSession, path: str) -> None:
     """Remove a folder that :func:`shared_dir` has named, on whatever store it is."""
     if "/snaplake/" not in path:

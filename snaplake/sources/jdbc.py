@@ -13,17 +13,35 @@ from snaplake.schemas import headers, snake
 ROWS_PER_INSERT = 500
 
 
+def read_options(
+    url: str,
+    table: str,
+    parts: tuple[str, int, int, int] | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> dict[str, str]:
+    options = {"url": url, "dbtable": table, **(properties or {})}
+    if parts is not None:
+        named = zip(("partitionColumn", "lowerBound", "upperBound", "numPartitions"), parts, strict=True)
+        options |= {name: str(value) for name, value in named}
+    return options
+
+
 def read_table(
     spark: SparkSession,
     url: str,
     table: str,
     snapshot: str,
     columns: Sequence[str],
+    parts: tuple[str, int, int, int] | None = None,
     properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Columns of one snapshot; filter and column list are pushed to the database."""
+    """Columns of one snapshot; filter and column list are pushed to the database.
+
+    ``parts`` (number column, lowest, highest, how many) reads over that many
+    connections; without it one task reads all.
+    """
     title = headers(table)
-    df = spark.read.jdbc(url, table, properties=dict(properties or {}))
+    df = spark.read.format("jdbc").options(**read_options(url, table, parts, properties)).load()
     return df.where(F.col("`Date Filter`") == F.lit(snapshot)).select(
         *[F.col(f"`{title[c]}`").alias(c) for c in columns]
     )

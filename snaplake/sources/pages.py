@@ -29,5 +29,10 @@ LANDED = T.StructType(
 )
 
 
+def land_pages(pages: DataFrame, path: str) -> None:
+    """Append pages under folders by snapshot and kind, so that a table reads its own."""
+    pages.write.mode("append").partitionBy("date_filter", "kind").parquet(path)
+
+
 def read_pages(spark: SparkSession, path: str, schema: T.StructType = PAGES) -> DataFrame:
     return spark.read.schema(schema).parquet(path)

@@ -144,17 +144,6 @@ def append_rows(df: DataFrame, path: str, partition: str | None = SNAPSHOT) -> N
     _writer(df, partition).mode("append").save(path)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and continue from the written table.
-
-    This cuts lineage in a way that outlives executors, and lets a job replace
-    the files it has read.
-    """
-    path = shared_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def replace_snapshots(df: DataFrame, path: str, partition: str = SNAPSHOT) -> None:
     """Like :func:`overwrite_snapshot` where ``df`` is computed from ``path``."""
     copy = shared_dir(df.sparkSession, "replace")

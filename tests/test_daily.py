@@ -184,3 +184,75 @@ def test_shop_cap(spark, places):
     assert added["shop_metrics"] == 1
     assert added["product_metrics"] == 1
     assert added["videos"] == 3
+
+
+def test_shop_cap_counts_shops(spark, places):
+    pages = landed()
+    again = (900, *pages[0][1:])
+    land(spark, places["landing"], [*pages, again])
+    assert load(spark, places, max_shops=2)["shop_metrics"] == 2
+
+
+def test_stored_addresses_are_cleaned(spark, places):
+    """Rows stored from elsewhere, under a longer address, count as done."""
+    from snaplake.schemas import SCHEMAS, conform
+    from snaplake.sources import tables
+
+    stored = spark.createDataFrame(
+        [(1, "https://data.example/shop/detail?z=1&id=1", SNAPSHOT), (2, "N/A", SNAPSHOT), (3, "", SNAPSHOT)],
+        "seq long, shop_link string, date_filter string",
+    )
+    tables.append_rows(conform(stored, SCHEMAS["shop_metrics"]), f"{places['warehouse']}/shop_metrics")
+    land(spark, places["landing"], landed())
+    assert load(spark, places)["shop_metrics"] == 1
+
+
+def test_sheets_and_catalog_of_a_run(spark, places):
+    from snaplake.schemas import SCHEMAS
+    from snaplake.sources import tables
+
+    try:
+        tables.create_tables(spark, places["warehouse"])
+        shops = [p for p in landed() if p[1] == "shop"]
+        land(spark, places["landing"], shops)
+        load(spark, places, book=places["book"])
+        assert spark.table("shop_metrics").count() == 2
+        for sheet in SHEET_NAMES.values():
+            assert spark.read.parquet(sheet_path(places["book"], sheet)).columns
+    finally:
+        for table in SCHEMAS:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_no_markup_is_shuffled(spark, places, conf):
+    """Below every exchange only short fields are left, and pages are pruned by kind."""
+    from snaplake.plans import daily
+    from snaplake.sources import tables
+    from snaplake.sources.pages import land_pages
+
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    land_pages(spark.createDataFrame(landed(), LANDED), places["landing"])
+    plans = []
+    append, upsert = tables.append_rows, tables.upsert_dim
+
+    def spy(rows, *rest):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        append(rows, *rest)
+
+    tables.append_rows = spy
+    try:
+        load(spark, places)
+    finally:
+        tables.append_rows = append
+    assert daily and upsert
+    parsing = [p for p in plans if "html" in p]
+    assert len(parsing) == 6
+    for text in parsing:
+        lines = text.splitlines()
+        for n, line in enumerate(lines):
+            if "Exchange hashpartitioning" in line:
+                below = next(x for x in lines[n + 1 :] if "Project" in x or "Aggregate" in x or "Scan" in x)
+                assert "html" not in below.replace("html_", ""), below
+        scans = [x for x in lines if "kind#" in x and "PartitionFilters" in x]
+        assert scans and all("date_filter" in x.split("PartitionFilters")[1] for x in scans)
+        assert text.count("ArrowEvalPython") <= 2

@@ -103,3 +103,67 @@ def test_row_is_parsed_once(spark):
     named = records.with_row(pages, "video").withColumn("item_title", F.col("row.name"))
     plan = named.select("item_title", "row.revenue")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython [") == 1
+
+
+BIO = next(r for r in fixed.CREATOR_RULES if r["field"] == "bio")
+
+
+def field(html, rule):
+    return markup._Page(html).find(rule)
+
+
+def test_the_value_stands_beside_its_label():
+    label = "<div>Creator Bio:</div>"
+    last = f"<div><div>x</div>{label}</div><div>Recent videos</div>"
+    assert field(last, BIO) is None
+    icon = f"<div>{label}<span><div>icon</div></span><div>the bio</div></div>"
+    assert field(icon, BIO) == "the bio"
+    assert field(f'<div><div class="a flex-1">before</div>{label}<div>past</div></div>', BIO) == "before"
+    rules = {r["field"]: r for r in fixed.VIDEO_RULES}
+    page = '<p><div class="text-base-999">Publish Date</div><b><div>no</div></b><div>2025</div></p>'
+    assert field(page, rules["publish_date"]) == "2025"
+
+
+def test_positions_count_within_one_parent():
+    rules = {r["field"]: r for r in fixed.LIVE_RULES}
+    short = '<div class="table"><div class="table-row"><span>a</span></div></div>'
+    page = short + (
+        '<div class="table"><div class="table-row"><span>b</span></div>'
+        '<div class="table-row"><b><span>deep</span></b><span>10:00</span>'
+        '<i><div class="table-cell">deep</div></i><div class="table-cell">1h</div></div></div>'
+    )
+    assert field(page, rules["livestream_time"]) == "10:00"
+    assert field(page, rules["duration"]) == "1h"
+
+
+def test_omitted_end_tags():
+    row = "<tr><td>1<td><div class='line-clamp-1'>Bob</div><td>Seller<td>$4"
+    rules = {r["field"]: r for r in fixed.ROW_RULES["shop_creator"]}
+    assert field(row, rules["account_type"]) == "Seller"
+    assert field(row, rules["name"]) == "Bob"
+    third = {"field": "x", "tag": "li", "inside": ("li", "", 3)}
+    assert field("<ul><li>a<ul><li>n<li>m</ul><li>b<p>c<p>d<li>e</ul>", third) == "e"
+    second = {"field": "x", "tag": "p", "inside": ("p", "", 2)}
+    assert field("<p>one<p>two<div>no</div>", second) == "two"
+
+
+def test_time_grows_with_the_page():
+    import time
+
+    def seconds(depth):
+        html = "<span>" * depth + "Majority - k" + "</span>" * depth
+        started = time.perf_counter()
+        page = markup._Page(html)
+        for rule in [*fixed.PRODUCT_CREATOR_RULES, *fixed.PRODUCT_RULES]:
+            page.find(rule)
+        return time.perf_counter() - started
+
+    short, deep = min(seconds(2_000) for _ in range(3)), min(seconds(16_000) for _ in range(3))
+    assert deep < 24 * short
+
+
+def test_fields_read_one_after_the_other(spark):
+    html = '<span>Reviews: 12</span><div class="product-sku">SKU (3)</div>'
+    df = spark.createDataFrame([(html, "r")], "html string, row string")
+    found = records.products(df).select("rating", "number_of_reviews", "product_skus").first()
+    assert tuple(found) == ("N/A", "N/A", "N/A")

@@ -92,7 +92,7 @@ def test_dual_key_shuffles_rows_twice(hot, no_broadcast):
 
 
 def test_page_numbers_never_gather_a_parent(hot):
-    text = plan(number_pages(hot, ["k"], "seq", 10, rows_per_slice=100))
+    text = plan(number_pages(hot, ["k"], "seq", 10, parts=6))
     windows = re.findall(r"Window \[row_number\(\).*?\], \[(.*?)\]", text)
     assert windows and all("_slice" in w for w in windows)
 

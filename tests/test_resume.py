@@ -48,18 +48,32 @@ def test_page_numbers_across_slices(spark):
         seen[parent] = seen.get(parent, 0) + 1
         want[seq] = (seen[parent] - 1) // 10 + 1
     df = spark.createDataFrame(rows, "seq long, p string").repartition(5)
-    for per_slice in (7, 100, 10_000):
-        got = number_pages(df, ["p"], "seq", 10, rows_per_slice=per_slice)
+    for parts in (1, 4, 90):
+        got = number_pages(df, ["p"], "seq", 10, parts=parts)
         assert {r["seq"]: r["page"] for r in got.collect()} == want
     nobody = spark.createDataFrame([(2**60 + 1, None), (2**60 + 3, None), (2, None)], "seq long, p string")
-    got = number_pages(nobody, ["p"], "seq", 2, rows_per_slice=100)
+    got = number_pages(nobody, ["p"], "seq", 2)
     assert sorted((r["seq"], r["page"]) for r in got.collect()) == [(2, 1), (2**60 + 1, 1), (2**60 + 3, 2)]
-    numbered = number_pages(df, ["p"], "seq", 10, rows_per_slice=50)
+    numbered = number_pages(df, ["p"], "seq", 10, parts=8)
     done = numbered.where("page <= 2").select("p", "page")
     left = {r["seq"] for r in resume_pages(numbered, done, ["p"]).collect()}
     assert left == {s for s, page in want.items() if page > 2}
 
 
+def test_sparse_ids_of_a_hot_parent_stay_in_few_parts(spark):
+    df = spark.range(0, 20_000, 1, 8).selectExpr(
+        "id * 1000000000 AS seq", "if(id % 2 = 0, 'hot', concat('p', id % 50)) AS p"
+    )
+    got = number_pages(df, ["p"], "seq", 10, parts=10)
+    text = got._jdf.queryExecution().analyzed().toString()
+    assert "_slice" in text
+    pages = {r["page"]: r["n"] for r in got.where("p = 'hot'").groupBy("page").count().toDF("page", "n").collect()}
+    assert pages == {n + 1: 10 for n in range(1000)}
+    # A part holds a bounded share, so the window over parents sees a row per part.
+    staged = df.repartitionByRange(10, "p", "seq").groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in staged.collect()) < 4_000
+
+
 def test_past_cursor(spark):
     assert past_cursor(spark.range(5).toDF("seq"), "seq", 2).count() == 2
 

@@ -244,4 +244,57 @@ def test_spine_and_catch_up(spark):
 
 def test_jdbc_columns_follow_the_headers():
     assert headers("product_creators")["tiktok_link"] == "TikTok Link"
-    assert jdbc.ROWS_PER_INSERT == 500
+
+
+def test_jdbc_reads_over_several_connections():
+    options = jdbc.read_options("jdbc:x", "lives", ("id", 1, 900, 8), {"user": "u"})
+    assert options == {
+        "url": "jdbc:x", "dbtable": "lives", "user": "u", "partitionColumn": "id",
+        "lowerBound": "1", "upperBound": "900", "numPartitions": "8",
+    }
+    assert "partitionColumn" not in jdbc.read_options("jdbc:x", "lives")
+
+
+def test_rows_without_partition_are_kept_and_not_doubled(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", "k int, v string, date_filter string"
+    batches = [[(1, "a", None), (2, "b", None)], [(2, "b", None), (3, "c", "d1"), (3, "d", "d1"), (3, "e", "d2")], []]
+    for batch in [*batches, *batches]:
+        tables.append_new(spark.createDataFrame(batch, schema), path, ["k"], "v")
+    found = spark.read.schema(schema).parquet(path)
+    assert sorted(map(tuple, found.collect())) == [(1, "a", "N/A"), (2, "b", "N/A"), (3, "c", "d1"), (3, "e", "d2")]
+
+
+def test_missing_number_keys_meet_the_stored_ones(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", "k long, t date, v string, date_filter string"
+    df = spark.createDataFrame([(None, None, "a", "d"), (None, None, "b", "d"), (0, None, "c", "d")], schema)
+    for _ in range(2):
+        tables.append_new(df, path, ["k", "t"], "v")
+    found = spark.read.schema(schema).parquet(path)
+    assert sorted(map(tuple, found.collect()), key=str) == [(0, None, "c", "d"), (None, None, "a", "d")]
+
+
+def test_a_snapshot_without_rows_is_emptied(spark, tmp_path):
+    df = spark.createDataFrame([(1, "d 1 ~ d/1"), (2, "d2")], "k int, date_filter string")
+    path = f"{tmp_path}/sheet"
+    sheets.write_sheet(df, str(tmp_path), "sheet", partition="date_filter")
+    none = df.where("k > 5")
+    sheets.write_sheet(none, str(tmp_path), "sheet", partition="date_filter", value="d 1 ~ d/1")
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(2, "d2")]
+    sheets.write_sheet(none, str(tmp_path), "fresh", partition="date_filter", value="d2")
+    fresh = spark.read.parquet(f"{tmp_path}/fresh")
+    assert fresh.columns == ["k", "date_filter"] and fresh.isEmpty()
+
+
+def test_no_copy_is_left_after_a_rewrite(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows(spark, (1, "x", "a")).write.partitionBy("date_filter").parquet(path)
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+
+    def copies():
+        folder = f"{shared}/snaplake"
+        return {f for f in (os.listdir(folder) if os.path.isdir(folder) else []) if f.startswith("replace-")}
+
+    before = copies()
+    stored = spark.read.schema(rows(spark).schema).parquet(path)
+    tables.replace_snapshots(stored.withColumn("v", F.lit("y")), path)
+    assert read(spark, path) == [(1, "y", "a")] and copies() == before
