@@ -43,6 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load_all() -> None:
     from snaplake.catalog import (  # noqa: F401
         columns,
+        daily,
         dedup,
         extraction,
         incremental,
