@@ -142,7 +142,9 @@ def metric_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_type") == "SMALL", F.lit("")).otherwise(card),
         F.lit("</div>"),
     )
-    parsed = table(spark, sf_dir, "part").select(
+    # Parsing is dear and the table is one small file: its rows are spread over all cores.
+    parts = table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism)
+    parsed = parts.select(
         "p_partkey", parse(page, [], metrics=True)["metrics"].alias("m")
     )
     shown = [
