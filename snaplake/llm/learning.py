@@ -18,7 +18,8 @@ def labelled_sample(
     """Texts, their labels, and the share of label 1 among all that may be learnt from.
 
     ``rows`` labels at most of either kind, in the order of a hash of their id, for
-    documents of ``most_bytes`` or fewer. This is all that reaches the driver.
+    documents of ``most_bytes`` or fewer; of ids that repeat, 4 * ``rows`` texts in all.
+    This is all that reaches the driver.
     """
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & seen).select(
         "doc_id", F.col(label).cast("int").alias("label")
@@ -32,9 +33,10 @@ def labelled_sample(
         .where(F.octet_length("text") <= most_bytes)
         .join(F.broadcast(some), "doc_id")  # 2 * rows rows of two numbers
         .select("text", "label", place.alias("place"))
+        .orderBy("place", "text", "label")
+        .limit(4 * rows)
         .collect()
     )
-    picked = sorted(picked, key=lambda r: (r["place"], r["text"]))[: 4 * rows]
     share = counts.get(1, 0) / max(sum(counts.values()), 1)
     return (
         [bytes(r["text"]) for r in picked],
