@@ -22,8 +22,10 @@ from snaplake.llm.frames import dropped, staged
 #: Larger components are out of the searched range, so that a score fits a long.
 LARGEST = 1 << 26
 LEVELS = 16
-#: Queries with accumulators at a time, few enough for these to stay in cache.
-TILE = 128
+#: Accumulators at a time, few enough to stay in cache.
+ACCUMULATORS = 1 << 19
+#: A strip is not cut below this many rows to keep more tasks busy.
+LEAST_STRIP = 2048
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -65,15 +67,10 @@ class ImpactIndex:
             self.left.append(np.sqrt((rest * rest).sum(axis=1)) * (1 + 1e-9))
 
     def search(self, queries: np.ndarray, k: int, few: float = 0.02) -> tuple[np.ndarray, np.ndarray]:
-        """(query, row) of every possible member of a top k: all members, and few others."""
-        parts = [self._search(queries[a : a + TILE], k, few) for a in range(0, len(queries), TILE)]
-        return (
-            np.concatenate([of + TILE * i for i, (of, _) in enumerate(parts)]),
-            np.concatenate([rows for _, rows in parts]),
-        )
-
-    def _search(self, queries: np.ndarray, k: int, few: float) -> tuple[np.ndarray, np.ndarray]:
-        """Scores so far are exact integers; bounds are rounded outwards."""
+        """(query, row) of every possible member of a top k: all members, and few others.
+
+        Scores so far are exact integers; bounds are rounded outwards.
+        """
         n, width = self.vectors.shape
         lengths = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9)
         largest = self.top * int(np.abs(queries).max(initial=0)) * max(width, 1)
@@ -122,8 +119,8 @@ def top_k(
     is_query: Column,
     k: int = 5,
     scale: int = 256,
-    strip_rows: int = 4096,
-    block_rows: int = 512,
+    strip_rows: int = 1 << 14,
+    block_rows: int = 1 << 14,
     vec_id: str = "vec_id",
     vector: str = "embedding",
 ) -> DataFrame:
@@ -139,7 +136,7 @@ def top_k(
     """
     found = vectors.where(usable(F.col(vector), scale) & F.col(vec_id).isNotNull()).select(
         F.col(vec_id).cast("long").alias("vec_id"),
-        quantised(F.col(vector), scale).alias("v"),
+        quantised(F.col(vector), scale).cast("array<int>").alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("is_query"),
         F.monotonically_increasing_id().alias("row"),
     )
@@ -149,7 +146,10 @@ def top_k(
         F.count_if("is_query").alias("asked"),
         F.coalesce(F.max(F.size("v")), F.lit(0)).alias("width"),
     ).first()
-    strips = max(1, -(-counted["n"] // strip_rows))
+    # A row travels once per block of queries and a query once per strip, so both are large; only
+    # where that leaves tasks idle are strips smaller.
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    strips = max(1, -(-counted["n"] // strip_rows), min(tasks, counted["n"] // LEAST_STRIP))
     blocks = max(1, -(-counted["asked"] // block_rows))
     width = counted["width"]
     strip = F.pmod(F.xxhash64("row"), F.lit(strips)).cast("int")
@@ -168,15 +168,21 @@ def top_k(
         ids, names = (t.column("vec_id").to_numpy() for t in (strip_, block_))
         # One more than asked for, as a query may find itself; its own copies go first.
         own = np.unique(ids, return_counts=True)[1].max(initial=1)
-        of, at = ImpactIndex(data).search(queries, k + int(own))
-        other = ids[at] != names[of]
-        of, at = of[other], at[other]
-        scores = np.empty(len(of), np.int64)
-        for a in range(0, len(of), 1 << 18):
-            part = slice(a, a + (1 << 18))
-            scores[part] = (data[at[part]] * queries[of[part]]).sum(axis=1)
-        best = _best(of, ids[at], scores, k)
-        return pa.table({"query_id": names[of[best]], "vec_id": ids[at[best]], "score": scores[best]})
+        index, tile = ImpactIndex(data), max(16, ACCUMULATORS // len(data))
+        parts = []
+        for first in range(0, len(queries), tile):
+            of, at = index.search(queries[first : first + tile], k + int(own))
+            of += first
+            other = ids[at] != names[of]
+            of, at = of[other], at[other]
+            scores = np.empty(len(of), np.int64)
+            for a in range(0, len(of), 1 << 18):
+                part = slice(a, a + (1 << 18))
+                scores[part] = (data[at[part]] * queries[of[part]]).sum(axis=1)
+            best = _best(of, ids[at], scores, k)
+            parts.append((names[of[best]], ids[at[best]], scores[best]))
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 
     best, _ = staged(
         rows.groupBy("strip", "block").cogroup(asked.groupBy("strip", "block")).applyInArrow(search, FOUND),

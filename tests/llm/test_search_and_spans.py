@@ -29,6 +29,17 @@ def test_top_k(spark, strip, block):
     assert sort(found.collect()) == sort(brute.top_k(rows, lambda i: i % 50 == 0))
 
 
+def test_queries_by_tiles(spark, monkeypatch):
+    """Every row is a query; a hot vector and ties reach over tiles, strips and blocks."""
+    rows = [r for r in vectors() if r[0] is not None]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = sort(brute.top_k(rows, lambda i: True))
+    monkeypatch.setattr(top_k, "ACCUMULATORS", 1)
+    for rows_each in (1 << 14, 50):
+        found = top_k.top_k(df, F.lit(True), k=5, strip_rows=rows_each, block_rows=rows_each)
+        assert sort(found.collect()) == want
+
+
 def test_top_k_of_little(spark):
     schema = "vec_id long, embedding array<float>"
     assert top_k.top_k(spark.createDataFrame([], schema), F.lit(True)).collect() == []
