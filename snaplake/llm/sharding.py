@@ -37,7 +37,10 @@ def cut_shards(sized: DataFrame, order: Sequence[str], shards: int = 16) -> Data
     spark = sized.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc_nulls_last() for c in order]
-    ranged = sized.repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id())
+    # Rows equal in all keys, if many, are cut apart by where they were read.
+    read = sized.withColumn("_read", F.monotonically_increasing_id())
+    ranged = read.repartitionByRange(parts, *keys, "_read").drop("_read")
+    ranged = ranged.withColumn("_part", F.spark_partition_id())
     ranged, path = staged(ranged, "shard-parts")
 
     totals = ranged.groupBy("_part").agg(
