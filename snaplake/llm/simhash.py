@@ -23,6 +23,10 @@ from snaplake.llm.frames import digest128, dropped, small_batches, staged
 
 SEED = 42
 LANES = np.uint64(0x0101010101010101)
+#: A vantage-point tree is built from twice as many fingerprints at most: 16 MB on the driver.
+MOST_SAMPLE = 1 << 20
+#: Fingerprints that walk down a tree together.
+WALK = 1 << 16
 
 
 def shingle_hashes(text: bytes, length: int) -> np.ndarray:
@@ -98,6 +102,18 @@ def _halves(prints: np.ndarray) -> list[np.ndarray]:
     return [(prints >> np.uint64(32)).astype(np.uint32), prints.astype(np.uint32)]
 
 
+def _walks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The fingerprints of several batches together, since a walk costs about the same for few."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        held.append(batch.column("fingerprint").to_numpy(zero_copy_only=False).astype(np.int64))
+        if sum(map(len, held)) >= WALK:
+            yield np.concatenate(held)
+            held = []
+    if held:
+        yield np.concatenate(held)
+
+
 def linked(
     prints: DataFrame,
     most_bits: int = 3,
@@ -107,17 +123,19 @@ def linked(
 ) -> DataFrame:
     """Edges (u, v) that connect all of the distinct ``fingerprint`` rows within ``most_bits``.
 
+    Trees are built from ``sample_rows`` fingerprints or one in 128, up to MOST_SAMPLE (twice
+    that after rounding), chosen by hash, so that leaves stay small as the table grows.
     Within a tile only a spanning star per class is given, never all pairs.
     """
     reach = most_bits // 2
     n = prints.count()
-    sample = prints.orderBy(F.xxhash64("fingerprint")).limit(sample_rows).toPandas()["fingerprint"]
-    sample = sample.to_numpy(np.int64).view(np.uint64)
+    one_in = max(1, n // min(max(sample_rows, n // 128), MOST_SAMPLE))
+    chosen = prints.where(F.pmod(F.xxhash64(F.lit("sample"), "fingerprint"), F.lit(one_in)) == 0)
+    sample = chosen.select("fingerprint").toPandas()["fingerprint"].to_numpy(np.int64).view(np.uint64)
     trees = [vptree.build(np.sort(half), n // leaf_rows, reach) for half in _halves(sample)]
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            points = batch.column("fingerprint").to_numpy(zero_copy_only=False).astype(np.int64)
+        for points in _walks(batches):
             for number, (tree, half) in enumerate(zip(trees, _halves(points.view(np.uint64)), strict=True)):
                 rows, leaves = tree.visits(half, reach)
                 own_rows, own = tree.visits(half, 0)

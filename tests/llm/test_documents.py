@@ -84,6 +84,17 @@ def test_shards_of_a_table(spark, sf):
     assert max(held) - min(held) <= 2 * max(row["size"] for row in got)
 
 
+def test_equal_rows_are_cut_apart(spark):
+    """Rows that all miss their id and have one text are spread over all shards."""
+    df = spark.createDataFrame([(None, "same")] * 800 + [(1, "other")], "doc_id long, text string").repartition(4)
+    placed = sharding.shard_documents(df, shards=8)
+    ranged = sharding.cut_shards(sharding.with_sizes(df), ["doc_id", "text_crc32", "size"], 8)
+    assert ranged.columns == ["doc_id", "text", "size", "text_crc32", "shard", "slot"]
+    counts = {r["shard"]: (r["n"], r["last"]) for r in placed.groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("last")).collect()}
+    assert sorted(counts) == list(range(8))
+    assert all(99 <= n <= 102 and last == n - 1 for n, last in counts.values())
+
+
 def test_simhash(messy, spark, sf):
     df, rows, _ = messy
     found = simhash.near_duplicates(df).select("doc_id", "fingerprint", "component_id")
@@ -92,7 +103,7 @@ def test_simhash(messy, spark, sf):
     assert sort(catalog.op8_simhash(spark, sf).collect()) == sort(brute.simhash(docs))
 
 
-def test_trees_and_tiles_lose_no_link(spark):
+def test_trees_and_tiles_lose_no_link(spark, monkeypatch):
     import random
 
     rng = random.Random(1)
@@ -107,7 +118,8 @@ def test_trees_and_tiles_lose_no_link(spark):
     signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
     df = spark.createDataFrame(signed, "fingerprint long").repartition(4)
     want = brute.classes(prints)
-    for tile in (1 << 16, 20):
+    for tile, walk in ((1 << 16, 1 << 16), (20, 100)):
+        monkeypatch.setattr(simhash, "WALK", walk)
         edges = simhash.linked(df, 3, leaf_rows=64, sample_rows=400, tile_rows=tile)
         roots = {r["node"]: r["root"] for r in components.components(edges).collect()}
         got = [roots.get(p[0], p[0]) for p in signed]
