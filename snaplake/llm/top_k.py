@@ -12,6 +12,8 @@ enough to be scored again exactly, or when no segment is left.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -19,8 +21,7 @@ from pyspark.sql import functions as F
 
 from snaplake.llm.frames import dropped, staged
 
-#: Larger components are out of the searched range, so that a score fits a long.
-LARGEST = 1 << 26
+MOST_LONG = (1 << 63) - 1
 LEVELS = 16
 #: Accumulators at a time, few enough to stay in cache.
 ACCUMULATORS = 1 << 19
@@ -30,15 +31,15 @@ FOUND = "query_id long, vec_id long, score long"
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * x) of each component."""
-    return F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
+    """floor(scale * x) of each component, or the nearest number within ``MOST_LONG`` of zero."""
+    least = F.lit(-MOST_LONG)
+    return F.transform(vector, lambda x: F.greatest(F.floor(F.lit(scale) * x.cast("double")).cast("long"), least))
 
 
-def usable(vector: Column, scale: int = 256) -> Column:
-    """No vector that is missing or has a missing, non-finite or too large component."""
-    most = float(LARGEST / scale)
+def usable(vector: Column) -> Column:
+    """No vector that is missing or has a missing or non-finite component."""
     return vector.isNotNull() & F.forall(
-        vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < most)
+        vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf"))
     )
 
 
@@ -105,6 +106,18 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return out
 
 
+def _split(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows whose products surely fit a long with room for bounds, and the others."""
+    fits = np.abs(vectors).max(axis=1, initial=0) <= math.isqrt((1 << 61) // max(vectors.shape[1], 1))
+    return np.flatnonzero(fits), np.flatnonzero(~fits)
+
+
+def _unbounded(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Scores of all pairs in whole numbers of any size, then the nearest long."""
+    scores = queries.astype(object) @ data.T.astype(object)
+    return np.clip(scores, -MOST_LONG, MOST_LONG).astype(np.int64)
+
+
 def _best(of: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Which of the scored pairs are among the k best of their query; ties to the smaller id."""
     order = np.lexsort((ids, -scores, of))
@@ -128,15 +141,15 @@ def top_k(
 
     All rows are searched, but for those with the query's own id. The score is the inner
     product of the vectors as integers; of unequal lengths the shorter one is
-    filled up with zeros. Vectors that are missing, or have missing, non-finite
-    or huge (2^26 or more as integers) components take no part, and neither do rows without an
-    id. Rows that repeat under one id are separate candidates; queries that repeat are
+    filled up with zeros. Vectors that are missing, or have missing or non-finite
+    components take no part, and neither do rows without an id. A component or score
+    beyond a long is the nearest long; vectors too large for the index are scored one by one. Rows that repeat under one id are separate candidates; queries that repeat are
     asked once. Fewer than ``k`` candidates are all returned. Other columns are
     not read, and an empty table gives an empty one.
     """
-    found = vectors.where(usable(F.col(vector), scale) & F.col(vec_id).isNotNull()).select(
+    found = vectors.where(usable(F.col(vector)) & F.col(vec_id).isNotNull()).select(
         F.col(vec_id).cast("long").alias("vec_id"),
-        quantised(F.col(vector), scale).cast("array<int>").alias("v"),
+        quantised(F.col(vector), scale).alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("is_query"),
         F.monotonically_increasing_id().alias("row"),
     )
@@ -145,7 +158,10 @@ def top_k(
         F.count(F.lit(1)).alias("n"),
         F.count_if("is_query").alias("asked"),
         F.coalesce(F.max(F.size("v")), F.lit(0)).alias("width"),
+        F.coalesce(F.max(F.array_max(F.transform("v", F.abs))), F.lit(0)).alias("top"),
     ).first()
+    if counted["top"] < 1 << 31:  # half the bytes to shuffle
+        found = found.withColumn("v", F.col("v").cast("array<int>"))
     # A row travels once per block of queries and a query once per strip, so both are large; only
     # where that leaves tasks idle are strips smaller.
     tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -168,21 +184,31 @@ def top_k(
         ids, names = (t.column("vec_id").to_numpy() for t in (strip_, block_))
         # One more than asked for, as a query may find itself; its own copies go first.
         own = np.unique(ids, return_counts=True)[1].max(initial=1)
-        index, tile = ImpactIndex(data), max(16, ACCUMULATORS // len(data))
+        (rows, large), (plain, wide) = _split(data), _split(queries)
+        index, tile = ImpactIndex(data[rows]), max(16, ACCUMULATORS // len(data))
         parts = []
-        for first in range(0, len(queries), tile):
-            of, at = index.search(queries[first : first + tile], k + int(own))
-            of += first
+
+        def keep(of: np.ndarray, at: np.ndarray, scores: np.ndarray) -> None:
             other = ids[at] != names[of]
-            of, at = of[other], at[other]
+            of, at, scores = of[other], at[other], scores[other]
+            best = _best(of, ids[at], scores, k)
+            parts.append((names[of[best]], ids[at[best]], scores[best]))
+
+        for first in range(0, len(plain), tile):
+            some = plain[first : first + tile]
+            of, at = index.search(queries[some], k + int(own))
+            of, at = some[of], rows[at]
             scores = np.empty(len(of), np.int64)
             for a in range(0, len(of), 1 << 18):
                 part = slice(a, a + (1 << 18))
                 scores[part] = (data[at[part]] * queries[of[part]]).sum(axis=1)
-            best = _best(of, ids[at], scores, k)
-            parts.append((names[of[best]], ids[at[best]], scores[best]))
-        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
+            keep(of, at, scores)
+        for asked_, against in ((plain, large), (wide, np.arange(len(data)))):
+            for of in asked_ if len(against) else ():
+                keep(np.full(len(against), of), against, _unbounded(queries[of], data[against]))
+        of, at, scores = (np.concatenate(c) for c in zip(*parts, strict=True))
+        best = _best(of, at, scores, k)
+        return pa.table({"query_id": of[best], "vec_id": at[best], "score": scores[best]})
 
     best, _ = staged(
         rows.groupBy("strip", "block").cogroup(asked.groupBy("strip", "block")).applyInArrow(search, FOUND),

@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import xxhash
 
@@ -24,17 +25,21 @@ def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+def near_long(n):
+    return max(-(2**63) + 1, min(2**63 - 1, n))
+
+
 def top_k(rows, is_query, k=5):
     import math
 
     usable = [
-        (i, [math.floor(256 * float(x)) for x in v])
+        (i, [near_long(math.floor(Fraction(float(x)) * 256)) for x in v])
         for i, v in rows
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
     ]
     out = []
     for q, a in dict(r for r in usable if is_query(r[0])).items():
-        scored = [(-sum(x * y for x, y in zip(a, b, strict=False)), i) for i, b in usable if i != q]
+        scored = [(-near_long(sum(x * y for x, y in zip(a, b, strict=False))), i) for i, b in usable if i != q]
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k])]
     return sorted(out)
 

@@ -40,6 +40,15 @@ def test_queries_by_tiles(spark, monkeypatch):
         assert sort(found.collect()) == want
 
 
+@pytest.mark.parametrize("huge", [[1e6, 7e5], [-3e7, 1e6, 1e13], [1e300, -1e300, 2e16, -5e9]])
+def test_huge_components_take_part(spark, huge):
+    rows = [r for r in vectors() if r[0] is not None]
+    rows += [(8000 + i, [x, -1.5, x / 3] + [0.25] * 5) for i, x in enumerate(huge)] + [(8050, [2e6] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = top_k.top_k(df, F.col("vec_id") % 50 == 0, k=5, strip_rows=60)
+    assert sort(found.collect()) == sort(brute.top_k(rows, lambda i: i % 50 == 0))
+
+
 def test_top_k_of_little(spark):
     schema = "vec_id long, embedding array<float>"
     assert top_k.top_k(spark.createDataFrame([], schema), F.lit(True)).collect() == []
