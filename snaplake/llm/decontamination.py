@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.llm import words
-from snaplake.llm.frames import digest128, dropped, small_batches, staged
+from snaplake.llm.frames import digest128, dropped, small_batches, staged, unused
 
 #: A-Z become a-z; digits, a-z and all bytes beyond ASCII stay; the rest separates.
 _FOLD = bytes(
@@ -284,7 +284,8 @@ def contamination(
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs`` that have no word of a benchmark window, with all their columns."""
     found = contamination(docs, benchmark, window)
-    bad, _ = staged(found.where("n_hit > 0").select("k1", "k2").distinct().toDF("_k1", "_k2"), "contaminated")
+    names = unused(docs, "k1", "k2")
+    bad, _ = staged(found.where("n_hit > 0").select("k1", "k2").distinct().toDF(*names), "contaminated")
     keys = digest128(F.col("doc_id"), F.col("text"), salt="row")
-    keyed = docs.withColumns(dict(zip(("_k1", "_k2"), keys, strict=True)))
-    return keyed.join(bad, ["_k1", "_k2"], "left_anti").drop("_k1", "_k2")
+    keyed = docs.withColumns(dict(zip(names, keys, strict=True)))
+    return keyed.join(bad, names, "left_anti").drop(*names)

@@ -40,6 +40,14 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.drop(*names)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names`` after as many underscores as keep them apart from the columns of ``df``."""
+    taken, front = {c.lower() for c in df.columns}, "_"
+    while any(f"{front}{n}".lower() in taken for n in names):
+        front += "_"
+    return [f"{front}{n}" for n in names]
+
+
 def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder and go on from there: lineage ends in files
     that outlive executors. Returns the written table and its folder."""

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snaplake.llm.frames import dropped, staged, whole_text, without, word_count
+from snaplake.llm.frames import dropped, staged, unused, whole_text, without, word_count
 
 HASH_BITS = 60
 RESULT = ("size", "source_size", "target", "copies", "taken")
@@ -163,13 +163,14 @@ def mix(
     )
     sized, path = staged(sized, "mix-sizes")
     rules = dropped(source_rules(sized, weights, cap), path)
-    rules = rules.select(*(F.col(c).alias(f"_mix_{c}") for c in rules.columns))
-    copies = F.col("_mix_epochs") + (place < F.col("_mix_threshold")).cast("long")
+    at = dict(zip(rules.columns, unused(docs, *rules.columns), strict=True))
+    rules = rules.toDF(*at.values())
+    copies = F.col(at["epochs"]) + (place < F.col(at["threshold"])).cast("long")
     return (
         docs.withColumn("size", word_count(F.col(text)))
-        .join(rules, docs[source].eqNullSafe(rules["_mix_source"]))
-        .withColumn("source_size", F.col("_mix_source_size"))
-        .withColumn("target", F.col("_mix_target"))
+        .join(rules, docs[source].eqNullSafe(rules[at["source"]]))
+        .withColumn("source_size", F.col(at["source_size"]))
+        .withColumn("target", F.col(at["target"]))
         .withColumn("copies", copies.cast("long"))
         .withColumn("taken", F.col("size") * F.col("copies"))
         .drop(*rules.columns)

@@ -89,6 +89,17 @@ def shard_documents(
     is NULL, since a cut by bytes moves rows anywhere when a shard is added.
     Columns of ``docs`` with a name above are replaced.
     """
-    sized = with_sizes(without(docs, RESULT), text)
-    placed = cut_shards(sized, [doc_id, "text_crc32", "size"], shards)
-    return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+    docs = without(docs, RESULT)
+    names = [f"_{i}" for i in range(len(docs.columns))]  # apart from what the cut adds
+    at = {c.lower(): n for c, n in zip(docs.columns, names, strict=True)}
+    sized = with_sizes(docs.toDF(*names), at[text.lower()])
+    placed = cut_shards(sized, [at[doc_id.lower()], "text_crc32", "size"], shards)
+    return placed.select(
+        *(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from snaplake.llm import vptree, words
 from snaplake.llm.components import components
-from snaplake.llm.frames import digest128, dropped, small_batches, staged
+from snaplake.llm.frames import digest128, dropped, small_batches, staged, unused
 
 SEED = 42
 LANES = np.uint64(0x0101010101010101)
@@ -124,12 +124,13 @@ def linked(
     """Edges (u, v) that connect all of the distinct ``fingerprint`` rows within ``most_bits``.
 
     Trees are built from ``sample_rows`` fingerprints or one in 128, up to MOST_SAMPLE (twice
-    that after rounding), chosen by hash, so that leaves stay small as the table grows.
+    that after rounding), chosen by hash, so that leaves stay small as the table grows. Never
+    more than about half of the rows, also of a small table.
     Within a tile only a spanning star per class is given, never all pairs.
     """
     reach = most_bits // 2
     n = prints.count()
-    one_in = max(1, n // min(max(sample_rows, n // 128), MOST_SAMPLE))
+    one_in = max(2, n // min(max(sample_rows, n // 128), MOST_SAMPLE))
     chosen = prints.where(F.pmod(F.xxhash64(F.lit("sample"), "fingerprint"), F.lit(one_in)) == 0)
     sample = chosen.select("fingerprint").toPandas()["fingerprint"].to_numpy(np.int64).view(np.uint64)
     trees = [vptree.build(np.sort(half), n // leaf_rows, reach) for half in _halves(sample)]
@@ -271,7 +272,7 @@ def one_of_each(
         "simhash-again",
     )
     dropped(rest, found_path, best_path)
-    names = ["_k1", "_k2"]
+    names = unused(docs, "k1", "k2")
     keys = digest128(F.col(doc_id), F.col(text), salt="row")
     keyed = docs.withColumns(dict(zip(names, keys, strict=True)))
     rest, again = (frame.toDF(*names) for frame in (rest, again))

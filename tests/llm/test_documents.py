@@ -199,3 +199,32 @@ def test_nothing(nothing, spark):
     one = spark.createDataFrame([(1, LONG)], "doc_id long, text string")
     hits = decontamination.contamination(one, benchmark.limit(0)).where(F.col("n_hit") > 0)
     assert hits.isEmpty()
+
+
+def test_columns_named_like_helpers_stay(spark):
+    """Names that the operators use for themselves are still columns of what they return."""
+    odd = ["_k1", "__k2", "_source", "_epochs", "_threshold", "_part", "_row", "_read", "_begin", "_0", "_copy"]
+    rows = [(i, f"{LONG} {'abc'[i % 3]} " * 3 + f"{i // 6} tail", "ab"[i % 2], *[f"{i}"] * len(odd)) for i in range(12)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "source", *odd]).withColumn("doc_id", F.col("doc_id").cast("long"))
+    few = spark.createDataFrame([(1, "0 tail abc"), (2, "1 tail")], "item_id long, text string")
+    for found in (
+        simhash.one_of_each(df),
+        mixing.mix(df),
+        mixing.mixed_rows(df),
+        decontamination.decontaminated(df, few),
+        sharding.shard_documents(df),
+    ):
+        assert found.columns[: len(df.columns)] == df.columns
+        got = found.collect()
+        assert got and all(r[c] == str(r["doc_id"]) for r in got for c in odd)
+
+
+def test_a_small_table_is_sampled_too(spark, monkeypatch):
+    """The driver never sees all fingerprints, however few there are."""
+    from snaplake.llm import vptree
+
+    seen, build = [], vptree.build
+    monkeypatch.setattr(vptree, "build", lambda sample, *rest: seen.append(len(sample)) or build(sample, *rest))
+    df = spark.range(400).select(F.xxhash64("id").alias("fingerprint"))
+    simhash.linked(df).collect()
+    assert seen and max(seen) < 300
