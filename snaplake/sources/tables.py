@@ -207,16 +207,18 @@ def upsert_dim(new: DataFrame, path: str, keys: Sequence[str], seq: str = SEQ) -
 def dual_sink(df: DataFrame, *sinks: Callable[[DataFrame], None]) -> None:
     """Give the same rows to several sinks, computing them once.
 
-    A failing sink does not keep the others from being written; the first error
-    is raised when all have been tried.
+    The rows are written to the shared folder until all sinks have them, so a lost
+    executor does not make them be computed again. A failing sink does not keep
+    the others from being written; the first error is raised when all have been tried.
     """
     errors: list[Exception] = []
-    kept = df.persist()
+    path = shared_dir(df.sparkSession, "sinks")
+    df.write.parquet(path)
     for write in sinks:
         try:
-            write(kept)
+            write(df.sparkSession.read.schema(df.schema).parquet(path))
         except Exception as error:
             errors.append(error)
-    kept.unpersist()
+    drop_dir(df.sparkSession, path)
     if errors:
         raise errors[0]
