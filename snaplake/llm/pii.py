@@ -3,9 +3,10 @@
 Strict rules give the base spans. Loose rules propose more, overlapping each other
 and the base. Whether a proposal meets a base span of its kind is the label that gradient
 boosted trees learn, from the shape of the span and its context but not from what
-the strict rules test (checksums, a leading plus, ranges). A held-out part of the sample
-gives each kind the lowest score at which such proposals are nearly always right;
-proposals above it are added. All of it is DataFrame work; no row passes through Python.
+the strict rules test (checksums, a leading plus, ranges). The trees learn from a bounded
+sample of each kind; all held-out candidates of the table give each kind the lowest score
+at which such proposals are nearly always right; proposals above it are added. All of it
+is DataFrame work; no row passes through Python.
 """
 
 from __future__ import annotations
@@ -180,20 +181,33 @@ def _scored(model: GBTClassificationModel, found: DataFrame) -> DataFrame:
 def train(found: DataFrame, rows: int = 20_000, right: float = 0.95, bins: int = 50) -> tuple[GBTClassificationModel | None, dict[int, float]]:
     """Boosted trees and, by kind, the score from which proposals are taken.
 
-    From ``rows`` candidates, in the order of a hash; one in four is held out.
-    A kind's threshold is the lowest bin of scores from which on a share of ``right`` or more
-    of the held-out candidates meet a base span. Without candidates of both sorts there is no model.
+    One candidate in four, by hash, is held out. The trees learn from about ``rows`` of the
+    others, in even shares for each kind and label, so a frequent kind does not take the
+    places of a rare one. Thresholds come from all held-out candidates of the table: a
+    kind's is the lowest bin of scores from which on a share of ``right`` or more of them
+    meet a base span. Without candidates of both sorts there is no model.
     """
     place = F.xxhash64("row", "kind", "begin", "end")
-    some = found.withColumn("place", place).orderBy("place").limit(rows)
-    some, path = staged(some.withColumn("label", F.col("met").cast("double")), "pii-sample")
-    seen, held = some.where(F.col("place") % 4 != 0), some.where(F.col("place") % 4 == 0)
-    if seen.select("label").distinct().count() < 2:
+    known = found.withColumn("held", place % 4 == 0).withColumn("label", F.col("met").cast("double"))
+    seen, held = known.where(~F.col("held")), known.where("held")
+    groups = ["kind", "label"]
+    sizes = seen.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).collect()  # eight rows at most
+    if len({r["label"] for r in sizes}) < 2:
+        return None, {}
+    share = F.coalesce(
+        *(
+            F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]), F.lit(rows / len(sizes) / r["n"]))
+            for r in sizes
+        )
+    )
+    drawn = F.pmod(F.xxhash64(F.lit("sample"), "row", "kind", "begin", "end"), F.lit(1 << 40)) / (1 << 40)
+    some, path = staged(seen.where(drawn < share), "pii-sample")
+    if some.select("label").distinct().count() < 2:
         return None, {}
     vector = VectorAssembler(inputCols=list(_features()), outputCol="features")
     model = GBTClassifier(
         maxIter=10, maxDepth=4, stepSize=0.3, seed=1, checkpointInterval=-1, minInstancesPerNode=5
-    ).fit(vector.transform(seen).select("features", "label"))
+    ).fit(vector.transform(some).select("features", "label"))
     by_bin = (
         _scored(model, held)
         .groupBy("kind", F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int").alias("bin"))

@@ -103,6 +103,15 @@ def test_proposals_are_learnt_and_redacted(spark):
     assert "555" not in text and text.startswith("please call ") and len(text) == len(rows[-1][1])
 
 
+def test_rare_kinds_have_thresholds(spark):
+    """Far more numbers than the sample has rows do not take the places of the other kinds."""
+    numbers = " ".join(f"{10 + n},{n}7" for n in range(60))
+    rows = [(i, f"{numbers} {i}") for i in range(300)]
+    rows += [(1000 + i, f"please call +1 ({200 + i}) 555-{1000 + i} or write to a{i}@b.example.com") for i in range(40)]
+    found = pii.candidates(spark.createDataFrame(rows, "doc_id long, text string"))[1]
+    assert {pii.KINDS.index("email"), pii.KINDS.index("phone")} <= set(pii.train(found, rows=240)[1])
+
+
 def test_no_spans_in_nothing(nothing):
     assert pii.find_personal_data(nothing).collect() == []
 
