@@ -1,16 +1,22 @@
 """Personal data: loose generators propose spans, boosted trees choose among them.
 
 Strict rules give the base spans. Loose rules propose more, overlapping each other
-and the base. Whether a proposal meets a base span of its kind is the label that gradient
-boosted trees learn, from the shape of the span and its context but not from what
-the strict rules test (checksums, a leading plus, ranges). The trees learn from a bounded
-sample of each kind; all held-out candidates of the table give each kind the lowest score
-at which such proposals are nearly always right; proposals above it are added. All of it
-is DataFrame work; no row passes through Python.
+and the base. Gradient boosted trees learn to tell base spans, their marks taken off, from
+candidates that fail a checksum or range; they see the shape of the span and its context
+but not what the strict rules test (checksums, a leading plus, an at sign, ranges). A loose
+proposal that passes those tests and meets no base span is neither: it is what the trees
+are asked about. The trees learn from a bounded sample of each kind; all held-out candidates
+of the table that are known to be right or wrong give each kind the lowest score at which
+they are nearly always right; proposals above it are added. All of it is DataFrame work; no
+row passes through Python.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -37,18 +43,42 @@ LOOSE = {
 }
 #: A text without any of these has no candidate of the kind; a cheap test before the patterns.
 NEEDS = {"email": "(?i)@|[(\\[\\s]at[)\\]\\s]", "ip": "[0-9][.,:][0-9]", "card": "[0-9]", "phone": "[0-9]"}
+_ADDRESS = (
+    r"^(?!\.)(?![^@]*\.[.@])[^@]{1,64}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])$"
+)
+_Y, _M, _D = "(?:19|20)[0-9]{2}", "(?:0?[1-9]|1[0-2])", "(?:0?[1-9]|[12][0-9]|3[01])"
+_DATE = rf"^(?:{_Y}([ .-]){_M}\1{_D}|{_D}([ .-]){_M}\2{_Y}|{_M}([ .-]){_D}\3{_Y})(?![0-9])"
 CONTEXT = 32
 _HINT = r"(?i)\b(mail|e-mail|contact|write|ip|host|server|address|card|visa|pay|phone|tel|call|fax|mobile)\b"
 
 
 def _matches(text: Column, kind: str, pattern: str, strict: bool) -> Column:
-    """Each match with the length of the gap before it and its context."""
+    """Each match with the length of the gap before it and its context, which other matches do not cut."""
     gaps = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-    # The gaps are named once per row, not split again for each match.
+    def pieces(x: Column, cut: Callable[[Column, Column], Column]) -> Column:
+        """Gaps and matches in turn, as much of each as a context may hold."""
+        matches = F.concat(x["found"], F.array(F.lit("")))
+        return F.flatten(
+            F.zip_with(x["gaps"], matches, lambda g, m: F.array(cut(g, F.lit(CONTEXT)), cut(m, F.lit(CONTEXT))))
+        )
+
+    # The gaps are named once per row, not split again for each match; so are the pieces.
+    # Matches are not empty, so 2 * CONTEXT + 1 pieces fill a context.
+    named_gaps = F.array(F.struct(found.alias("found"), gaps.alias("gaps")))
+    with_pieces = F.transform(
+        named_gaps,
+        lambda x: F.struct(
+            x["found"].alias("found"),
+            x["gaps"].alias("gaps"),
+            pieces(x, F.left).alias("lefts"),
+            pieces(x, F.right).alias("rights"),
+        ),
+    )
+    most = 2 * CONTEXT + 1
     with_gaps = F.transform(
-        F.array(F.struct(found.alias("found"), gaps.alias("gaps"))),
+        with_pieces,
         lambda x: F.transform(
             x["found"],
             lambda match, at: F.struct(
@@ -57,8 +87,16 @@ def _matches(text: Column, kind: str, pattern: str, strict: bool) -> Column:
                 at.alias("nth"),
                 F.char_length(F.get(x["gaps"], at)).alias("gap"),
                 match.alias("match"),
-                F.right(F.get(x["gaps"], at), F.lit(CONTEXT)).alias("before"),
-                F.left(F.get(x["gaps"], at + 1), F.lit(CONTEXT)).alias("after"),
+                F.right(
+                    F.array_join(
+                        F.slice(
+                            x["rights"], F.greatest(2 * at + 2 - most, F.lit(1)), F.least(2 * at + 1, F.lit(most))
+                        ),
+                        "",
+                    ),
+                    F.lit(CONTEXT),
+                ).alias("before"),
+                F.left(F.array_join(F.slice(x["lefts"], 2 * at + 3, F.lit(most)), ""), F.lit(CONTEXT)).alias("after"),
             ),
         ),
     )
@@ -96,18 +134,42 @@ def _valid(kind: Column, match: Column) -> Column:
     )
 
 
-def _count(pattern: str, text: str = "match") -> Column:
+def _plain(kind: Column, match: Column) -> Column:
+    """A candidate as strict rules would write it, without the marks that they ask for."""
+    mail = F.regexp_replace(F.regexp_replace(match, _AT, "@"), _DOT, ".")
+    return (
+        F.when(kind == 0, mail)
+        .when(kind == 1, F.regexp_replace(match, "[,:]", "."))
+        .when(kind == 2, F.regexp_replace(match, "[./]", "-"))
+        .otherwise(F.regexp_replace(F.ltrim(match, F.lit("+")), "/", "-"))
+    )
+
+
+def _possible(kind: Column, plain: Column) -> Column:
+    """What a loose proposal must meet, so as not to be known to be wrong.
+
+    An address has a name, host and top-level domain of lawful form, numbers are in range,
+    a card of 13 to 19 digits passes its checksum, and a phone does not read as a date.
+    """
+    digits = _digits(plain)
+    return (
+        F.when(kind == 0, F.regexp_like(plain, F.lit(_ADDRESS)))
+        .when(kind == 1, _valid(kind, plain))
+        .when(kind == 2, F.length(digits).between(13, 19) & passes_luhn(digits))
+        .otherwise(F.length(digits).between(8, 15) & ~F.regexp_like(plain, F.lit(_DATE)))
+    )
+
+
+def _count(pattern: str, text: str = "plain") -> Column:
     return F.regexp_count(F.col(text), F.lit(pattern)).cast("double")
 
 
 def _features() -> dict[str, Column]:
-    """Shape and context of a candidate; none of the strict rules' own tests."""
+    """Shape and context of a candidate; none of the strict rules' own tests or marks."""
     first, last = F.left("after", F.lit(1)), F.right("before", F.lit(1))
-    groups = F.transform(F.regexp_extract_all("match", F.lit("[0-9]+"), F.lit(0)), F.length)
+    groups = F.transform(F.regexp_extract_all("plain", F.lit("[0-9]+"), F.lit(0)), F.length)
     return {
         **{f"is_{k}": (F.col("kind") == i).cast("double") for i, k in enumerate(KINDS)},
-        "length": F.length("match").cast("double"),
-        "digits": _count("[0-9]"),
         "letters": _count("[A-Za-z]"),
         "groups": F.size(groups).cast("double"),
         "longest": F.coalesce(F.array_max(groups), F.lit(0)).cast("double"),
@@ -116,7 +178,6 @@ def _features() -> dict[str, Column]:
         "dashes": _count("-"),
         "spaces": _count(r"\s"),
         "brackets": _count(r"[()\[\]]"),
-        "marks": _count("[,:/]"),
         "space_before": last.rlike(r"\s").cast("double"),
         "word_before": last.rlike(r"[\p{L}0-9]").cast("double"),
         "starts": (F.col("before") == "").cast("double"),
@@ -132,8 +193,9 @@ def _features() -> dict[str, Column]:
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, list[str]]:
     """All rows (``row``, ``doc_id``), their candidates, and the folders these are kept in.
 
-    A candidate has ``kind``, ``begin``, ``end``, ``base``, ``met`` (it meets a base
-    span of its kind), ``covered`` (it meets one of any kind) and its features.
+    A candidate has ``kind``, ``begin``, ``end``, ``strict``, ``base``, ``covered`` (it meets
+    a base span of any kind), ``label`` and its features. The label is 1 for a base span, 0 for
+    what fails the tests of its kind and meets no base span of it, and missing for all else.
     """
     whole = whole_text(F.col(text))
     proposed = F.concat(
@@ -162,10 +224,19 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> t
         next_ = F.min(F.when(F.col("base"), F.col("begin"))).over(order.rowsBetween(0, Window.unboundedFollowing))
         return F.coalesce(ended > F.col("begin"), F.lit(False)) | F.coalesce(next_ < F.col("end"), F.lit(False))
 
+    label = F.when(F.col("base"), 1.0).when(~F.col("met") & ~F.col("possible"), 0.0)
     described = (
         placed.withColumn("met", meets_base("row", "kind"))
         .withColumn("covered", meets_base("row"))
-        .select("row", "kind", "begin", "end", "base", "met", "covered", *(c.alias(n) for n, c in _features().items()))
+        .withColumn("plain", _plain(F.col("kind"), F.col("match")))
+        .withColumn("before", F.when(F.col("kind") == 3, F.rtrim("before", F.lit("+"))).otherwise(F.col("before")))
+        .withColumn("possible", ~F.col("strict") & _possible(F.col("kind"), F.col("plain")))
+        .withColumn("label", label)
+        .where(F.col("label").isNotNull() | ~F.col("covered"))  # the others are neither learnt from nor added
+        .select(
+            *("row", "kind", "begin", "end", "strict", "base", "covered", "label"),
+            *(c.alias(n) for n, c in _features().items()),
+        )
     )
     described, path = staged(described, "pii-candidates")
     return rows.select("row", "doc_id"), described, [rows_path, path]
@@ -181,26 +252,27 @@ def _scored(model: GBTClassificationModel, found: DataFrame) -> DataFrame:
 def train(found: DataFrame, rows: int = 20_000, right: float = 0.95, bins: int = 50) -> tuple[GBTClassificationModel | None, dict[int, float]]:
     """Boosted trees and, by kind, the score from which proposals are taken.
 
-    One candidate in four, by hash, is held out. The trees learn from about ``rows`` of the
-    others, in even shares for each kind and label, so a frequent kind does not take the
-    places of a rare one. Thresholds come from all held-out candidates of the table: a
-    kind's is the lowest bin of scores from which on a share of ``right`` or more of them
-    meet a base span. Without candidates of both sorts there is no model.
+    Only labelled candidates count. One in four, by hash, is held out. The trees learn from
+    about ``rows`` of the others, in even shares for each kind, label and sort of pattern, so
+    what is frequent does not take the places of what is rare. Thresholds come from all
+    held-out candidates of the table: a kind's is the lowest bin of scores from which on a
+    share of ``right`` or more of them, and half of the bin's own, are base spans. Without
+    candidates of both labels there is no model.
     """
-    place = F.xxhash64("row", "kind", "begin", "end")
-    known = found.withColumn("held", place % 4 == 0).withColumn("label", F.col("met").cast("double"))
+    place = F.xxhash64("row", "kind", "strict", "begin", "end")
+    known = found.where(F.col("label").isNotNull()).withColumn("held", place % 4 == 0)
     seen, held = known.where(~F.col("held")), known.where("held")
-    groups = ["kind", "label"]
-    sizes = seen.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).collect()  # eight rows at most
+    groups = ["kind", "label", "strict"]
+    sizes = seen.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).collect()  # twelve rows at most
     if len({r["label"] for r in sizes}) < 2:
         return None, {}
     share = F.coalesce(
         *(
-            F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]), F.lit(rows / len(sizes) / r["n"]))
+            F.when(reduce(and_, (F.col(g) == r[g] for g in groups)), F.lit(rows / len(sizes) / r["n"]))
             for r in sizes
         )
     )
-    drawn = F.pmod(F.xxhash64(F.lit("sample"), "row", "kind", "begin", "end"), F.lit(1 << 40)) / (1 << 40)
+    drawn = F.pmod(F.xxhash64(F.lit("sample"), "row", "kind", "strict", "begin", "end"), F.lit(1 << 40)) / (1 << 40)
     some, path = staged(seen.where(drawn < share), "pii-sample")
     if some.select("label").distinct().count() < 2:
         return None, {}
@@ -211,17 +283,16 @@ def train(found: DataFrame, rows: int = 20_000, right: float = 0.95, bins: int =
     by_bin = (
         _scored(model, held)
         .groupBy("kind", F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("met"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("base"))
         .collect()
     )
     thresholds: dict[int, float] = {}
     for kind in range(len(KINDS)):
-        n = met = 0.0
+        n = base = 0.0
         for row in sorted((r for r in by_bin if r["kind"] == kind), key=lambda r: -r["bin"]):
-            n, met = n + row["n"], met + row["met"]
-            if met < right * n:
-                break
-            thresholds[kind] = row["bin"] / bins
+            n, base = n + row["n"], base + row["base"]
+            if base >= right * n and 2 * row["base"] >= row["n"]:
+                thresholds[kind] = row["bin"] / bins
     dropped(found, path)
     return model, thresholds
 
@@ -237,7 +308,7 @@ def find_personal_data(
     ``spans`` is an array of (kind, begin, end, name, base), in code points, end
     exclusive, by kind as in KINDS, then begin: all base spans, and the proposals that the model adds (it is
     trained on these documents if none is given). A proposal that meets a base span of any
-    kind is not listed beside it. A missing text is empty; rows that repeat or miss their
+    kind is not listed beside it, nor is one that fails a checksum or range. A missing text is empty; rows that repeat or miss their
     id are rows of their own; other columns are not read; an empty table gives an
     empty one.
     """
@@ -248,7 +319,7 @@ def find_personal_data(
         least = F.coalesce(
             *(F.when(F.col("kind") == k, F.lit(t)) for k, t in thresholds.items()), F.lit(2.0)
         )
-        added = _scored(trees, found.where(~F.col("covered"))).where(F.col("score") >= least)
+        added = _scored(trees, found.where(~F.col("covered") & F.col("label").isNull())).where(F.col("score") >= least)
         chosen = chosen.unionByName(added.select("row", "kind", "begin", "end", "base").distinct())
     name = F.get(F.array(*(F.lit(k) for k in KINDS)), F.col("kind"))
     span = F.struct("kind", "begin", "end", name.alias("name"), "base")

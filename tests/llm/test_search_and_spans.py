@@ -112,6 +112,16 @@ def test_rare_kinds_have_thresholds(spark):
     assert {pii.KINDS.index("email"), pii.KINDS.index("phone")} <= set(pii.train(found, rows=240)[1])
 
 
+def test_phones_of_which_a_third_lack_the_plus(spark):
+    rows = [
+        (i, f"please call {'+' if i % 3 else ''}1 ({200 + i}) 555-{1000 + i} today, code {i}7.{i % 9} of 12.{10 + i % 20}.99")
+        for i in range(300)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dict(pii.find_personal_data(df).select("doc_id", pii.named(F.col("spans"))).collect())
+    assert got == {i: f"phone:12:{12 + text[12:].index(' today')}" for i, text in rows}
+
+
 def test_no_spans_in_nothing(nothing):
     assert pii.find_personal_data(nothing).collect() == []
 
