@@ -1,7 +1,7 @@
 """Personal data: loose generators propose spans, boosted trees choose among them.
 
 Strict rules give the base spans. Loose rules propose more, overlapping each other
-and the base. Gradient boosted trees learn to tell base spans, their marks taken off, from
+and the base: a card is proposed from each group of digits to each end of a group. Gradient boosted trees learn to tell base spans, their marks taken off, from
 candidates that fail a checksum or range; they see the shape of the span and its context
 but not what the strict rules test (checksums, a leading plus, an at sign, ranges). A loose
 proposal that passes those tests and meets no base span is neither: it is what the trees
@@ -38,9 +38,14 @@ _AT, _DOT = r"(?:\s?@\s?|\s?[(\[]at[)\]]\s?|\sat\s)", r"(?:\.|\s?[(\[]dot[)\]]\s
 LOOSE = {
     "email": rf"(?<!{_MAIL}){_MAIL}++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]{1,3}+(?:[.,:][0-9]{1,3}+){3}(?![0-9])",
-    "card": r"(?<![0-9])[0-9](?:[\x20./-]?[0-9]){12,18}+(?![0-9])",
-    "phone": r"(?<![0-9])\(?[0-9]{1,4}+\)?(?:[\x20./-]{1,2}+\(?[0-9]{2,4}+\)?){2,4}+(?![0-9])",
+    "card": r"(?<![0-9])[0-9](?=(?:[\x20./-]?[0-9]){12})",
+    "phone": r"(?<![0-9])\(?[0-9]{1,4}+\)?(?:[\x20./-]{1,2}+\(?[0-9]{2,4}+\)?){2,4}(?![0-9])",
 }
+#: A loose card begins at any group of digits and ends at any: the pattern finds the begins, and
+#: these, of the first sign and what follows it, a span for each number of digits that ends a group.
+_JOINT = r"[\x20./-]"
+_CARD_SIGNS = 19 + 18
+_CARD_ENDS = [rf"^[0-9](?:[\x20./-]?[0-9]){{{n - 1}}}(?![0-9])" for n in range(13, 20)]
 #: A text without any of these has no candidate of the kind; a cheap test before the patterns.
 NEEDS = {"email": "(?i)@|[(\\[\\s]at[)\\]\\s]", "ip": "[0-9][.,:][0-9]", "card": "[0-9]", "phone": "[0-9]"}
 _ADDRESS = (
@@ -56,16 +61,17 @@ def _matches(text: Column, kind: str, pattern: str, strict: bool) -> Column:
     """Each match with the length of the gap before it and its context, which other matches do not cut."""
     gaps = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    ahead = CONTEXT if strict or kind != "card" else CONTEXT + _CARD_SIGNS - 1  # room for the card itself
 
     def pieces(x: Column, cut: Callable[[Column, Column], Column]) -> Column:
         """Gaps and matches in turn, as much of each as a context may hold."""
         matches = F.concat(x["found"], F.array(F.lit("")))
         return F.flatten(
-            F.zip_with(x["gaps"], matches, lambda g, m: F.array(cut(g, F.lit(CONTEXT)), cut(m, F.lit(CONTEXT))))
+            F.zip_with(x["gaps"], matches, lambda g, m: F.array(cut(g, F.lit(ahead)), cut(m, F.lit(ahead))))
         )
 
     # The gaps are named once per row, not split again for each match; so are the pieces.
-    # Matches are not empty, so 2 * CONTEXT + 1 pieces fill a context.
+    # Matches are not empty, so 2 * ahead + 1 pieces are enough.
     named_gaps = F.array(F.struct(found.alias("found"), gaps.alias("gaps")))
     with_pieces = F.transform(
         named_gaps,
@@ -76,7 +82,7 @@ def _matches(text: Column, kind: str, pattern: str, strict: bool) -> Column:
             pieces(x, F.right).alias("rights"),
         ),
     )
-    most = 2 * CONTEXT + 1
+    most = 2 * ahead + 1
     with_gaps = F.transform(
         with_pieces,
         lambda x: F.transform(
@@ -96,13 +102,40 @@ def _matches(text: Column, kind: str, pattern: str, strict: bool) -> Column:
                     ),
                     F.lit(CONTEXT),
                 ).alias("before"),
-                F.left(F.array_join(F.slice(x["lefts"], 2 * at + 3, F.lit(most)), ""), F.lit(CONTEXT)).alias("after"),
+                F.left(F.array_join(F.slice(x["lefts"], 2 * at + 3, F.lit(most)), ""), F.lit(ahead)).alias("after"),
             ),
         ),
     )
     return F.when(F.regexp_like(text, F.lit(NEEDS[kind])), F.flatten(with_gaps))
 
 
+def _cards_ended(placed: DataFrame) -> DataFrame:
+    """``placed`` with the spans of loose cards, seven at most, in place of their first digits."""
+    begun = (F.col("kind") == KINDS.index("card")) & ~F.col("strict")
+    signs = F.concat("match", "after")
+    ended = F.filter(F.array(*(F.regexp_extract(signs, end, 0) for end in _CARD_ENDS)), lambda x: x != "")
+    whole = placed.withColumn("span", F.explode(F.when(begun, ended).otherwise(F.array("match"))))
+    rest = F.substring(signs, F.length("span") + 1, F.lit(CONTEXT))
+    return whole.withColumns(
+        {
+            "after": F.when(begun, rest).otherwise(F.col("after")),
+            "match": F.col("span"),
+            "end": F.col("begin") + F.length("span"),
+        }
+    ).drop("span")
+
+
+def _unmarked(kind: Column, before: Column, after: Column) -> tuple[Column, Column]:
+    """The context without a plus before a phone, and without one or two short groups of digits
+    at a card: a strict card ends where digits do, a loose one may have a date or code beside it."""
+    return (
+        F.when(kind == 3, F.rtrim(before, F.lit("+")))
+        .when(kind == 2, F.regexp_replace(before, rf"(?<![0-9])(?:[0-9]{{1,4}}{_JOINT}){{1,2}}$", ""))
+        .otherwise(before),
+        F.when(kind == 2, F.regexp_replace(after, rf"^(?:{_JOINT}[0-9]{{1,4}}){{1,2}}(?![0-9])", "")).otherwise(after),
+    )
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -215,7 +248,7 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> t
     placed = flat.withColumn("end", F.sum(F.col("gap") + F.length("match")).over(so_far)).withColumn(
         "begin", F.col("end") - F.length("match")
     )
-    placed = placed.withColumn("base", F.col("strict") & _valid(F.col("kind"), F.col("match")))
+    placed = _cards_ended(placed).withColumn("base", F.col("strict") & _valid(F.col("kind"), F.col("match")))
 
     def meets_base(*scope: str) -> Column:
         """Whether a base span within the same ``scope`` overlaps the candidate."""
@@ -229,7 +262,7 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> t
         placed.withColumn("met", meets_base("row", "kind"))
         .withColumn("covered", meets_base("row"))
         .withColumn("plain", _plain(F.col("kind"), F.col("match")))
-        .withColumn("before", F.when(F.col("kind") == 3, F.rtrim("before", F.lit("+"))).otherwise(F.col("before")))
+        .withColumns(dict(zip(("before", "after"), _unmarked(*map(F.col, ("kind", "before", "after"))), strict=True)))
         .withColumn("possible", ~F.col("strict") & _possible(F.col("kind"), F.col("plain")))
         .withColumn("label", label)
         .where(F.col("label").isNotNull() | ~F.col("covered"))  # the others are neither learnt from nor added

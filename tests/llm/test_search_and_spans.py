@@ -122,6 +122,20 @@ def test_phones_of_which_a_third_lack_the_plus(spark):
     assert got == {i: f"phone:12:{12 + text[12:].index(' today')}" for i, text in rows}
 
 
+def test_cards_with_more_digits_beside_them(spark):
+    def number(i, luhn):
+        digits = next(d for d in map(str, range(4000123400000000 + 7919 * 10 * i, 10**16)) if brute.luhn(d) == luhn)
+        return " ".join(digits[n : n + 4] for n in range(0, 16, 4))
+
+    rows = [(i, f"pay {number(i, True)} today") for i in range(200)]
+    rows += [(200 + i, f"part {number(300 + i, False)} in stock") for i in range(200)]
+    rows += [(1000, "pay 4111 1111 1111 1111 12/27"), (1001, "pay 77 4111 1111 1111 1111 today")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dict(pii.find_personal_data(df).select("doc_id", pii.named(F.col("spans"))).collect())
+    assert "card:4:23" in got[1000].split(",") and "card:7:26" in got[1001].split(",")
+    assert not any("card" in got[200 + i] for i in range(200))
+
+
 def test_no_spans_in_nothing(nothing):
     assert pii.find_personal_data(nothing).collect() == []
 
