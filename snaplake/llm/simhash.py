@@ -114,12 +114,18 @@ def _walks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
+def tile_blocks(visits: int, filed: int, tile_rows: int) -> tuple[int, int]:
+    """Rows and columns of tiles of a leaf: what looks it up is cut apart from what is filed in it,
+    so that lookups, which are many more, are not repeated for a leaf of few fingerprints."""
+    return max(1, -(-visits // tile_rows)), max(1, -(-filed // tile_rows))
+
+
 def linked(
     prints: DataFrame,
     most_bits: int = 3,
     leaf_rows: int = 2048,
     sample_rows: int = 1 << 14,
-    tile_rows: int = 1 << 16,
+    tile_rows: int = 1 << 13,
 ) -> DataFrame:
     """Edges (u, v) that connect all of the distinct ``fingerprint`` rows within ``most_bits``.
 
@@ -156,10 +162,14 @@ def linked(
         prints.mapInArrow(visit, "tree int, leaf int, fingerprint long, home boolean"), "simhash-visits"
     )
     # A row per leaf, of which the sample bounds the number.
-    sizes = visits.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).collect()
-    blocks = [np.ones(tree.leaves, np.int64) for tree in trees]
+    sizes = (
+        visits.groupBy("tree", "leaf")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("home").cast("long")).alias("filed"))
+        .collect()
+    )
+    blocks = [np.ones((2, tree.leaves), np.int64) for tree in trees]
     for row in sizes:
-        blocks[row["tree"]][row["leaf"]] = -(-row["n"] // tile_rows)
+        blocks[row["tree"]][:, row["leaf"]] = tile_blocks(row["n"], row["filed"], tile_rows)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A fingerprint goes to a row of tiles as query and, at home, to a column as data."""
@@ -168,13 +178,17 @@ def linked(
                 batch.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "leaf", "fingerprint")
             )
             home = batch.column("home").to_numpy(zero_copy_only=False)
-            wide = np.where(tree == 0, blocks[0][leaf * (tree == 0)], blocks[1][leaf * (tree == 1)])
-            mixed = points.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            own = ((mixed >> np.uint64(33)) % wide.astype(np.uint64)).astype(np.int64)
+            high, wide = (
+                np.where(tree == 0, blocks[0][axis][leaf * (tree == 0)], blocks[1][axis][leaf * (tree == 1)])
+                for axis in (0, 1)
+            )
+            mixed = (points.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
             for data in (False, True):
                 at = np.flatnonzero(home) if data else np.arange(len(points))
-                at = np.repeat(at, wide[at])
-                other = np.arange(len(at)) - np.repeat(words.offsets(wide[np.unique(at)])[:-1], wide[np.unique(at)])
+                own = (mixed % (wide if data else high).astype(np.uint64)).astype(np.int64)
+                times = (high if data else wide)[at]
+                other = np.arange(times.sum()) - np.repeat(words.offsets(times)[:-1], times)
+                at = np.repeat(at, times)
                 tile = (other, own[at]) if data else (own[at], other)
                 yield pa.RecordBatch.from_arrays(
                     [

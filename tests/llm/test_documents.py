@@ -1,5 +1,7 @@
 """The operators over documents, against plain versions, on messy and on whole tables."""
 
+import inspect
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +128,13 @@ def test_trees_and_tiles_lose_no_link(spark, monkeypatch):
         assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(len(got)) for j in range(0, i, 7))
 
 
+def test_lookups_are_not_repeated_for_small_leaves():
+    assert inspect.signature(simhash.linked).parameters["tile_rows"].default == 8192
+    assert simhash.tile_blocks(11_000, 2_048, 8192) == (2, 1)
+    assert simhash.tile_blocks(30_000, 9_000, 8192) == (4, 2)
+    assert simhash.tile_blocks(5, 0, 8192) == (1, 1)
+
+
 def test_components_of_a_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(30)] + [(1000, 1000 + i) for i in range(1, 50)] + [(7, 7)]
     df = spark.createDataFrame([e[::-1] if sum(e) % 3 else e for e in edges], "u long, v long")
