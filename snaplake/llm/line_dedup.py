@@ -4,11 +4,14 @@ Documents come in batches. A run holds line hashes in order, with the number of
 documents that have the line. Level 0 takes a run per batch; when a level is
 full its runs are merged into one of the next level. Lines that have reached
 the limit leave the levels for a run of settled lines, and a batch is merge
-anti-joined with that run first, so a line that is settled is not counted again.
+anti-joined with that run first, so a line that is settled is not counted again. What
+higher levels still hold of a settled line goes when they are merged.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,8 @@ from snaplake.llm.frames import SPACES, ascii_lower, digest128, staged, whole_te
 from snaplake.session import drop_dir, shared_dir
 
 KEY = ["h1", "h2"]
+#: Text of a batch; there are four batches at least, and a hundred at most, which are larger then.
+BATCH_BYTES = 256 << 20
 
 
 def line_key(line: Column) -> Column:
@@ -36,15 +41,20 @@ class LineRuns:
 
     def absorb(self, lines: DataFrame) -> None:
         """Count a batch of (h1, h2) rows, one for each document and line."""
-        for run, _ in self.settled:
-            lines = lines.join(run.select(*KEY), KEY, "left_anti")
-        counts = lines.groupBy(*KEY).agg(F.count(F.lit(1)).alias("docs"))
+        counts = self._open(lines).groupBy(*KEY).agg(F.count(F.lit(1)).alias("docs"))
         self.levels[0].append(self._write(counts, "line-run"))
         level = 0
         while len(self.levels[level]) >= self.fanout:
             self._compact(level)
             level += 1
 
+    def _open(self, lines: DataFrame) -> DataFrame:
+        """``lines`` without those that are settled."""
+        if not self.settled:
+            return lines
+        settled = reduce(DataFrame.unionByName, (run.select(*KEY) for run, _ in self.settled))
+        return lines.join(settled, KEY, "left_anti")
+
     def _merged(self, runs: list[tuple[DataFrame, str]]) -> DataFrame:
         merged = runs[0][0]
         for run, _ in runs[1:]:
@@ -53,7 +63,7 @@ class LineRuns:
 
     def _compact(self, level: int) -> None:
         runs, self.levels[level] = self.levels[level], []
-        merged, path = self._write(self._merged(runs), "line-merge")
+        merged, path = self._write(self._open(self._merged(runs)), "line-merge")
         if level + 1 == len(self.levels):
             self.levels.append([])
         reached = F.col("docs") >= self.min_docs
@@ -65,7 +75,7 @@ class LineRuns:
     def frequent(self) -> DataFrame:
         """All lines found in ``min_docs`` documents or more, once each."""
         open_ = [run for level in self.levels for run in level]
-        found = self._merged(open_).where(F.col("docs") >= self.min_docs).select(*KEY)
+        found = self._open(self._merged(open_)).where(F.col("docs") >= self.min_docs).select(*KEY)
         for run, _ in self.settled:
             found = found.unionByName(run.select(*KEY))
         return found
@@ -75,11 +85,16 @@ class LineRuns:
             drop_dir(self.spark, path)
 
 
+def batches_for(size: int) -> int:
+    """Batches for ``size`` bytes of text."""
+    return min(max(4, -(-size // BATCH_BYTES)), 100)
+
+
 def drop_common_lines(
     docs: DataFrame,
     min_docs: int = 10,
     min_chars: int = 1,
-    batches: int = 4,
+    batches: int | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -89,10 +104,13 @@ def drop_common_lines(
     ``min_docs`` documents have it; a line repeated within a document counts once.
     A missing or empty text is one empty line. Each row is a document, also if
     rows repeat or their id is missing. Other columns of ``docs`` are not read.
-    An empty table gives an empty one.
+    An empty table gives an empty one. Without ``batches`` their number follows the size of the texts.
     """
     spark = docs.sparkSession
     whole = whole_text(F.col(text))
+    if batches is None:
+        size = docs.select(F.sum(F.octet_length(whole)).alias("size")).first()["size"] or 0
+        batches = batches_for(size)
     keyed = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.monotonically_increasing_id().alias("row"),

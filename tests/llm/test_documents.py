@@ -51,6 +51,30 @@ def test_runs_are_compacted(spark):
     runs.drop()
 
 
+def test_lines_settle_once(spark):
+    """A line settles from level 0 while level 1 holds shares of it, before and after that is merged."""
+    per_batch = [2, 2, 1, 2, 2, 2, 4, 4, 4, 1]
+    runs = line_dedup.LineRuns(spark, min_docs=10, fanout=3)
+    for n, times in enumerate(per_batch):
+        runs.absorb(spark.createDataFrame([(1, 1)] * times + [(2, n)], "h1 long, h2 long"))
+        if n >= 8:
+            assert sort(runs.frequent().collect()) == [(1, 1)]
+    runs.drop()
+
+
+def test_lines_near_the_limit_in_many_batches(spark):
+    rows = [(i, "\n".join([f"own {i}", *(f"line {n}" for n in range(7, 14) if i % 20 < n)])) for i in range(20)]
+    rows += [(100 + i, "line 7\nline 9\nLine 11") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sort(line_dedup.drop_common_lines(df, batches=30).collect()) == sort(brute.line_dedup(rows))
+
+
+def test_batches_grow_with_the_texts():
+    sizes = (0, 1 << 30, 30 << 30, 1 << 50)
+    assert [line_dedup.batches_for(s) for s in sizes] == [4, 4, 100, 100]
+    assert line_dedup.batches_for(5 << 30) == 20
+
+
 def test_substrings(messy):
     df, rows, _ = messy
     for shard_words in (4_000_000, 100):
