@@ -6,6 +6,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snaplake.llm.frames import staged
+from snaplake.session import drop_dir
+
 
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a missing id counts as empty text."""
@@ -17,8 +20,8 @@ def labelled_sample(
 ) -> tuple[list[bytes], np.ndarray, float]:
     """Texts, their labels, and the share of label 1 among all that may be learnt from.
 
-    ``rows`` labels at most of either kind, in the order of a hash of their id, for
-    documents of ``most_bytes`` or fewer; of ids that repeat, 4 * ``rows`` texts in all.
+    ``rows`` labels at most of either kind, in the order of a hash of their id, of those that
+    have a document of ``most_bytes`` or fewer; of ids that repeat, 4 * ``rows`` texts in all.
     This is all that reaches the driver.
     """
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & seen).select(
@@ -26,17 +29,19 @@ def labelled_sample(
     )
     counts = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     place = F.xxhash64("doc_id")
-    first = [usable.where(F.col("label") == y).orderBy(place, "doc_id").limit(rows) for y in (0, 1)]
+    short = docs.select("doc_id", F.encode("text", "UTF-8").alias("text")).where(F.octet_length("text") <= most_bytes)
+    # Ids only, once each, are dealt out for this.
+    with_text, path = staged(usable.join(short.select("doc_id").distinct(), "doc_id", "left_semi"), "labels-usable")
+    first = [with_text.where(F.col("label") == y).orderBy(place, "doc_id").limit(rows) for y in (0, 1)]
     some = first[0].unionByName(first[1])
     picked = (
-        docs.select("doc_id", F.encode("text", "UTF-8").alias("text"))
-        .where(F.octet_length("text") <= most_bytes)
-        .join(F.broadcast(some), "doc_id")  # 2 * rows rows of two numbers
+        short.join(F.broadcast(some), "doc_id")  # 2 * rows rows of two numbers
         .select("text", "label", place.alias("place"))
         .orderBy("place", "text", "label")
         .limit(4 * rows)
         .collect()
     )
+    drop_dir(docs.sparkSession, path)
     share = counts.get(1, 0) / max(sum(counts.values()), 1)
     return (
         [bytes(r["text"]) for r in picked],

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest_llm import sort
-from snaplake.llm import catalog, quality, toxicity
+from snaplake.llm import catalog, learning, quality, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -18,6 +18,16 @@ def auc(scores, labels):
     return np.mean([(a > b) + 0.5 * (a == b) for a in ones for b in noughts])
 
 
+def test_the_bound_counts_usable_documents(spark):
+    """Labels of long, missing and absent documents do not take the places of others."""
+    texts = [(i, f"short {i}" if i % 10 == 0 else None if i % 10 == 1 else "long " * 50) for i in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i // 10 % 2) for i in range(400)], "doc_id long, quality int")
+    found, kinds, share = learning.labelled_sample(docs, labels, "quality", F.lit(True), 10, 100)
+    assert sorted(found) == sorted(f"short {i}".encode() for i in range(0, 200, 10))
+    assert list(kinds).count(0) == list(kinds).count(1) == 10 and share == 0.5
+
+
 @pytest.mark.parametrize("name,label,folds,held", [("op4_quality", "quality", 5, 0), ("op7_toxicity", "toxic", 3, 1)])
 def test_held_out_documents(spark, name, label, folds, held):
     labels = {r["doc_id"]: r[label] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
