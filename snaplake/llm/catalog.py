@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake.llm import (
+    clustering,
     decontamination,
+    fill_middle,
     line_dedup,
     mixing,
     pii,
     quality,
+    secrets,
     sharding,
     simhash,
     substring_dedup,
@@ -117,6 +120,77 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    placed, centroids = clustering.cluster(vectors, k=8, rounds=10, dims=64, scale=1024, seed=3)
+    return clustering.described(placed, centroids)
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(_documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["name"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in secrets.KINDS),
+        F.sha2(secrets.named(base), 256).alias("base_sha256"),
+        secrets.named(F.col("spans")).alias("spans"),
+    )
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transformed(_documents(spark, sf_dir).select("doc_id", "text"), seed=1)
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def _clustering_sql(k: int, rounds: int, dims: int, scale: int, seed: int) -> str:
+    """A common table for each assignment and each move of the centroids."""
+    steps = [
+        f"""WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, [floor({scale} * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('{seed}:' || vec_id::VARCHAR) NULLS LAST, v))::INTEGER - 1 AS c, v
+  FROM kept QUALIFY c < {k})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+  SELECT row, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': d, 'c': c}}) AS best
+  FROM (SELECT row, vec_id, x.v, c, list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(x.v, y.v)])::BIGINT AS d
+        FROM kept x, c{i} y) GROUP BY row)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""c{i + 1} AS MATERIALIZED (
+  SELECT old.c, coalesce(new.v, old.v) AS v FROM c{i} old LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY dim) AS v FROM (
+      SELECT c, dim, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n
+      FROM (SELECT best.c AS c, unnest(v) AS x, unnest(range(1, {dims + 1})) AS dim FROM a{i}) GROUP BY c, dim)
+    GROUP BY c) new ON old.c = new.c)"""
+            )
+    body = ",\n".join(steps)
+    return f"""
+{body}
+SELECT a.vec_id, a.best.c AS cluster, a.best.d AS distance,
+       (sum(a.best.d) OVER (PARTITION BY a.best.c))::BIGINT AS cluster_inertia, (sum(a.best.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.best.c = c.c
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -130,6 +204,9 @@ QUERIES: dict[str, Query] = {
         op8_simhash,
         op9_mixing,
         op10_decontamination,
+        op11_clustering,
+        op12_secrets,
+        op13_fill_middle,
     )
 }
 
@@ -232,5 +309,29 @@ named AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM folded LEFT JOIN covered USING (row) LEFT JOIN named USING (row)
+""",
+    "op11_clustering": _clustering_sql(k=8, rounds=10, dims=64, scale=1024, seed=3),
+    "op13_fill_middle": r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         [('0x' || substr(sha256('1:' || coalesce(doc_id::VARCHAR, '')), 8 * i + 1, 8))::BIGINT FOR i IN range(4)] AS h
+  FROM documents),
+drawn AS (
+  SELECT *, len(u) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+         greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut),
+parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+         array_to_string(u[b + 1:n], '') AS suffix
+  FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
 """,
 }
