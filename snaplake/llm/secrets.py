@@ -60,7 +60,9 @@ _SITE = re.compile(
 )
 _STRING = re.compile(r"""[rRbBuUfF]{0,2}(?:"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`)""")
 _REF = re.compile(rf"(?:\$\{{|\$|%)?({_NAME})\}}?%?", re.A)
-_BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>]++""")
+#: A bare word ends where another name's value may begin, but for the padding of base64.
+_BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>=&]++=*+""")
+_BARE_AFTER_COLON = re.compile(r"""[^\s"'`,;(){}\[\]<>=&:]++=*+""")
 _CALL = re.compile(r"[\x20\t]*+\(")
 _OPEN = re.compile(r"[\x20\t]*+(?:\([\x20\t]*+(?:\n[\x20\t]*+)?+|\\\n[\x20\t]*+)?+")
 _LINE_ENDS = re.compile(r"[\x20\t]*+(?=[\r\n#,;}]|//|\Z)")
@@ -143,9 +145,12 @@ class Pair:
     names: list[str] = field(default_factory=list)
 
 
-def _value(text: str, at: int, pair: Pair, colon: bool) -> None:
-    """Read the terms of a value from ``at`` on into ``pair``."""
-    start = _OPEN.match(text, at)
+def _value(text: str, at: int, pair: Pair, colon: bool) -> int:
+    """Read the terms of a value from ``at`` on into ``pair``; where to look for names next.
+
+    That is inside the first string, or the last one of several, so none is read again and again.
+    """
+    start, resume = _OPEN.match(text, at), at
     beside, at = _BELOW if "(" in start[0] else _BESIDE, start.end()
     while True:
         if string := _STRING.match(text, at):
@@ -154,23 +159,25 @@ def _value(text: str, at: int, pair: Pair, colon: bool) -> None:
             pair.names.extend(next(filter(None, x.groups())) for x in _INSIDE.finditer(text, *string.span(group)))
             joined = _SUM.match(text, string.end()) or beside.match(text, string.end())
             if not joined:
-                return
+                return resume
             at = joined.end()
+            if _STRING.match(text, at):
+                resume = at
             continue
         name = _REF.match(text, at)
         if name and (joined := _NAME_SUM.match(text, name.end())):
             pair.names.append(name[1])
             at = joined.end()
             continue
-        word = _BARE.match(text, at)
+        word = (_BARE_AFTER_COLON if colon else _BARE).match(text, at)
         if not word or (name and _CALL.match(text, name.end())):
-            return  # what a function gives is not in the text
+            return resume  # what a function gives is not in the text
         if name and name.end() == word.end():
             pair.names.append(name[1])
         # After a colon a bare word is a value only if nothing else is on the line.
         if not pair.literals and len(pair.names) <= 1 and (not colon or _LINE_ENDS.match(text, word.end())):
             pair.literals.append((*word.span(), False))
-        return
+        return resume
 
 
 def pairs(text: str) -> list[Pair]:
@@ -185,7 +192,7 @@ def pairs(text: str) -> list[Pair]:
             if end >= 0 and text.startswith(f"</{m['tag']}>", end) and "\n" not in text[at:end].strip():
                 pair.literals.append((at, end, True))
         else:
-            _value(text, at, pair, m["op"] == ":")
+            at = _value(text, at, pair, m["op"] == ":")
         if pair.literals or pair.names:
             found.append(pair)
     return found
