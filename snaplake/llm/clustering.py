@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.frames import dropped, small_batches, staged
+from snaplake.llm.frames import dropped, staged
 from snaplake.llm.top_k import usable
 
 MOST_LONG = (1 << 63) - 1
@@ -87,33 +87,43 @@ def _blocks(vectors: DataFrame, dims: int, scale: int) -> DataFrame:
     """Kept vectors as integers in blocks; those with large components in blocks of their own."""
     small = small_bound(dims)
 
+    def block(ids: list, rows: np.ndarray, wide: bool) -> pa.RecordBatch:
+        held = rows if wide else _integers(rows, scale, small).astype(np.int32)
+        none = np.full(len(rows), -1, np.int32).tobytes()
+        row = {
+            "ids": [ids],
+            "wide": [wide],
+            "vectors": [held.tobytes()],
+            "near": [none],
+            "second": [none],
+            "upper": [np.full(len(rows), np.inf).tobytes()],
+            "lower": [np.zeros(len(rows)).tobytes()],
+            "parts": [[]],
+        }
+        return pa.RecordBatch.from_pydict(row, schema=_BLOCK)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Blocks are filled across batches, whatever the session makes the size of these.
+        waiting = {wide: ([], np.empty((0, dims))) for wide in (False, True)}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = batch.column("vec_id")
+            ids = batch.column("vec_id").to_pylist()
             flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             rows = flat.reshape(-1, dims)
             with np.errstate(over="ignore"):
                 fits = (np.abs(np.floor(rows * scale)) <= small).all(axis=1)
             for wide in (False, True):
                 at = np.flatnonzero(fits != wide)
-                for i in range(0, len(at), BLOCK_ROWS):
-                    of = at[i : i + BLOCK_ROWS]
-                    held = rows[of] if wide else _integers(rows[of], scale, small).astype(np.int32)
-                    row = {
-                        "ids": [ids.take(pa.array(of)).to_pylist()],
-                        "wide": [wide],
-                        "vectors": [held.tobytes()],
-                        "near": [np.full(len(of), -1, np.int32).tobytes()],
-                        "second": [np.full(len(of), -1, np.int32).tobytes()],
-                        "upper": [np.full(len(of), np.inf).tobytes()],
-                        "lower": [np.zeros(len(of)).tobytes()],
-                        "parts": [[]],
-                    }
-                    yield pa.RecordBatch.from_pydict(row, schema=_BLOCK)
-
-    return small_batches(vectors, BLOCK_ROWS).mapInArrow(run, BLOCK)
+                of, held = waiting[wide]
+                of, held = of + [ids[i] for i in at.tolist()], np.concatenate([held, rows[at]])
+                while len(of) >= BLOCK_ROWS:
+                    yield block(of[:BLOCK_ROWS], held[:BLOCK_ROWS], wide)
+                    of, held = of[BLOCK_ROWS:], held[BLOCK_ROWS:]
+                waiting[wide] = of, held
+        for wide, (of, held) in waiting.items():
+            if of:
+                yield block(of, held, wide)
+
+    return vectors.mapInArrow(run, BLOCK)
 
 
 class Centroids:
@@ -237,6 +247,12 @@ def _parts(vectors: np.ndarray, near: np.ndarray, k: int) -> list[dict]:
     return [dict(zip(("cluster", "dim", "limb", "total"), x, strict=True)) for x in out]
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """A block at a time."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _opened(row: dict, dims: int, scale: int, cents: Centroids) -> Search:
     held = np.frombuffer(row["vectors"], np.float64 if row["wide"] else np.int32).reshape(-1, dims)
     vectors = _integers(held, scale, -1) if row["wide"] else held.astype(object if cents.wide else np.int64)
@@ -252,7 +268,7 @@ def _round(blocks: DataFrame, cents: Centroids, dims: int, scale: int) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 search = _opened(row, dims, scale, cents)
                 search.assign(cents)
                 for c in ("near", "second", "upper", "lower"):
@@ -260,7 +276,7 @@ def _round(blocks: DataFrame, cents: Centroids, dims: int, scale: int) -> DataFr
                 row["parts"] = _parts(search.vectors, search.near, len(cents.rows))
                 yield pa.RecordBatch.from_pylist([row], schema=_BLOCK)
 
-    return small_batches(blocks.drop("parts"), 16).mapInArrow(run, BLOCK)
+    return blocks.drop("parts").mapInArrow(run, BLOCK)
 
 
 def _moved(blocks: DataFrame, cents: Centroids) -> Centroids:
@@ -289,7 +305,7 @@ def _placed(blocks: DataFrame, cents: Centroids, dims: int, scale: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 near, distance = _exact(row, dims, scale, cents)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -300,7 +316,7 @@ def _placed(blocks: DataFrame, cents: Centroids, dims: int, scale: int) -> DataF
                     names=["vec_id", "cluster", "distance"],
                 )
 
-    return small_batches(blocks.drop("parts"), 16).mapInArrow(run, PLACED)
+    return blocks.drop("parts").mapInArrow(run, PLACED)
 
 
 def cluster(

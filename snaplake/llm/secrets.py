@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.frames import small_batches, whole_text
+from snaplake.llm import words
+from snaplake.llm.frames import whole_text
 
 KINDS = ["assign", "access", "hex"]
 _ASSIGN = re.compile(
@@ -265,7 +266,7 @@ def find_secrets(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.slices(batches, "text"):
             spans = []
             for value in batch.column("text").to_pylist():
                 base = base_spans(value)
@@ -275,7 +276,7 @@ def find_secrets(
 
     lean = docs.select(F.col(doc_id).alias("doc_id"), whole_text(F.col(text)).alias("text"))
     kind_of = lean.schema["doc_id"].dataType.simpleString()
-    found = small_batches(lean).mapInArrow(run, f"doc_id {kind_of}, {SPANS}")
+    found = lean.mapInArrow(run, f"doc_id {kind_of}, {SPANS}")
     name = F.array(*(F.lit(k) for k in KINDS))
     return found.select(
         "doc_id",
