@@ -251,10 +251,16 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> t
     placed = _cards_ended(placed).withColumn("base", F.col("strict") & _valid(F.col("kind"), F.col("match")))
 
     def meets_base(*scope: str) -> Column:
-        """Whether a base span within the same ``scope`` overlaps the candidate."""
-        order = Window.partitionBy(*scope).orderBy("begin", F.desc("base"), "end", "kind", "strict")
-        ended = F.max(F.when(F.col("base"), F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-        next_ = F.min(F.when(F.col("base"), F.col("begin"))).over(order.rowsBetween(0, Window.unboundedFollowing))
+        """Whether a base span within the same ``scope`` overlaps the candidate.
+
+        Both frames end at the current row, one of them in reverse order: Spark keeps a running
+        value for such a frame, and goes over the rest again for each row of one that begins there.
+        """
+        so_far = Window.partitionBy(*scope).rowsBetween(Window.unboundedPreceding, 0)
+        onward = so_far.orderBy("begin", F.desc("base"), "end", "kind", "strict")
+        back = so_far.orderBy(F.desc("begin"), "base", F.desc("end"), F.desc("kind"), F.desc("strict"))
+        ended = F.max(F.when(F.col("base"), F.col("end"))).over(onward)
+        next_ = F.min(F.when(F.col("base"), F.col("begin"))).over(back)
         return F.coalesce(ended > F.col("begin"), F.lit(False)) | F.coalesce(next_ < F.col("end"), F.lit(False))
 
     label = F.when(F.col("base"), 1.0).when(~F.col("met") & ~F.col("possible"), 0.0)

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -136,6 +137,20 @@ def test_cards_with_more_digits_beside_them(spark):
     assert not any("card" in got[200 + i] for i in range(200))
 
 
+def test_many_candidates_in_one_text_take_time_in_proportion(spark):
+    def seconds(count):
+        text = " ".join(f"{i % 9000 + 1000} call 555 {i % 10000:04d} 12" for i in range(count))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        started = time.time()
+        _, found, paths = pii.candidates(docs)
+        return found.count(), time.time() - started
+
+    seconds(1000)
+    (few, short), (many, long) = seconds(8_000), seconds(32_000)
+    assert many > 3.9 * few > 30_000
+    assert long < 4 * 2.5 * short + 5
+
+
 def test_no_spans_in_nothing(nothing):
     assert pii.find_personal_data(nothing).collect() == []
 
