@@ -27,7 +27,7 @@ _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
     for c in range(256)
 )
-MATCH = "slice long, place int, starts array<int>, lengths array<int>, items array<long>, near array<long>"
+MATCH = "k1 long, k2 long, starts array<int>, lengths array<int>, items array<long>, near array<long>"
 
 
 def terms_of(text: bytes) -> list[bytes]:
@@ -138,7 +138,7 @@ def find(
 
 
 def search_index(index: DataFrame, block: Block, rarity: np.ndarray, gap: int, slop: int) -> DataFrame:
-    """For each document with a match: ranges of words hit, items found, and items found near."""
+    """For each document with a match, by its hash: ranges of words hit, items found, and items found near."""
     by_length: dict[int, list[tuple[int, ...]]] = {}
     for window in block.windows:
         by_length.setdefault(len(window), []).append(window)
@@ -149,7 +149,7 @@ def search_index(index: DataFrame, block: Block, rarity: np.ndarray, gap: int, s
             for i in range(batch.num_rows):
                 row = {
                     c: batch.column(c)[i].values.to_numpy(zero_copy_only=False)
-                    for c in ("n_words", "terms", "counts", "postings")
+                    for c in ("k1", "k2", "n_words", "terms", "counts", "postings")
                 }
                 places = row["postings"].astype(np.int64)
                 begins = words.offsets(row["counts"])
@@ -171,20 +171,22 @@ def search_index(index: DataFrame, block: Block, rarity: np.ndarray, gap: int, s
                                 else:
                                     close.update(items[w])
                 if hits:
-                    number = batch.column("slice")[i].as_py()
-                    found = [(number, doc, *_merged(h[0]), sorted(h[1]), sorted(h[2])) for doc, h in hits.items()]
+                    found = [
+                        (int(row["k1"][doc]), int(row["k2"][doc]), *_merged(h[0]), sorted(h[1]), sorted(h[2]))
+                        for doc, h in hits.items()
+                    ]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x, t) for x, t in zip(zip(*found, strict=True), _MATCH.types, strict=True)],
                         schema=_MATCH,
                     )
 
-    return index.select("slice", "n_words", "terms", "counts", "postings").mapInArrow(run, MATCH)
+    return index.select("k1", "k2", "n_words", "terms", "counts", "postings").mapInArrow(run, MATCH)
 
 
 _MATCH = pa.schema(
     [
-        ("slice", pa.int64()),
-        ("place", pa.int32()),
+        ("k1", pa.int64()),
+        ("k2", pa.int64()),
         *((c, pa.list_(pa.int32())) for c in ("starts", "lengths")),
         *((c, pa.list_(pa.int64())) for c in ("items", "near")),
     ]
@@ -223,7 +225,9 @@ def contamination(
     the phrase would have them; it is empty without ``slop``. Missing texts have
     no words; items without words or id take no part; items that repeat count once;
     rows that repeat, or miss their id, are judged one by one. Other columns are
-    not read. Empty tables on either side give no hits.
+    not read. Empty tables on either side give no hits. Matches are joined to documents by
+    128 bits of hash of id and text, so it does not matter whether rows come in the same
+    order each time they are read.
     """
     items = benchmark.select(
         F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")
@@ -242,10 +246,7 @@ def contamination(
         index, index_path = staged(build_index(lean, block.terms, gap), "positions")
         if known is None:
             zipped = F.arrays_zip("doc_id", "k1", "k2", "n_words")
-            known, _ = staged(
-                index.select("slice", F.posexplode(zipped).alias("place", "x")).select("slice", "place", "x.*"),
-                "position-docs",
-            )
+            known, _ = staged(index.select(F.explode(zipped).alias("x")).select("x.*"), "position-docs")
         # A row per term of the block, which bounds them.
         counts = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("x")).groupBy(
             F.col("x.terms").alias("term")
@@ -257,7 +258,8 @@ def contamination(
         matches = dropped(found if matches is None else matches.unionByName(found), index_path)
 
     span = F.arrays_zip(F.flatten(F.collect_list("starts")), F.flatten(F.collect_list("lengths")))
-    merged = matches.groupBy("slice", "place").agg(
+    # A block gives equal rows equal matches: one of each is enough, and no copies meet in a group.
+    merged = matches.distinct().groupBy("k1", "k2").agg(
         span.alias("spans"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
         F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"),
@@ -270,7 +272,7 @@ def contamination(
         texts = F.transform(F.coalesce(ids, F.array().cast("array<long>")), lambda x: x.cast("string"))
         return F.array_sort(texts)
 
-    return known.join(merged, ["slice", "place"], "left").select(
+    return known.join(merged, ["k1", "k2"], "left").select(
         "doc_id",
         F.col("n_words").cast("long").alias("n_words"),
         F.coalesce(F.size(F.array_distinct(places)), F.lit(0)).cast("long").alias("n_hit"),
@@ -282,7 +284,11 @@ def contamination(
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The rows of ``docs`` that have no word of a benchmark window, with all their columns."""
+    """The rows of ``docs`` that have no word of a benchmark window, with all their columns.
+
+    Missing and empty texts have no words and stay; rows that repeat stay or go alike, each
+    one by its id and text; a long text is judged whole. Empty tables on either side leave all rows.
+    """
     found = contamination(docs, benchmark, window)
     names = unused(docs, "k1", "k2")
     bad, _ = staged(found.where("n_hit > 0").select("k1", "k2").distinct().toDF(*names), "contaminated")
