@@ -276,8 +276,7 @@ budgets AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM targets),
 placed AS (
   SELECT s.doc_id, s.size, b.source_size, b.target, b.epochs, b.target - b.epochs * b.source_size AS budget,
-         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.pos RANGE UNBOUNDED PRECEDING) AS upto,
-         sum(s.size) OVER (PARTITION BY s.source, s.pos) AS own
+         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.pos ROWS UNBOUNDED PRECEDING) AS upto, s.size AS own
   FROM sized s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, size, source_size, target,
        (size * (epochs + CASE WHEN budget > 0 AND 2 * (upto - own) + own <= 2 * budget THEN 1 ELSE 0 END))::BIGINT

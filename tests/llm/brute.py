@@ -192,13 +192,13 @@ def mixing(rows):
     for _, s, n, _ in sized:
         sizes[s] += n
     goal = targets(sizes)
-    out = []
+    out, equal = [], defaultdict(int)
     for d, s, n, p in sized:
         rounds = int(goal[s] // sizes[s]) if sizes[s] else 0
         budget = goal[s] - rounds * sizes[s]
-        before = sum(m for _, t, m, q in sized if t == s and q < p)
-        own = sum(m for _, t, m, q in sized if t == s and q == p)
-        last = budget > 0 and 2 * before + own <= 2 * budget
+        before = sum(m for _, t, m, q in sized if t == s and q < p) + n * equal[s, p]
+        equal[s, p] += 1
+        last = budget > 0 and 2 * before + n <= 2 * budget
         out.append((d, n, sizes[s], goal[s], n * (rounds + last)))
     return out
 

@@ -1,7 +1,9 @@
 """The operators over documents, against plain versions, on messy and on whole tables."""
 
 import inspect
+import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,8 +34,8 @@ def test_sql(spark, sf, name):
     assert got == want and got[1]
 
 
-def test_all_ten_are_there():
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 11))
+def test_all_are_there():
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 14))
 
 
 def test_lines(messy):
@@ -191,6 +193,21 @@ def test_mixing(messy, spark, sf):
     assert mixed.count() == sum(r["copies"] for r in mixing.mix(df).collect())
 
 
+def test_equal_rows_are_taken_up_to_the_target(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_BITS", 3)  # many ranges of few rows each
+    rows = [(None, "ten words of one text that is always the same", "a")] * 100
+    rows += [(i, f"some other words here {i} " * 20, "b") for i in range(3)]
+    rows += [(7, "x y", "c")] * 40 + [(8, "", "c")] * 5 + [(9, None, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(df).select("doc_id", "size", "source_size", "target", "taken").collect()
+    want = brute.mixing([(d, s, t) for d, t, s in rows])
+    assert sort((*r[:3], round(r[3], 6), r[4]) for r in got) == sort((*r[:3], round(r[3], 6), r[4]) for r in want)
+    for size in {r["source_size"] for r in got if r["source_size"]}:
+        of = [r for r in got if r["source_size"] == size]
+        assert abs(sum(r["taken"] for r in of) - of[0]["target"]) <= max(r["size"] for r in of)
+    assert mixing.mixed_rows(df).count() == sum(r["copies"] for r in mixing.mix(df).collect())
+
+
 def test_budget_is_refined_to_a_document(spark):
     """Buckets of one bit, so that every budget is refined many times."""
     rows = [(f"s{i % 3}", 1 + i % 5, (i * 2654435761) % (1 << 60)) for i in range(600)]
@@ -217,6 +234,28 @@ def test_contamination(messy, spark):
     assert sort(clean.select("doc_id", "text").collect()) == sort(r for r in rows if r not in bad)
 
 
+def test_rows_may_come_in_another_order_each_time(spark):
+    def in_another_order(batches):
+        for batch in batches:
+            order = list(range(batch.num_rows))
+            random.SystemRandom().shuffle(order)
+            yield batch.take(pa.array(order))
+
+    draw = random.Random(4)
+    texts = [" ".join(draw.choice(LONG.split()) for _ in range(30)) for _ in range(60)]
+    bench = [(i, " ".join(texts[i].split()[5:20])) for i in range(0, 60, 5)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3])] * 4 + [(None, texts[5])] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2).mapInArrow(
+        in_another_order, "doc_id long, text string"
+    )
+    want = sort(r[:4] for r in brute.contamination(rows, bench))
+    for block in (20, 500_000):
+        found = decontamination.contamination(
+            docs, spark.createDataFrame(bench, "item_id long, text string"), block_words=block
+        )
+        assert sort(r[:4] for r in found.select("doc_id", "n_words", "n_hit", "items").collect()) == want
+
+
 def test_nothing(nothing, spark):
     benchmark = items(spark)
     for found in (
