@@ -50,4 +50,5 @@ def load_all() -> None:
         lookups,
         scalars,
         storage,
+        versioned,
     )
