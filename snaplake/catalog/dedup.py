@@ -128,6 +128,33 @@ def metric_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+WITH last AS (SELECT user_id, event_type, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2)
+SELECT user_id, max(value) FILTER (event_type = 'click') AS shop_click, max(value) FILTER (event_type = 'purchase') AS shop_purchase,
+       string_agg('Shop_' || event_type || '=' || floor(value)::BIGINT, ';' ORDER BY event_type)
+         FILTER (event_type NOT IN ('click', 'purchase')) AS others
+FROM last GROUP BY 1
+"""
+)
+def metric_open_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two declared labels as columns, all others in a map, here shown as text."""
+    found = reshape.open_metrics(
+        table(spark, sf_dir, "events"),
+        key="user_id",
+        label="event_type",
+        value="value",
+        pos="event_id",
+        declared=["click", "purchase"],
+        prefix="Shop_",
+    )
+    shown = F.transform(
+        F.map_entries("other_metrics"),
+        lambda e: F.concat_ws("=", e["key"], F.floor(e["value"]).cast("string")),
+    )
+    return found.select("user_id", "shop_click", "shop_purchase", F.array_join(shown, ";").alias("others"))
+
+
 @query(
     """
 SELECT event_type AS table_name, count(*) AS total,

@@ -48,6 +48,51 @@ def pivot_metrics(
     return long.groupBy(*names(key)).agg(*[last_of(name) for name in labels])
 
 
+def open_metrics(
+    long: DataFrame,
+    key: str | Sequence[str],
+    label: str,
+    value: str,
+    pos: Seq,
+    declared: Sequence[str],
+    prefix: str = "",
+    other: str = "other_metrics",
+) -> DataFrame:
+    """One column per declared label, and a map of all other labels, each with its last value.
+
+    No label is lost and none has to be looked for first. A map holds the labels of one
+    key; it is NULL where there are none. Empty labels do not count.
+    """
+    last = last_values(long, key, label, value, pos)
+
+    def value_of(name: str) -> Column:
+        return F.max(F.when(F.col(label) == name, F.col(value))).alias(snake(f"{prefix}{name}"))
+
+    entry = F.struct(F.concat(F.lit(prefix), F.col(label)).alias("key"), F.col(value).alias("value"))
+    entries = F.array_sort(F.collect_list(F.when(~F.col(label).isin(list(declared)), entry)))
+    return last.groupBy(*names(key)).agg(
+        *(value_of(name) for name in declared),
+        F.when(F.size(entries) > 0, F.map_from_entries(entries)).alias(other),
+    )
+
+
+def label_columns(df: DataFrame, other: str, taken: Sequence[str]) -> dict[str, Column]:
+    """A column for every label in the ``other`` map, by a name that is not ``taken`` yet.
+
+    The labels are looked for in ``df``; their number is that of the columns of a sheet.
+    """
+    found = df.select(F.explode(F.map_keys(other)).alias("label")).distinct().orderBy("label").collect()
+    columns: dict[str, Column] = {}
+    for row in found:
+        base = name = snake(row["label"]) or "metric"
+        number = 1
+        while name in columns or name in taken:
+            number += 1
+            name = f"{base}_{number}"
+        columns[name] = F.try_element_at(other, F.lit(row["label"]))
+    return columns
+
+
 def prefix_columns(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
     return df.withColumnsRenamed({c: f"{prefix}{c}" for c in df.columns if c not in keep})
 

@@ -8,14 +8,15 @@ goes on from there.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake.fixed import NA, SHEET_NAMES
-from snaplake.functions import text
+from snaplake.functions import text, values
 from snaplake.functions.dates import label
 from snaplake.functions.urls import canonical_url
 from snaplake.operators.dedup import dedup_dual_key, dedup_first
@@ -25,23 +26,66 @@ from snaplake.operators.enrich import (
     lookup_first,
     top_shops,
 )
-from snaplake.operators.reshape import product_dim
+from snaplake.operators.reshape import label_columns, product_dim
 from snaplake.operators.resume import resume_anti
 from snaplake.plans import records
-from snaplake.schemas import SCHEMAS, SEQ, SNAPSHOT, conform, headers
+from snaplake.schemas import OTHER_METRICS, SCHEMAS, SEQ, SNAPSHOT, conform, headers
 from snaplake.sources import sheets, tables
 from snaplake.sources.pages import LANDED, read_pages
 
 PRODUCT = ["shop_link", "product_name"]
 
 
+class Saved(int):
+    """The number of rows added to a table; also how many were loaded for it, and stored ones changed."""
+
+    loaded: int
+    updated: int
+
+    def __new__(cls, added: int, loaded: int = 0, updated: int = 0) -> Saved:
+        self = super().__new__(cls, added)
+        self.loaded, self.updated = loaded, updated
+        return self
+
+
+class _Watch:
+    """Counts rows where they pass in a write, so that nothing is read again to count it."""
+
+    def __init__(self) -> None:
+        self.seen: list[Observation] = []
+
+    def __call__(self, rows: DataFrame, counted: Column | None = None) -> DataFrame:
+        self.seen.append(Observation())
+        count = F.count(F.lit(1)) if counted is None else F.count_if(counted)
+        return rows.observe(self.seen[-1], count.alias("rows"))
+
+    def total(self) -> int:
+        """Rows of the writes that are done."""
+        return sum(o.get["rows"] for o in self.seen)
+
+
+@contextmanager
+def _all_counted(spark: SparkSession) -> Iterator[None]:
+    """While this holds, no part of a plan is left out because another turns out empty:
+    the rows that pass in it would not be counted. The setting is put back in the end."""
+    setting = "spark.sql.adaptive.optimizer.excludedRules"
+    before = spark.conf.get(setting, None)
+    rules = [before] if before else []
+    spark.conf.set(setting, ",".join([*rules, "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"]))
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
 class _Day:
     """The stored and the new rows of one snapshot."""
 
     def __init__(self, spark: SparkSession, warehouse: str, snapshot: str, shop_base: str) -> None:
         self.spark, self.warehouse, self.snapshot = spark, warehouse, snapshot
         self.shop_base = shop_base
-        self.new_rows: dict[str, int] = {}
+        self.saved: dict[str, Saved] = {}
+        self.loaded = _Watch()
 
     def path(self, table: str) -> str:
         return tables.table_path(self.warehouse, table)
@@ -58,15 +102,20 @@ class _Day:
         rows = self.stored(table).withColumn("shop_link", link)
         return rows.where(~F.col("shop_link").isin("", NA))
 
-    def save(self, table: str, new: DataFrame, write: Callable[[DataFrame], None]) -> None:
-        # Both counts come from file footers of one partition.
-        before = self.stored(table).count()
-        write(tables.stamp(conform(new, SCHEMAS[table])))
+    def load(self, parsed: DataFrame) -> DataFrame:
+        """Count the rows that pages give for the next table that is saved."""
+        self.loaded = _Watch()
+        return self.loaded(parsed)
+
+    def save(self, table: str, new: DataFrame, write: Callable[[DataFrame, _Watch], None]) -> None:
+        """Write new rows through ``write``, which counts them where they are written."""
+        added = _Watch()
+        write(tables.stamp(conform(new, SCHEMAS[table])), added)
         tables.add_partition(self.spark, table, self.path(table), self.snapshot)
-        self.new_rows[table] = self.stored(table).count() - before
+        self.saved[table] = Saved(added.total(), self.loaded.total())
 
     def append(self, table: str, new: DataFrame) -> None:
-        self.save(table, new, lambda rows: tables.append_rows(rows, self.path(table)))
+        self.save(table, new, lambda rows, added: tables.append_rows(added(rows), self.path(table)))
 
 
 def run(
@@ -79,8 +128,8 @@ def run(
     live_host: str,
     max_shops: int | None = None,
     book: str | None = None,
-) -> dict[str, int]:
-    """Load one snapshot; returns the number of rows added to each table.
+) -> dict[str, Saved]:
+    """Load one snapshot; returns for each table the number of rows added, loaded and updated.
 
     Pages landed by :func:`~snaplake.sources.pages.land_pages` lie by snapshot and
     kind, so each table reads its own only. ``shop_base`` is the address an id is
@@ -100,13 +149,14 @@ def run(
     def pages(kind: str) -> DataFrame:
         return landed.where(F.col("kind") == kind)
 
-    _load_shops(day, pages)
-    _load_products(day, pages)
-    _load_creators(day, pages)
-    _load_content(day, pages, live_host)
+    with _all_counted(spark):
+        _load_shops(day, pages)
+        _load_products(day, pages)
+        _load_creators(day, pages)
+        _load_content(day, pages, live_host)
     if book is not None:
         write_book(spark, warehouse, book, snapshot)
-    return day.new_rows
+    return day.saved
 
 
 def _new_rows(day: _Day, table: str, parsed: DataFrame, key: list[str]) -> DataFrame:
@@ -114,7 +164,7 @@ def _new_rows(day: _Day, table: str, parsed: DataFrame, key: list[str]) -> DataF
 
     Pages are parsed where they are read; only the short fields are shuffled.
     """
-    return dedup_first(resume_anti(parsed, day.seeds(table), key), key, SEQ)
+    return dedup_first(resume_anti(day.load(parsed), day.seeds(table), key), key, SEQ)
 
 
 def _load_shops(day: _Day, pages: Callable[[str], DataFrame]) -> None:
@@ -134,11 +184,11 @@ def _load_products(day: _Day, pages: Callable[[str], DataFrame]) -> None:
     parsed = conform(records.products(rows), SCHEMAS["product_metrics"])
     day.append("product_metrics", _new_rows(day, "product_metrics", parsed, PRODUCT))
 
-    dim = product_dim(day.stored("product_metrics"), SEQ, keep_seq=True)
+    dim = product_dim(day.load(day.stored("product_metrics")), SEQ, keep_seq=True)
     day.save(
         "product_dim",
         dim,
-        lambda rows: tables.upsert_dim(rows, day.path("product_dim"), PRODUCT),
+        lambda rows, added: tables.upsert_dim(rows, day.path("product_dim"), PRODUCT, watch=added),
     )
 
 
@@ -155,7 +205,7 @@ def _load_creators(day: _Day, pages: Callable[[str], DataFrame]) -> None:
     rows = rows.withColumn("creator_name", F.col("row.name"))
     parsed = conform(records.product_creators(rows), SCHEMAS["product_creators"])
     kept = dedup_dual_key(
-        parsed, stored, PRODUCT, "creator_name", "tiktok_link", SEQ, exempt_na=False
+        day.load(parsed), stored, PRODUCT, "creator_name", "tiktok_link", SEQ, exempt_na=False
     )
     day.append("product_creators", _with_product_link(day, kept.drop("product_link")))
 
@@ -165,30 +215,37 @@ def _load_content(day: _Day, pages: Callable[[str], DataFrame], live_host: str)
     rows = records.with_row(pages("video"), "video")
     rows = rows.withColumn("item_title", F.col("row.name"))
     parsed = conform(records.videos(rows), SCHEMAS["videos"])
-    kept = dedup_dual_key(parsed, stored, PRODUCT, "item_title", "link", SEQ, exempt_na=True)
+    kept = dedup_dual_key(day.load(parsed), stored, PRODUCT, "item_title", "link", SEQ, exempt_na=True)
     _append_content(day, "videos", kept)
 
     # Livestreams have no key of their own; a page taken once is not taken again.
     rows = records.with_row(pages("live"), "live")
     rows = rows.withColumn("item_title", F.col("row.name"))
     parsed = conform(records.lives(rows, live_host), SCHEMAS["lives"])
-    _append_content(day, "lives", resume_anti(parsed, day.stored("lives"), SEQ))
+    _append_content(day, "lives", resume_anti(day.load(parsed), day.stored("lives"), SEQ))
 
 
 def _append_content(day: _Day, table: str, new: DataFrame) -> None:
     """Append with links filled in, then fill those of the rows stored before.
 
-    Creators may be stored after the content that names them. The partition is
-    written again only if some stored link has become known.
+    Creators may be stored after the content that names them. Only rows whose link is
+    still open can change, as the first creator of a name stays the first; the partition
+    is written again only if some of them do.
     """
     creators = day.stored("product_creators")
     linked = _with_product_link(day, new.drop("product_link"))
     day.append(table, enrich_creator_links(linked, creators))
 
-    stored = day.stored(table).withColumn("_before", F.col("creator_link"))
-    filled = enrich_creator_links(stored, creators)
-    if not filled.where(F.col("creator_link") != F.col("_before")).isEmpty():
-        tables.replace_snapshots(filled.drop("_before"), day.path(table))
+    stored = day.stored(table)
+    open_ = values.na_default(F.col("creator_link")) == NA
+    known = enrich_creator_links(stored.where(open_), creators).where(F.col("creator_link") != NA)
+    if not known.isEmpty():
+        updated = _Watch()
+        filled = enrich_creator_links(stored.withColumn("_open", open_), creators)
+        filled = updated(filled, F.col("_open") & (F.col("creator_link") != NA)).drop("_open")
+        tables.replace_snapshots(filled, day.path(table))
+        before = day.saved[table]
+        day.saved[table] = Saved(int(before), before.loaded, updated.total())
 
 
 def write_book(
@@ -196,16 +253,20 @@ def write_book(
 ) -> None:
     """The sheets of a snapshot, read from the written tables.
 
-    A sheet that fails does not keep the others from being written.
+    Labels that no header declares are columns of the sheet as well, if a page of the
+    snapshot shows them. A sheet that fails does not keep the others from being written.
     """
     errors: list[Exception] = []
     for table, sheet in SHEET_NAMES.items():
         rows = tables.load_table(spark, warehouse, table)
-        shown = rows.select(*headers(table))
         try:
-            if SNAPSHOT in shown.columns:
-                here = shown.where(F.col(SNAPSHOT) == snapshot)
-                sheets.write_sheet(here, book, sheet, fmt, partition=SNAPSHOT, value=snapshot)
+            here = rows.where(F.col(SNAPSHOT) == snapshot) if SNAPSHOT in rows.columns else rows
+            shown = here.select(*headers(table))
+            if OTHER_METRICS in rows.columns:
+                other = label_columns(here, OTHER_METRICS, shown.columns)
+                shown = here.select(*headers(table), *(c.alias(n) for n, c in other.items()))
+            if SNAPSHOT in rows.columns:
+                sheets.write_sheet(shown, book, sheet, fmt, partition=SNAPSHOT, value=snapshot)
             else:
                 sheets.write_sheet(shown, book, sheet, fmt)
         except Exception as error:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from snaplake import fixed
 from snaplake.functions import text, urls, values
 from snaplake.operators.markup import metric, parse
-from snaplake.schemas import snake
+from snaplake.schemas import OTHER_METRICS, snake
 
 
 def with_shop(landed: DataFrame, base: str) -> DataFrame:
@@ -41,6 +41,18 @@ def _metrics(labels: list[str], prefix: str) -> dict[str, Column]:
     }
 
 
+def _other_metrics(labels: list[str], prefix: str) -> dict[str, Column]:
+    """The last value under each label that is not among ``labels``; NULL where a page has none."""
+    tiles = F.filter("d.metrics", lambda m: (m["label"] != "") & ~m["label"].isin(labels))
+    found = F.array_distinct(F.transform(tiles, lambda m: m["label"]))
+
+    def last(name: Column) -> Column:
+        return text.join_lines(F.try_element_at(F.filter(tiles, lambda m: m["label"] == name), F.lit(-1))["value"])
+
+    named = F.transform(found, lambda name: F.concat(F.lit(prefix), name))
+    return {OTHER_METRICS: F.when(F.size(found) > 0, F.map_from_arrays(named, F.transform(found, last)))}
+
+
 def _detail(pages: DataFrame, rules: list, metrics: bool = False) -> DataFrame:
     return pages.withColumn("d", parse(F.col("html"), rules, metrics))
 
@@ -58,7 +70,9 @@ def _creator_columns() -> dict[str, Column]:
 
 
 def shops(pages: DataFrame) -> DataFrame:
-    return _detail(pages, [], metrics=True).withColumns(_metrics(fixed.SHOP_LABELS, "Shop_"))
+    return _detail(pages, [], metrics=True).withColumns(
+        _metrics(fixed.SHOP_LABELS, "Shop_") | _other_metrics(fixed.SHOP_LABELS, "Shop_")
+    )
 
 
 def shop_creators(pages: DataFrame) -> DataFrame:
@@ -80,6 +94,7 @@ def products(pages: DataFrame) -> DataFrame:
             "number_of_reviews": text.review_count(_after(["rating_text"], "reviews_text")),
             "product_skus": text.sku_count(_after(["rating_text", "reviews_text"], "skus_text")),
             **_metrics(fixed.PRODUCT_LABELS, "Product_"),
+            **_other_metrics(fixed.PRODUCT_LABELS, "Product_"),
         }
     )
 
@@ -127,5 +142,6 @@ def lives(pages: DataFrame, host: str) -> DataFrame:
             "livestream_time": _na("d.livestream_time"),
             "duration": _na("d.duration"),
             **shown,
+            **_other_metrics(fixed.LIVE_LABELS, ""),
         }
     )

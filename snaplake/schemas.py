@@ -13,6 +13,9 @@ from snaplake.fixed import TABLE_HEADERS
 SNAPSHOT = "date_filter"
 SEQ = "seq"
 LOAD_TIME = "created_at"
+#: Metrics under labels that no header declares, by their full label.
+OTHER_METRICS = "other_metrics"
+OPEN_TABLES = ("shop_metrics", "product_metrics", "lives")
 
 
 def snake(header: str) -> str:
@@ -21,10 +24,12 @@ def snake(header: str) -> str:
 
 
 def table_schema(table: str) -> T.StructType:
-    """Ingest order, the table's text columns, load time; the snapshot comes last."""
+    """Ingest order, the table's text columns, other metrics where pages may show any, load time; the snapshot comes last."""
     columns = [snake(h) for h in TABLE_HEADERS[table]]
     fields = [T.StructField(SEQ, T.LongType())]
     fields += [T.StructField(c, T.StringType()) for c in columns if c != SNAPSHOT]
+    if table in OPEN_TABLES:
+        fields.append(T.StructField(OTHER_METRICS, T.MapType(T.StringType(), T.StringType())))
     fields.append(T.StructField(LOAD_TIME, T.TimestampType()))
     if SNAPSHOT in columns:
         fields.append(T.StructField(SNAPSHOT, T.StringType()))

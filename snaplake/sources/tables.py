@@ -21,6 +21,13 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or a pattern of paths, names anything."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return bool(store.globStatus(where))
+
+
 def load_first(
     spark: SparkSession,
     sources: Sequence[str | tuple[str, str]],
@@ -34,6 +41,8 @@ def load_first(
     """
     for source in sources:
         path, fmt = (source, "parquet") if isinstance(source, str) else source
+        if not _exists(spark, path):
+            continue
         try:
             return spark.read.schema(schema).format(fmt).options(**options).load(path)
         except AnalysisException as error:
@@ -195,13 +204,19 @@ def routed_table(
     return load_first(spark, [f"{root.rstrip('/')}/{tag}={table}"], schema)
 
 
-def upsert_dim(new: DataFrame, path: str, keys: Sequence[str], seq: str = SEQ) -> None:
-    """Add the keys a dimension lacks, each with its first row.
+def upsert_dim(
+    new: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    seq: str = SEQ,
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> None:
+    """Add the keys a dimension lacks, each with its first row; ``watch`` sees these rows.
 
     Stored rows stay as they are, so only new keys are written.
     """
     stored = load_first(new.sparkSession, [path], new.schema)
-    append_rows(dedup_new(new, stored, keys, seq), path, None)
+    append_rows(watch(dedup_new(new, stored, keys, seq)), path, None)
 
 
 def dual_sink(df: DataFrame, *sinks: Callable[[DataFrame], None]) -> None:

@@ -178,6 +178,60 @@ def test_run(spark, places):
     assert links["T4"] == "https://www.tiktok.com/@zed"
 
 
+def test_counts_of_a_run(spark, places, monkeypatch):
+    """Loaded, added and updated rows come from the writes: no table is read to count it."""
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    def counted(self):
+        raise AssertionError("count() in a run")
+
+    land(spark, places["landing"], landed())
+    with monkeypatch.context() as m:
+        m.setattr(Frame, "count", counted)
+        saved = load(spark, places)
+    assert {t: (int(s), s.loaded, s.updated) for t, s in saved.items()} == {
+        "shop_metrics": (2, 2, 0),
+        "shop_creators": (1, 2, 0),
+        "product_metrics": (2, 3, 0),
+        "product_dim": (2, 2, 0),
+        "product_creators": (2, 4, 0),
+        "videos": (3, 4, 0),
+        "lives": (2, 2, 0),
+    }
+    shop = "https://data.example/shop/detail?id=1"
+    late = (200, "creator", shop, "Red hat", row("ZED"), "u", creator_page("https://www.tiktok.com/@zed"), SNAPSHOT)
+    land(spark, places["landing"], [late])
+    saved = load(spark, places)
+    assert (int(saved["videos"]), saved["videos"].loaded, saved["videos"].updated) == (0, 4, 1)
+    assert (int(saved["lives"]), saved["lives"].updated) == (0, 0)
+    assert load(spark, places)["videos"].updated == 0
+
+
+def test_unknown_tiles_reach_table_and_sheet(spark, places):
+    pages = landed()
+    shop = "https://data.example/shop/detail?id=3"
+    odd = tiles(**{"Revenue": "$3", "New_Tile": "a<br>b", "shop": "x"}) + tiles(**{"New_Tile": "last", "": "none"})
+    live = ("live", shop, "Red hat", row("L9", "", "$3", clamp=2), "u", live_page("@BOB") + tiles(Odd="1"))
+    land(spark, places["landing"], [*pages, (300, "shop", shop, None, None, shop, odd, SNAPSHOT), (301, *live, SNAPSHOT)])
+    load(spark, places, book=places["book"])
+    stored = rows(spark, places, "shop_metrics", "shop_revenue", "other_metrics")
+    assert stored == [("$1", None), ("$4", None), ("$3", {"Shop_New Tile": "last", "Shop_shop": "x"})]
+    assert [r[0] for r in rows(spark, places, "lives", "other_metrics")] == [None, None, {"Odd": "1"}]
+    sheet = spark.read.parquet(sheet_path(places["book"], "Shop_Metrics"))
+    assert sheet.select("shop_new_tile", "shop_shop").where("shop_revenue = '$3'").collect() == [("last", "x")]
+    assert sheet.where("shop_new_tile IS NULL").count() == 2
+    assert [r[0] for r in spark.read.parquet(sheet_path(places["book"], "Lives")).select("odd").collect()].count("1") == 1
+
+
+def test_columns_of_labels_keep_apart(spark):
+    from snaplake.operators.reshape import label_columns
+
+    df = spark.createDataFrame([({"A b": "1", "a-B": "2", "?": "3", "Taken": "4"},), (None,)], "m map<string,string>")
+    columns = label_columns(df, "m", ["taken"])
+    assert sorted(columns) == ["a_b", "a_b_2", "metric", "taken_2"]
+    assert df.select(*(c.alias(n) for n, c in columns.items())).where("a_b IS NOT NULL").count() == 1
+
+
 def test_shop_cap(spark, places):
     land(spark, places["landing"], landed())
     added = load(spark, places, max_shops=1)
