@@ -11,6 +11,7 @@ from snaplake.operators.enrich import lookup_first
 from snaplake.operators.resume import past_cursor
 from snaplake.session import shared_dir
 from snaplake.sources import tables
+from snaplake.sources.key_index import KeyIndex
 from snaplake.streaming import backfill, ingest
 
 
@@ -132,3 +133,20 @@ def missing_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     missing = backfill.missing_snapshots(loaded, "1995-01-01", "2001-08-01")
     return missing.select(F.date_format("day", "yyyy-MM-dd").alias("day"))
+
+
+@query(
+    """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE year(o_orderdate) >= 1998
+  AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 1997)
+"""
+)
+def resume_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of customers that no order of three earlier years has; these came year by year into a key index."""
+    orders = table(spark, sf_dir, "orders")
+    year = F.year("o_orderdate")
+    index = KeyIndex(spark, shared_dir(spark, "keys"), "o_custkey")
+    for of in (1995, 1996, 1997):
+        index.add(orders.where(year == of))
+    return index.unseen(orders.where(year >= 1998)).select("o_orderkey", "o_custkey")
