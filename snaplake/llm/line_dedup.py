@@ -1,15 +1,17 @@
 """Drop lines that many documents share, by levelled sorted runs of line hashes.
 
 Documents come in batches. A run holds line hashes in order, with the number of
-documents that have the line. Level 0 takes a run per batch; when a level is
-full its runs are merged into one of the next level. Lines that have reached
-the limit leave the levels for a run of settled lines, and a batch is merge
-anti-joined with that run first, so a line that is settled is not counted again. What
+documents that have the line. Level 0 takes a run per batch; two runs of a level are
+merged into one of the next. Lines that have reached the limit leave the levels for
+runs of settled lines, which are merged by levels as well, and a new batch is merge
+anti-joined with these first, so a line that is settled is not counted again. What
 higher levels still hold of a settled line goes when they are merged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,61 +30,113 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(SPACES)))
 
 
+@contextmanager
+def _in_order(spark: SparkSession) -> Iterator[None]:
+    """While this holds, Spark relies on the order of rows in the one file of a bucket."""
+    setting = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
 class LineRuns:
-    """Runs of (h1, h2, docs), by level; each run is a folder of sorted files."""
+    """Sorted runs by level: of (h1, h2, docs) for open lines, of (h1, h2) for settled ones.
+
+    A run is a table of sorted buckets, a file each. All runs have the same buckets, so a
+    batch is dealt out once, by its counts, and meets run after run where that lies; merging
+    two runs is a join of equal buckets. Neither exchanges a run or sorts it again to read it.
+    """
 
-    def __init__(self, spark: SparkSession, min_docs: int = 10, fanout: int = 3):
+    def __init__(self, spark: SparkSession, min_docs: int = 10, fanout: int = 2, buckets: int | None = None):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
-        self.levels: list[list[tuple[DataFrame, str]]] = [[]]
-        self.settled: list[tuple[DataFrame, str]] = []
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.paths: dict[str, str] = {}
+        self.levels: list[list[str]] = []
+        self.settled: list[list[str]] = []
+
+    def _write(self, rows: DataFrame, name: str) -> str:
+        """Write rows that lie by bucket already; returns the table."""
+        path = shared_dir(self.spark, name)
+        table = path.rsplit("/", 1)[-1].replace("-", "_")
+        with _in_order(self.spark):
+            (
+                rows.sortWithinPartitions(*KEY)
+                .write.bucketBy(self.buckets, *KEY)
+                .sortBy(*KEY)
+                .option("path", path)
+                .saveAsTable(table)
+            )
+        self.paths[table] = path
+        return table
+
+    def _push(self, levels: list[list[str]], level: int, table: str, name: str) -> None:
+        """Put a run on its level, and merge a full level into one run of the next."""
+        while len(levels) <= level:
+            levels.append([])
+        levels[level].append(table)
+        if len(levels[level]) >= self.fanout:
+            (merged, *others), levels[level] = levels[level], []
+            for other in others:
+                merged = self._merge(merged, other, name)
+            self._push(levels, level + 1, merged, name)
+
+    def _other(self, table: str) -> DataFrame:
+        run = self.spark.table(table)
+        return run.toDF(*(f"of_{c}" for c in run.columns))
+
+    def _same(self) -> Column:
+        return (F.col("h1") == F.col("of_h1")) & (F.col("h2") == F.col("of_h2"))
+
+    def _merge(self, first: str, second: str, name: str) -> str:
+        """One run of two; lines that reach the limit by it make a settled run as well."""
+        both = self.spark.table(first).join(self._other(second), self._same(), "full_outer")
+        keys = [F.coalesce(c, f"of_{c}").alias(c) for c in KEY]
+        if name == "line-settled":
+            merged = self._write(both.select(*keys), name)
+        else:
+            docs = F.coalesce("docs", F.lit(0)) + F.coalesce("of_docs", F.lit(0))
+            merged = self._write(self._open(both.select(*keys, docs.alias("docs"))), name)
+            reached = self.spark.table(merged).where(F.col("docs") >= self.min_docs).select(*KEY)
+            self._push(self.settled, 0, self._write(reached, "line-settled"), "line-settled")
+        self._remove(first, second)
+        return merged
 
-    def _write(self, counts: DataFrame, name: str) -> tuple[DataFrame, str]:
-        return staged(counts.sortWithinPartitions(*KEY), name)
+    def _open(self, lines: DataFrame) -> DataFrame:
+        """``lines`` without those that are settled, by a merge with each settled run."""
+        for table in (t for level in self.settled for t in level):
+            lines = lines.join(self._other(table), self._same(), "left_anti")
+        return lines
 
     def absorb(self, lines: DataFrame) -> None:
         """Count a batch of (h1, h2) rows, one for each document and line."""
-        counts = self._open(lines).groupBy(*KEY).agg(F.count(F.lit(1)).alias("docs"))
-        self.levels[0].append(self._write(counts, "line-run"))
-        level = 0
-        while len(self.levels[level]) >= self.fanout:
-            self._compact(level)
-            level += 1
-
-    def _open(self, lines: DataFrame) -> DataFrame:
-        """``lines`` without those that are settled."""
-        if not self.settled:
-            return lines
-        settled = reduce(DataFrame.unionByName, (run.select(*KEY) for run, _ in self.settled))
-        return lines.join(settled, KEY, "left_anti")
-
-    def _merged(self, runs: list[tuple[DataFrame, str]]) -> DataFrame:
-        merged = runs[0][0]
-        for run, _ in runs[1:]:
-            merged = merged.unionByName(run)
-        return merged.groupBy(*KEY).agg(F.sum("docs").alias("docs"))
-
-    def _compact(self, level: int) -> None:
-        runs, self.levels[level] = self.levels[level], []
-        merged, path = self._write(self._open(self._merged(runs)), "line-merge")
-        if level + 1 == len(self.levels):
-            self.levels.append([])
-        reached = F.col("docs") >= self.min_docs
-        self.levels[level + 1].append((merged.where(~reached), path))
-        self.settled.append(self._write(merged.where(reached).select(*KEY), "line-settled"))
-        for _, path in runs:
-            drop_dir(self.spark, path)
+        counts = lines.groupBy(*KEY).agg(F.count(F.lit(1)).alias("docs")).repartition(self.buckets, *KEY)
+        # The number keeps the optimizer from moving a join below the counts.
+        counts = counts.withColumn("number", F.monotonically_increasing_id())
+        self._push(self.levels, 0, self._write(self._open(counts).drop("number"), "line-run"), "line-run")
 
     def frequent(self) -> DataFrame:
         """All lines found in ``min_docs`` documents or more, once each."""
-        open_ = [run for level in self.levels for run in level]
-        found = self._open(self._merged(open_)).where(F.col("docs") >= self.min_docs).select(*KEY)
-        for run, _ in self.settled:
-            found = found.unionByName(run.select(*KEY))
-        return found
+        waiting = [t for level in self.levels for t in level]
+        while len(waiting) > 1:  # the smallest first
+            waiting = [self._merge(waiting[0], waiting[1], "line-run"), *waiting[2:]]
+        self.levels = [waiting]
+        found = [self.spark.table(t) for level in self.settled for t in level]
+        found += [self._open(self.spark.table(t)).where(F.col("docs") >= self.min_docs) for t in waiting]
+        if not found:
+            return self.spark.createDataFrame([], "h1 long, h2 long")
+        return reduce(DataFrame.unionByName, (run.select(*KEY) for run in found))
+
+    def _remove(self, *tables: str) -> None:
+        for table in tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            drop_dir(self.spark, self.paths.pop(table))
 
     def drop(self) -> None:
-        for _, path in [*(run for level in self.levels for run in level), *self.settled]:
-            drop_dir(self.spark, path)
+        self._remove(*list(self.paths))
+        self.levels, self.settled = [], []
 
 
 def batches_for(size: int) -> int:

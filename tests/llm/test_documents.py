@@ -53,6 +53,32 @@ def test_runs_are_compacted(spark):
     runs.drop()
 
 
+def test_runs_are_met_where_they_lie(spark, conf):
+    """A batch is exchanged for its counts and dealt out; runs are neither exchanged nor sorted."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+    runs = line_dedup.LineRuns(spark, min_docs=3, buckets=5)
+    for n in range(5):
+        runs.absorb(spark.createDataFrame([(1, 1), (n, 2)], "h1 long, h2 long"))
+    tables = [t for level in runs.levels for t in level]
+    settled = [t for level in runs.settled for t in level]
+    assert len(tables) == 2 and settled
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    both = spark.table(tables[0]).join(runs._other(tables[1]), runs._same(), "full_outer")
+    merge = plan(runs._open(both.select(*(F.coalesce(c, f"of_{c}").alias(c) for c in ("h1", "h2")))))
+    assert "SortMergeJoin" in merge and merge.count("Bucketed: true") >= 2
+    joined = plan(both)
+    assert joined.count("Bucketed: true") == 2 and "Exchange" not in joined and "Sort [" not in joined
+    opened = plan(runs._open(spark.table(tables[0])))
+    assert opened.count("SortMergeJoin") == len(settled)
+    assert "Exchange" not in opened and "Sort [" not in opened
+    assert sort(runs.frequent().collect()) == [(1, 1)]
+    runs.drop()
+
+
 def test_lines_settle_once(spark):
     """A line settles from level 0 while level 1 holds shares of it, before and after that is merged."""
     per_batch = [2, 2, 1, 2, 2, 2, 4, 4, 4, 1]
