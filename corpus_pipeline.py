@@ -64,7 +64,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; tables between stages are removed once read."""
+    """The stages over ``documents``; tables between stages are removed once read.
+
+    Missing and empty texts are scored, fingerprinted, searched and mixed as empty ones, and
+    long texts whole. Rows that repeat are near-duplicates of each other, of which one stays;
+    a missing id is later than all others. Extra columns are carried up to the last stage,
+    also under names that a stage uses itself. Empty tables give an empty result.
+    """
     docs, path = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         kept, kept_path = staged(stage(spark, docs, sf_dir), f"stage-{name}")
