@@ -26,10 +26,10 @@ from snaplake.llm.frames import small_batches, staged
 
 #: Hash rows of the sketch; the two halves of a window's hash give the cells.
 ROWS = 2
-#: A missing id is larger than all others.
+#: A missing id ranks with the largest one; whether an id is there is kept apart.
 NO_ID = np.iinfo(np.int64).max
 
-CHUNK = "chunk long, n_words long, doc_ids binary, ends binary, body binary"
+CHUNK = "chunk long, n_words long, doc_ids binary, has_id binary, ends binary, body binary"
 SENT = "pass int, shard long, chunk long, n long, cells binary, extra binary"
 REPLY = "pass int, shard long, chunk long, n long, flags binary"
 
@@ -48,6 +48,7 @@ def _chunks(docs: DataFrame) -> DataFrame:
                 "chunk": [number],
                 "n_words": [sum(len(t.split()) for t in found)],
                 "doc_ids": [ids.astype(np.int64).tobytes()],
+                "has_id": [batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False).tobytes()],
                 "ends": [np.cumsum([len(t) for t in found]).astype(np.int64).tobytes()],
                 "body": [zstandard.compress(b"".join(found), 1)],
             }
@@ -64,6 +65,7 @@ class Windows:
         ends = np.frombuffer(row["ends"], np.int64)
         body = zstandard.decompress(row["body"]) if len(ends) else b""
         self.ids = np.frombuffer(row["doc_ids"], np.int64)
+        self.has_id = np.frombuffer(row["has_id"], bool)
         bounds = [0, *ends.tolist()]
         self.words = [body[a:b].split() for a, b in zip(bounds, bounds[1:], strict=False)]
         sizes = np.array([len(w) for w in self.words], np.int64)
@@ -212,8 +214,8 @@ def remove_repeats(
     A word goes if a run of ``window`` words over it also begins in a document with
     a smaller id; the runs are those of the input. Kept words are joined by one
     space. Missing and empty texts have no words, shorter ones no windows. Rows
-    with the same id do not count as earlier than one another; a missing id is
-    later than all others and is given back as missing. Other columns of ``docs`` are not read, and an
+    with the same id do not count as earlier than one another; a missing id ranks with
+    2^63-1, later than all others, and is given back as missing. Other columns of ``docs`` are not read, and an
     empty table gives an empty one.
     """
     lean = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -262,7 +264,7 @@ def remove_repeats(
                 a, b = windows.bounds[doc : doc + 2]
                 drop = gone[a:b]
                 kept = [found[i] for i in np.flatnonzero(~drop).tolist()] if drop.any() else found
-                out["doc_id"].append(None if windows.ids[doc] == NO_ID else int(windows.ids[doc]))
+                out["doc_id"].append(int(windows.ids[doc]) if windows.has_id[doc] else None)
                 out["n_words"].append(len(found))
                 out["n_removed"].append(int(drop.sum()))
                 out["kept_text"].append(b" ".join(kept))
