@@ -1,134 +1,175 @@
 """Find benchmark passages in a corpus with a positional inverted index.
 
-The index has a row per slice of documents: the postings of every benchmark term
-in that slice, as places in one running numbering of the slice's words, with gaps
-between documents. A window is looked up from its rarest term: the postings of
-each term, less the term's offset in the window, are intersected in the order of
-how rare the terms are in the whole corpus. Benchmarks come in blocks of bounded
-size, so what a task holds of them is bounded too.
+The index is a table with a row per slice of documents and term: the places of the
+term in one running numbering of the slice's words, with gaps between documents. It
+holds every word of the corpus and does not depend on the benchmark. Windows of the
+benchmark are a table as well, with their terms in the order of how rare they are in
+the corpus. A window goes to the slices that hold its rarest term; there the
+postings of its terms, less the term's offset in the window, are intersected in that
+order. A task holds the postings of one slice and sees its windows one after the
+other, so neither the corpus nor the benchmark bounds what fits.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.llm import words
-from snaplake.llm.frames import digest128, dropped, small_batches, staged, unused
+from snaplake.llm.frames import digest128, small_batches, staged, unused
 
 #: A-Z become a-z; digits, a-z and all bytes beyond ASCII stay; the rest separates.
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
     for c in range(256)
 )
-MATCH = "k1 long, k2 long, starts array<int>, lengths array<int>, items array<long>, near array<long>"
+#: Places in one row of the index; the postings of a frequent term are several rows.
+PIECE = 16_384
+#: Windows of an item sent on at once.
+WINDOWS = 4096
+
+INDEX = (
+    "slice long, term long, piece int, n int, steps array<int>, "
+    "doc_id array<long>, k1 array<long>, k2 array<long>, n_words array<long>"
+)
+MATCH = "k1 long, k2 long, w1 long, w2 long, start int, length int, near boolean"
 
 
 def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-@dataclass
-class Block:
-    """Some benchmark items: their terms by number, and each distinct window once."""
+def _term_hashes(terms: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, terms)), np.int64)
 
-    window: int
-    terms: dict[bytes, int] = field(default_factory=dict)
-    windows: dict[tuple[int, ...], list[int]] = field(default_factory=dict)
-    words: int = 0
 
-    def add(self, item_id: int, text: bytes) -> None:
-        codes = [self.terms.setdefault(w, len(self.terms)) for w in terms_of(text)]
-        self.words += len(codes)
-        for i in range(max(1, len(codes) - self.window + 1) if codes else 0):
-            items = self.windows.setdefault(tuple(codes[i : i + self.window]), [])
-            if not items or items[-1] != item_id:
-                items.append(item_id)
+def _lists(ends: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
 
 
-def blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator[Block]:
-    """The items in blocks of about ``block_words`` words, or one long item."""
-    block = Block(window)
-    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").orderBy("item_id")
-    for row in rows.toLocalIterator():
-        block.add(row["item_id"], row["text"].encode())
-        if block.words >= block_words:
-            yield block
-            block = Block(window)
-    yield block
+def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
+    """``item_id``, ``terms``: a row for each run of ``window`` words, or for all words of a shorter item."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column("item_id").to_pylist(), words.texts(batch, "text"), strict=True):
+                terms = _term_hashes(terms_of(text))
+                size = min(window, len(terms))
+                if not size:
+                    continue
+                found = np.lib.stride_tricks.sliding_window_view(terms, size)
+                for a in range(0, len(found), WINDOWS):
+                    part = found[a : a + WINDOWS]
+                    ends = np.arange(len(part) + 1) * size
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([item] * len(part), pa.int64()), _lists(ends, part.ravel(), pa.int64())],
+                        ["item_id", "terms"],
+                    )
 
-def build_index(docs: DataFrame, terms: dict[bytes, int], gap: int) -> DataFrame:
-    """A row per slice: its documents, and the postings of ``terms`` in it."""
+    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
+    return small_batches(rows).mapInArrow(run, "item_id long, terms array<long>")
+
+
+def build_index(docs: DataFrame, gap: int, slice_bytes: int = words.SLICE_BYTES) -> DataFrame:
+    """Postings of all words, as steps from place to place; a row without term lists a slice's documents."""
+    schema = pa.schema(
+        [
+            ("slice", pa.int64()),
+            ("term", pa.int64()),
+            ("piece", pa.int32()),
+            ("n", pa.int32()),
+            ("steps", pa.list_(pa.int32())),
+            *((c, pa.list_(pa.int64())) for c in ("doc_id", "k1", "k2", "n_words")),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 32
-        for batch in words.slices(batches, "text"):
+        for batch in words.slices(batches, "text", slice_bytes):
+            codes_of: defaultdict[bytes, int] = defaultdict()
+            codes_of.default_factory = codes_of.__len__
             sizes, codes = [], []
             for text in words.texts(batch, "text"):
                 found = terms_of(text)
                 sizes.append(len(found))
-                codes.append(np.fromiter(map(terms.get, found, repeat(-1)), np.int64, len(found)))
+                codes.append(np.fromiter(map(codes_of.__getitem__, found), np.int32, len(found)))
             sizes = np.array(sizes, np.int64)
             flat = np.concatenate(codes)
             places = np.arange(len(flat)) + gap * np.repeat(np.arange(len(sizes)), sizes)
-            known = np.flatnonzero(flat >= 0)
-            order = known[np.argsort(flat[known], kind="stable")]
-            present, counts = np.unique(flat[order], return_counts=True)
-            row = {
+            places = places[np.argsort(flat, kind="stable")]
+            counts = np.bincount(flat, minlength=len(codes_of))
+            pieces = -(-counts // PIECE)
+            piece = np.arange(pieces.sum()) - np.repeat(words.offsets(pieces)[:-1], pieces)
+            ends = np.append(np.repeat(words.offsets(counts)[:-1], pieces) + PIECE * piece, len(places))
+            steps = np.diff(places, prepend=0)
+            steps[ends[:-1]] = places[ends[:-1]]
+            rows = len(piece)
+            posted = {
+                "slice": pa.array(np.full(rows, number), pa.int64()),
+                "term": pa.array(np.repeat(_term_hashes(list(codes_of)), pieces), pa.int64()),
+                "piece": pa.array(piece, pa.int32()),
+                "n": pa.array(np.diff(ends), pa.int32()),
+                "steps": _lists(ends, steps, pa.int32()),
+            }
+            listed = {
                 "slice": [number],
-                "doc_id": [batch.column("doc_id")],
-                "k1": [batch.column("k1")],
-                "k2": [batch.column("k2")],
+                "doc_id": [batch.column("doc_id").to_pylist()],
+                "k1": [batch.column("k1").to_pylist()],
+                "k2": [batch.column("k2").to_pylist()],
                 "n_words": [sizes],
-                "terms": [present.astype(np.int32)],
-                "counts": [counts.astype(np.int32)],
-                "postings": [places[order].astype(np.int32)],
             }
-            yield pa.RecordBatch.from_pydict(row, schema=_INDEX)
+            for row, size in ((posted, rows), (listed, 1)):
+                columns = [
+                    pa.array(row[f.name], f.type) if f.name in row else pa.nulls(size, f.type) for f in schema
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
             number += 1
 
-    return small_batches(docs).mapInArrow(
-        run,
-        "slice long, doc_id array<long>, k1 array<long>, k2 array<long>, n_words array<long>, "
-        "terms array<int>, counts array<int>, postings array<int>",
-    )
+    return small_batches(docs).mapInArrow(run, INDEX)
 
 
-_INDEX = pa.schema(
-    [
-        ("slice", pa.int64()),
-        *((c, pa.list_(pa.int64())) for c in ("doc_id", "k1", "k2", "n_words")),
-        *((c, pa.list_(pa.int32())) for c in ("terms", "counts", "postings")),
-    ]
-)
+def by_rarity(windows: DataFrame, index: DataFrame) -> DataFrame:
+    """``w1``, ``w2``, ``ats``, ``terms``: offsets and terms of each window, rarest in the corpus first.
+
+    A window with a term that the corpus does not have is left out.
+    """
+    each = windows.select("w1", "w2", F.size("terms").alias("length"), F.posexplode("terms").alias("at", "term"))
+    rarity = (
+        index.where("term IS NOT NULL")
+        .select("term", "n")
+        .join(each.select("term").distinct(), "term", "left_semi")
+        .groupBy("term")
+        .agg(F.sum("n").alias("n"))
+    )
+    ranked = each.join(rarity, "term").groupBy("w1", "w2", "length")
+    steps = ranked.agg(F.array_sort(F.collect_list(F.struct("n", "at", "term"))).alias("s"))
+    return steps.where("size(s) = length").selectExpr("w1", "w2", "s.at AS ats", "s.term AS terms")
+
 
+def find(offsets: list[int], postings: list[np.ndarray], slop: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where a window begins, word for word, and where all its terms lie within ``slop`` places of that.
 
-def find(
-    window: np.ndarray, rarity: np.ndarray, postings: list[np.ndarray], slop: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Where the window begins, word for word, and where all its terms lie within ``slop`` places of that."""
-    order = np.argsort(rarity, kind="stable")
-    at = postings[order[0]] - order[0]
+    Offsets in the window and the postings there are given from the rarest term on.
+    """
+    at = postings[0] - offsets[0]
     exact = np.ones(len(at), bool)
     if slop:
         shifts = np.arange(-slop, slop + 1)
         exact = np.tile(shifts == 0, len(at))
         at = np.repeat(at, len(shifts)) + np.tile(shifts, len(at))
-    for offset in order[1:]:
+    for offset, held in zip(offsets[1:], postings[1:], strict=True):
         if not len(at):
             break
-        held = postings[offset]
-        lows = np.searchsorted(held, at + offset - slop)
-        near = held[np.minimum(lows, len(held) - 1)] <= at + offset + slop
+        lows = np.searchsorted(held, at + (offset - slop))
+        near = held[np.minimum(lows, len(held) - 1)] <= at + (offset + slop)
         near &= lows < len(held)
         if slop:
             same = np.searchsorted(held, at + offset)
@@ -137,72 +178,118 @@ def find(
     return np.unique(at[exact]), np.unique(at)
 
 
-def search_index(index: DataFrame, block: Block, rarity: np.ndarray, gap: int, slop: int) -> DataFrame:
-    """For each document with a match, by its hash: ranges of words hit, items found, and items found near."""
-    by_length: dict[int, list[tuple[int, ...]]] = {}
-    for window in block.windows:
-        by_length.setdefault(len(window), []).append(window)
-    lists = [(n, np.array(w, np.int64), [block.windows[x] for x in w]) for n, w in by_length.items()]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {
-                    c: batch.column(c)[i].values.to_numpy(zero_copy_only=False)
-                    for c in ("k1", "k2", "n_words", "terms", "counts", "postings")
-                }
-                places = row["postings"].astype(np.int64)
-                begins = words.offsets(row["counts"])
-                slot = np.full(len(rarity), -1)
-                slot[row["terms"]] = np.arange(len(row["terms"]))
-                docs = words.offsets(row["n_words"] + gap)
-                hits: dict[int, tuple[set, set, set]] = {}
-                for length, windows, items in lists:
-                    for w in np.flatnonzero((slot[windows] >= 0).all(axis=1)):
-                        held = [places[begins[s] : begins[s + 1]] for s in slot[windows[w]]]
-                        exact, near = find(windows[w], rarity[windows[w]], held, slop)
-                        for kind, found in ((0, exact), (1, near if slop else exact[:0])):
-                            of = np.searchsorted(docs, found + slop, "right") - 1
-                            for doc, at in zip(of.tolist(), (found - docs[of]).tolist(), strict=True):
-                                spans, known, close = hits.setdefault(doc, (set(), set(), set()))
-                                if kind == 0:
-                                    spans.add((at, length))
-                                    known.update(items[w])
-                                else:
-                                    close.update(items[w])
-                if hits:
-                    found = [
-                        (int(row["k1"][doc]), int(row["k2"][doc]), *_merged(h[0]), sorted(h[1]), sorted(h[2]))
-                        for doc, h in hits.items()
-                    ]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, t) for x, t in zip(zip(*found, strict=True), _MATCH.types, strict=True)],
-                        schema=_MATCH,
-                    )
-
-    return index.select("k1", "k2", "n_words", "terms", "counts", "postings").mapInArrow(run, MATCH)
+class Slice:
+    """The documents and postings of one slice, and the matches of windows looked up in it."""
+
+    def __init__(self, number: int | None, gap: int, slop: int):
+        self.number, self.gap, self.slop = number, gap, slop
+        self.steps: dict[int, list[np.ndarray]] = defaultdict(list)
+        self.places: dict[int, np.ndarray] = {}
+
+    def list_documents(self, k1: list[int], k2: list[int], n_words: list[int]) -> None:
+        self.k1, self.k2 = np.array(k1, np.int64), np.array(k2, np.int64)
+        self.begins = words.offsets(np.array(n_words, np.int64) + self.gap)[:-1]
+
+    def postings(self, term: int) -> np.ndarray:
+        if term not in self.places:
+            self.places[term] = np.concatenate([np.cumsum(s, dtype=np.int64) for s in self.steps.pop(term)])
+        return self.places[term]
+
+    def look_up(self, w1: int, w2: int, ats: list[int], terms: list[int]) -> Iterator[pa.RecordBatch]:
+        if not all(t in self.steps or t in self.places for t in terms):
+            return
+        exact, near = find(ats, [self.postings(t) for t in terms], self.slop)
+        for found, close in ((exact, False), (near if self.slop else near[:0], True)):
+            if len(found):
+                doc = np.searchsorted(self.begins, found + self.slop, "right") - 1
+                columns = [
+                    self.k1[doc],
+                    self.k2[doc],
+                    np.full(len(doc), w1),
+                    np.full(len(doc), w2),
+                    found - self.begins[doc],
+                    np.full(len(doc), len(terms)),
+                    np.full(len(doc), close),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, _MATCH.types, strict=True)], schema=_MATCH
+                )
 
 
 _MATCH = pa.schema(
     [
-        ("k1", pa.int64()),
-        ("k2", pa.int64()),
-        *((c, pa.list_(pa.int32())) for c in ("starts", "lengths")),
-        *((c, pa.list_(pa.int64())) for c in ("items", "near")),
+        *((c, pa.int64()) for c in ("k1", "k2", "w1", "w2")),
+        ("start", pa.int32()),
+        ("length", pa.int32()),
+        ("near", pa.bool_()),
     ]
 )
 
 
-def _merged(spans: set[tuple[int, int]]) -> tuple[list[int], list[int]]:
-    """The spans as separate ranges, in order."""
-    starts, ends = [], []
-    for a, n in sorted(spans):
-        if ends and a <= ends[-1]:
-            ends[-1] = max(ends[-1], a + n)
-        else:
-            starts.append(a)
-            ends.append(a + n)
-    return starts, [e - s for s, e in zip(starts, ends, strict=True)]
+def search_index(index: DataFrame, windows: DataFrame, gap: int, slop: int) -> DataFrame:
+    """A row for each place of a document where a window begins, or is near if ``slop`` is given."""
+    wanted = windows.select(F.explode("terms").alias("term")).distinct()
+    postings = index.join(wanted, "term", "left_semi")
+    lookups = (
+        index.where("piece = 0")
+        .select("slice", "term")
+        .join(windows.withColumn("term", F.element_at("terms", 1)), "term")
+    )
+
+    def row(df: DataFrame, kind: int, *names: str) -> DataFrame:
+        kinds = {
+            "term": "long", "piece": "int", "steps": "array<int>", "k1": "array<long>", "k2": "array<long>",
+            "n_words": "array<long>", "w1": "long", "w2": "long", "ats": "array<int>", "terms": "array<long>",
+        }
+        columns = [F.col(c) if c in names else F.lit(None).cast(t).alias(c) for c, t in kinds.items()]
+        return df.select("slice", F.lit(kind).alias("kind"), *columns)
+
+    stream = (
+        row(index.where("term IS NULL"), 0, "k1", "k2", "n_words")
+        .unionByName(row(postings, 1, "term", "piece", "steps"))
+        .unionByName(row(lookups, 2, "w1", "w2", "ats", "terms"))
+        .repartition("slice")
+        .sortWithinPartitions("slice", "kind", "term", "piece")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = Slice(None, gap, slop)
+        for batch in batches:
+            numbers, kinds = batch.column("slice").to_pylist(), batch.column("kind").to_numpy()
+            cuts = [0, *(np.flatnonzero((np.diff(numbers) != 0) | (np.diff(kinds) != 0)) + 1).tolist(), len(kinds)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if a == b:
+                    continue
+                if numbers[a] != at.number:
+                    at = Slice(numbers[a], gap, slop)
+                part = {c: batch.column(c).slice(a, b - a) for c in batch.schema.names}
+                if kinds[a] == 0:
+                    at.list_documents(*(part[c][0].as_py() for c in ("k1", "k2", "n_words")))
+                elif kinds[a] == 1:
+                    ends = part["steps"].offsets.to_numpy()
+                    values = part["steps"].values.to_numpy()
+                    for term, i, j in zip(part["term"].to_pylist(), ends.tolist(), ends[1:].tolist(), strict=False):
+                        at.steps[term].append(values[i:j])
+                else:
+                    found: list[pa.RecordBatch] = []
+                    for lookup in zip(*(part[c].to_pylist() for c in ("w1", "w2", "ats", "terms")), strict=True):
+                        found.extend(at.look_up(*lookup))
+                    if found:
+                        yield from pa.Table.from_batches(found, _MATCH).combine_chunks().to_batches()
+
+    return small_batches(stream).mapInArrow(run, MATCH)
+
+
+def _words_in(spans: Column) -> Column:
+    """How many words ranges of start and length cover together; the ranges are in order."""
+    zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
+
+    def add(acc: Column, span: Column) -> Column:
+        end = span["start"] + span["length"]
+        new = F.greatest(end - F.greatest(acc["end"], span["start"]), F.lit(0))
+        return F.struct(F.greatest(acc["end"], end).alias("end"), (acc["n"] + new).alias("n"))
+
+    return F.aggregate(spans, zero, add, lambda acc: acc["n"])
 
 
 def contamination(
@@ -210,7 +297,7 @@ def contamination(
     benchmark: DataFrame,
     window: int = 10,
     slop: int = 0,
-    block_words: int = 500_000,
+    slice_bytes: int = words.SLICE_BYTES,
     doc_id: str = "doc_id",
     text: str = "text",
     item_id: str = "item_id",
@@ -225,9 +312,10 @@ def contamination(
     the phrase would have them; it is empty without ``slop``. Missing texts have
     no words; items without words or id take no part; items that repeat count once;
     rows that repeat, or miss their id, are judged one by one. Other columns are
-    not read. Empty tables on either side give no hits. Matches are joined to documents by
-    128 bits of hash of id and text, so it does not matter whether rows come in the same
-    order each time they are read.
+    not read. Empty tables on either side give no hits. A slice has ``slice_bytes`` of
+    text, or one longer document. Terms are told apart by 64 bits of hash, windows and
+    rows by 128. Both tables are read once for their words, so it does not matter whether
+    rows come in the same order each time they are read.
     """
     items = benchmark.select(
         F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")
@@ -239,45 +327,35 @@ def contamination(
         *(k.alias(n) for k, n in zip(keys, ("k1", "k2"), strict=True)),
     )
     gap = window + 2 * slop + 1
-    known, matches = None, None
-    for number, block in enumerate(blocks(items, window, block_words)):
-        if number and not block.windows:
-            break
-        index, index_path = staged(build_index(lean, block.terms, gap), "positions")
-        if known is None:
-            zipped = F.arrays_zip("doc_id", "k1", "k2", "n_words")
-            known, _ = staged(index.select(F.explode(zipped).alias("x")).select("x.*"), "position-docs")
-        # A row per term of the block, which bounds them.
-        counts = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("x")).groupBy(
-            F.col("x.terms").alias("term")
-        )
-        rarity = np.zeros(len(block.terms), np.int64)
-        for row in counts.agg(F.sum("x.counts").alias("n")).collect():
-            rarity[row["term"]] = row["n"]
-        found, _ = staged(search_index(index, block, rarity, gap, slop), "position-matches")
-        matches = dropped(found if matches is None else matches.unionByName(found), index_path)
-
-    span = F.arrays_zip(F.flatten(F.collect_list("starts")), F.flatten(F.collect_list("lengths")))
-    # A block gives equal rows equal matches: one of each is enough, and no copies meet in a group.
-    merged = matches.distinct().groupBy("k1", "k2").agg(
-        span.alias("spans"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"),
-    )
-    places = F.flatten(
-        F.transform("spans", lambda x: F.sequence(x["0"], x["0"] + x["1"] - 1))
-    )
+    index, _ = staged(build_index(lean, gap, slice_bytes), "positions")
+    w1, w2 = digest128(F.col("terms"), salt="window")
+    asked, _ = staged(item_windows(items, window).select("item_id", "terms", w1.alias("w1"), w2.alias("w2")), "position-items")
+    windows, _ = staged(by_rarity(asked.dropDuplicates(["w1", "w2"]), index), "position-windows")
+    matches, _ = staged(search_index(index, windows, gap, slop), "position-matches")
+
+    # Equal rows give equal matches: one of each is enough, and no copies meet in a group.
+    spans = matches.where("NOT near").select("k1", "k2", "start", "length").distinct().groupBy("k1", "k2")
+    hit = spans.agg(_words_in(F.array_sort(F.collect_list(F.struct("start", "length")))).alias("n_hit"))
+    members = asked.select("w1", "w2", "item_id").distinct()
+    found = matches.select("k1", "k2", "w1", "w2", "near").distinct().join(members, ["w1", "w2"])
+
+    def ids(of: str) -> Column:
+        return F.collect_set(F.when(F.expr(of), F.col("item_id").cast("string")))
+
+    named = found.groupBy("k1", "k2").agg(ids("NOT near").alias("items"), ids("near").alias("near_items"))
+    zipped = F.arrays_zip("doc_id", "k1", "k2", "n_words")
+    known = index.where("term IS NULL").select(F.explode(zipped).alias("x")).select("x.*")
+    merged = named.join(hit, ["k1", "k2"], "left")
 
-    def as_text(ids: str):
-        texts = F.transform(F.coalesce(ids, F.array().cast("array<long>")), lambda x: x.cast("string"))
-        return F.array_sort(texts)
+    def in_order(names: str) -> Column:
+        return F.array_sort(F.coalesce(names, F.array().cast("array<string>"))).alias(names)
 
     return known.join(merged, ["k1", "k2"], "left").select(
         "doc_id",
         F.col("n_words").cast("long").alias("n_words"),
-        F.coalesce(F.size(F.array_distinct(places)), F.lit(0)).cast("long").alias("n_hit"),
-        as_text("items").alias("items"),
-        as_text("near").alias("near_items"),
+        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        in_order("items"),
+        in_order("near_items"),
         "k1",
         "k2",
     )

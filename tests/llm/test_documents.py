@@ -117,6 +117,13 @@ def test_sketch_loses_no_repeat(spark):
     assert sort(substring_dedup.remove_repeats(df).collect()) == sort(brute.substring_dedup(rows))
 
 
+def test_the_largest_id_is_an_id(spark):
+    top, text = (1 << 63) - 1, " ".join(f"w{i}" for i in range(20))
+    df = spark.createDataFrame([(top, text), (None, text), (4, text + " end")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeats(df).collect()}
+    assert got == {top: 20, None: 20, 4: 0}
+
+
 def test_shards(messy, nothing):
     df, rows, _ = messy
     for n in (1, 4, 16):
@@ -249,8 +256,8 @@ def test_budget_is_refined_to_a_document(spark):
 
 def test_contamination(messy, spark):
     df, rows, _ = messy
-    for slop, block in ((0, 500_000), (2, 5)):
-        found = decontamination.contamination(df, items(spark), slop=slop, block_words=block)
+    for slop, size in ((0, 4 << 20), (2, 60)):
+        found = decontamination.contamination(df, items(spark), slop=slop, slice_bytes=size)
         got = found.drop("k1", "k2").collect()
         want = [(*r[:3], r[3], r[4]) for r in brute.contamination(rows, ITEMS, slop=slop)]
         assert sort(got) == sort(want)
@@ -260,6 +267,27 @@ def test_contamination(messy, spark):
     assert sort(clean.select("doc_id", "text").collect()) == sort(r for r in rows if r not in bad)
 
 
+def test_postings_of_a_frequent_term(spark):
+    """A term of several rows of postings, met across the border of two of them."""
+    n = 2 * decontamination.PIECE + 50
+    docs = spark.createDataFrame([(1, "a " * n + "b c"), (2, "b " * n), (3, "a b")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "A " * 10), (8, "a " * 9 + "B"), (9, "b c")], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in decontamination.contamination(docs, bench).collect()}
+    assert got == {1: (n + 2, n + 2, ["7", "8", "9"]), 2: (n, 0, []), 3: (2, 0, [])}
+
+
+def test_the_benchmark_stays_in_spark(messy, spark, monkeypatch):
+    """The driver fetches no rows of either table."""
+    df, _, _ = messy
+
+    def refuse(*_):
+        raise AssertionError("fetched")
+
+    for name in ("collect", "toLocalIterator", "first", "head", "take", "toPandas", "toArrow"):
+        monkeypatch.setattr(type(df), name, refuse)
+    decontamination.contamination(df, items(spark), window=3)
+
+
 def test_rows_may_come_in_another_order_each_time(spark):
     def in_another_order(batches):
         for batch in batches:
@@ -275,9 +303,9 @@ def test_rows_may_come_in_another_order_each_time(spark):
         in_another_order, "doc_id long, text string"
     )
     want = sort(r[:4] for r in brute.contamination(rows, bench))
-    for block in (20, 500_000):
+    for size in (100, 4 << 20):
         found = decontamination.contamination(
-            docs, spark.createDataFrame(bench, "item_id long, text string"), block_words=block
+            docs, spark.createDataFrame(bench, "item_id long, text string"), slice_bytes=size
         )
         assert sort(r[:4] for r in found.select("doc_id", "n_words", "n_hit", "items").collect()) == want
 
