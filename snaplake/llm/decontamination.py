@@ -36,7 +36,7 @@ WINDOWS = 4096
 
 INDEX = (
     "slice long, term long, piece int, n int, steps array<int>, "
-    "doc_id array<long>, k1 array<long>, k2 array<long>, n_words array<long>"
+    "docs array<struct<doc_id: long, k1: long, k2: long, n_words: long>>"
 )
 MATCH = "k1 long, k2 long, w1 long, w2 long, start int, length int, near boolean"
 
@@ -78,6 +78,7 @@ def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
 
 def build_index(docs: DataFrame, gap: int, slice_bytes: int = words.SLICE_BYTES) -> DataFrame:
     """Postings of all words, as steps from place to place; a row without term lists a slice's documents."""
+    about = pa.struct([(c, pa.int64()) for c in ("doc_id", "k1", "k2", "n_words")])
     schema = pa.schema(
         [
             ("slice", pa.int64()),
@@ -85,7 +86,7 @@ def build_index(docs: DataFrame, gap: int, slice_bytes: int = words.SLICE_BYTES)
             ("piece", pa.int32()),
             ("n", pa.int32()),
             ("steps", pa.list_(pa.int32())),
-            *((c, pa.list_(pa.int64())) for c in ("doc_id", "k1", "k2", "n_words")),
+            ("docs", pa.list_(about)),
         ]
     )
 
@@ -119,13 +120,8 @@ def build_index(docs: DataFrame, gap: int, slice_bytes: int = words.SLICE_BYTES)
                 "n": pa.array(np.diff(ends), pa.int32()),
                 "steps": _lists(ends, steps, pa.int32()),
             }
-            listed = {
-                "slice": [number],
-                "doc_id": [batch.column("doc_id").to_pylist()],
-                "k1": [batch.column("k1").to_pylist()],
-                "k2": [batch.column("k2").to_pylist()],
-                "n_words": [sizes],
-            }
+            each = [batch.column(c) for c in ("doc_id", "k1", "k2")] + [pa.array(sizes)]
+            listed = {"slice": [number], "docs": [pa.StructArray.from_arrays(each, fields=list(about)).to_pylist()]}
             for row, size in ((posted, rows), (listed, 1)):
                 columns = [
                     pa.array(row[f.name], f.type) if f.name in row else pa.nulls(size, f.type) for f in schema
@@ -155,26 +151,31 @@ def by_rarity(windows: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def find(offsets: list[int], postings: list[np.ndarray], slop: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where a window begins, word for word, and where all its terms lie within ``slop`` places of that.
+    """Where a window begins, word for word, and where all its terms lie within ``slop`` places of that
+    (nowhere without ``slop``).
 
     Offsets in the window and the postings there are given from the rarest term on.
     """
     at = postings[0] - offsets[0]
-    exact = np.ones(len(at), bool)
-    if slop:
-        shifts = np.arange(-slop, slop + 1)
-        exact = np.tile(shifts == 0, len(at))
-        at = np.repeat(at, len(shifts)) + np.tile(shifts, len(at))
+    if not slop:
+        for offset, held in zip(offsets[1:], postings[1:], strict=True):
+            place = np.searchsorted(held[:-1], at + offset)
+            at = at[held[place] == at + offset]
+            if not len(at):
+                break
+        return at, at[:0]
+    shifts = np.arange(-slop, slop + 1)
+    exact = np.tile(shifts == 0, len(at))
+    at = np.repeat(at, len(shifts)) + np.tile(shifts, len(at))
     for offset, held in zip(offsets[1:], postings[1:], strict=True):
-        if not len(at):
-            break
         lows = np.searchsorted(held, at + (offset - slop))
         near = held[np.minimum(lows, len(held) - 1)] <= at + (offset + slop)
         near &= lows < len(held)
-        if slop:
-            same = np.searchsorted(held, at + offset)
-            exact &= held[np.minimum(same, len(held) - 1)] == at + offset
+        same = np.searchsorted(held, at + offset)
+        exact &= held[np.minimum(same, len(held) - 1)] == at + offset
         at, exact = at[near], exact[near]
+        if not len(at):
+            break
     return np.unique(at[exact]), np.unique(at)
 
 
@@ -186,34 +187,29 @@ class Slice:
         self.steps: dict[int, list[np.ndarray]] = defaultdict(list)
         self.places: dict[int, np.ndarray] = {}
 
-    def list_documents(self, k1: list[int], k2: list[int], n_words: list[int]) -> None:
-        self.k1, self.k2 = np.array(k1, np.int64), np.array(k2, np.int64)
-        self.begins = words.offsets(np.array(n_words, np.int64) + self.gap)[:-1]
+    def list_documents(self, docs: list[dict]) -> None:
+        self.k1, self.k2, sizes = (np.array([d[c] for d in docs], np.int64) for c in ("k1", "k2", "n_words"))
+        self.begins = words.offsets(sizes + self.gap)[:-1]
 
     def postings(self, term: int) -> np.ndarray:
         if term not in self.places:
             self.places[term] = np.concatenate([np.cumsum(s, dtype=np.int64) for s in self.steps.pop(term)])
         return self.places[term]
 
-    def look_up(self, w1: int, w2: int, ats: list[int], terms: list[int]) -> Iterator[pa.RecordBatch]:
+    def look_up(self, ats: list[int], terms: list[int]) -> tuple[np.ndarray, np.ndarray] | None:
         if not all(t in self.steps or t in self.places for t in terms):
-            return
-        exact, near = find(ats, [self.postings(t) for t in terms], self.slop)
-        for found, close in ((exact, False), (near if self.slop else near[:0], True)):
-            if len(found):
-                doc = np.searchsorted(self.begins, found + self.slop, "right") - 1
-                columns = [
-                    self.k1[doc],
-                    self.k2[doc],
-                    np.full(len(doc), w1),
-                    np.full(len(doc), w2),
-                    found - self.begins[doc],
-                    np.full(len(doc), len(terms)),
-                    np.full(len(doc), close),
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, _MATCH.types, strict=True)], schema=_MATCH
-                )
+            return None
+        return find(ats, [self.postings(t) for t in terms], self.slop)
+
+    def matches(self, found: list[tuple[int, int, int, bool, np.ndarray]]) -> pa.RecordBatch:
+        """Places where windows were found, as places of documents."""
+        counts = [len(f[-1]) for f in found]
+        at = np.concatenate([f[-1] for f in found])
+        doc = np.searchsorted(self.begins, at + self.slop, "right") - 1
+        w1, w2, length, near = (np.repeat(x, counts) for x in list(zip(*found, strict=True))[:-1])
+        columns = self.k1[doc], self.k2[doc], w1, w2, at - self.begins[doc], length, near
+        arrays = [pa.array(c, t) for c, t in zip(columns, _MATCH.types, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, schema=_MATCH)
 
 
 _MATCH = pa.schema(
@@ -231,21 +227,21 @@ def search_index(index: DataFrame, windows: DataFrame, gap: int, slop: int) -> D
     wanted = windows.select(F.explode("terms").alias("term")).distinct()
     postings = index.join(wanted, "term", "left_semi")
     lookups = (
-        index.where("piece = 0")
+        postings.where("piece = 0")
         .select("slice", "term")
         .join(windows.withColumn("term", F.element_at("terms", 1)), "term")
     )
 
     def row(df: DataFrame, kind: int, *names: str) -> DataFrame:
         kinds = {
-            "term": "long", "piece": "int", "steps": "array<int>", "k1": "array<long>", "k2": "array<long>",
-            "n_words": "array<long>", "w1": "long", "w2": "long", "ats": "array<int>", "terms": "array<long>",
+            "term": "long", "piece": "int", "steps": "array<int>", "docs": index.schema["docs"].dataType,
+            "w1": "long", "w2": "long", "ats": "array<int>", "terms": "array<long>",
         }
         columns = [F.col(c) if c in names else F.lit(None).cast(t).alias(c) for c, t in kinds.items()]
         return df.select("slice", F.lit(kind).alias("kind"), *columns)
 
     stream = (
-        row(index.where("term IS NULL"), 0, "k1", "k2", "n_words")
+        row(index.where("term IS NULL"), 0, "docs")
         .unionByName(row(postings, 1, "term", "piece", "steps"))
         .unionByName(row(lookups, 2, "w1", "w2", "ats", "terms"))
         .repartition("slice")
@@ -264,18 +260,25 @@ def search_index(index: DataFrame, windows: DataFrame, gap: int, slop: int) -> D
                     at = Slice(numbers[a], gap, slop)
                 part = {c: batch.column(c).slice(a, b - a) for c in batch.schema.names}
                 if kinds[a] == 0:
-                    at.list_documents(*(part[c][0].as_py() for c in ("k1", "k2", "n_words")))
+                    at.list_documents(part["docs"][0].as_py())
                 elif kinds[a] == 1:
                     ends = part["steps"].offsets.to_numpy()
                     values = part["steps"].values.to_numpy()
                     for term, i, j in zip(part["term"].to_pylist(), ends.tolist(), ends[1:].tolist(), strict=False):
                         at.steps[term].append(values[i:j])
                 else:
-                    found: list[pa.RecordBatch] = []
-                    for lookup in zip(*(part[c].to_pylist() for c in ("w1", "w2", "ats", "terms")), strict=True):
-                        found.extend(at.look_up(*lookup))
+                    found = []
+                    ends = part["terms"].offsets.to_numpy().tolist()
+                    first = ends[0]
+                    ats, terms = (part[c].flatten().to_numpy().tolist() for c in ("ats", "terms"))
+                    keys = zip(part["w1"].to_pylist(), part["w2"].to_pylist(), strict=True)
+                    for (w1, w2), i, j in zip(keys, ends, ends[1:], strict=False):
+                        i, j = i - first, j - first
+                        for places, near in zip(at.look_up(ats[i:j], terms[i:j]) or (), (False, True), strict=False):
+                            if len(places):
+                                found.append((w1, w2, j - i, near, places))
                     if found:
-                        yield from pa.Table.from_batches(found, _MATCH).combine_chunks().to_batches()
+                        yield at.matches(found)
 
     return small_batches(stream).mapInArrow(run, MATCH)
 
@@ -343,8 +346,7 @@ def contamination(
         return F.collect_set(F.when(F.expr(of), F.col("item_id").cast("string")))
 
     named = found.groupBy("k1", "k2").agg(ids("NOT near").alias("items"), ids("near").alias("near_items"))
-    zipped = F.arrays_zip("doc_id", "k1", "k2", "n_words")
-    known = index.where("term IS NULL").select(F.explode(zipped).alias("x")).select("x.*")
+    known = index.where("term IS NULL").selectExpr("inline(docs)")
     merged = named.join(hit, ["k1", "k2"], "left")
 
     def in_order(names: str) -> Column:
