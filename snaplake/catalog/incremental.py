@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from snaplake.catalog import query, table
 from snaplake.functions.dates import day_snapshot, month_snapshot
+from snaplake.operators.dedup import dedup_dual_key
 from snaplake.operators.enrich import lookup_first
-from snaplake.operators.resume import past_cursor
+from snaplake.operators.resume import past_cursor, resume_anti
 from snaplake.session import shared_dir
 from snaplake.sources import tables
 from snaplake.sources.key_index import KeyIndex
+from snaplake.sources.seen import SeenKeys
 from snaplake.streaming import backfill, ingest
 
 
@@ -150,3 +152,63 @@ def resume_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     for of in (1995, 1996, 1997):
         index.add(orders.where(year == of))
     return index.unseen(orders.where(year >= 1998)).select("o_orderkey", "o_custkey")
+
+
+@query(
+    """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+WHERE year(l_shipdate) >= 1998 AND (l_partkey, l_suppkey) NOT IN (
+  SELECT (l_partkey, l_suppkey) FROM lineitem WHERE year(l_shipdate) BETWEEN 1995 AND 1997)
+"""
+)
+def resume_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of parts and suppliers that no line of three earlier years has. Filters by
+    year let most of them pass; only the rest is asked of the stored years."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    year, on = F.year("l_shipdate"), ["l_partkey", "l_suppkey"]
+    keys = lines.select(*on).schema
+    seen = SeenKeys(spark, shared_dir(spark, "seen"), keys, blocks=256)
+    for of in (1995, 1996, 1997):
+        seen.add(lines.where(year == of), str(of))
+    stored = lines.where(year.between(1995, 1997))
+    fresh = seen.unseen(lines.where(year >= 1998), lambda rows: resume_anti(rows, stored, on), ["1995", "1996", "1997"])
+    return fresh.drop("l_shipdate")
+
+
+@query(
+    """
+WITH crawl AS (
+  SELECT o_orderkey, o_custkey % 97 AS shop, o_clerk AS name,
+         CASE WHEN o_orderkey % 7 = 0 THEN 'N/A' ELSE 'u' || o_custkey END AS link, year(o_orderdate) < 1998 AS is_stored
+  FROM (SELECT *, o_orderstatus || '|' || CAST(floor(o_totalprice / 100) AS BIGINT) AS o_clerk FROM orders)),
+stored AS (SELECT * FROM crawl WHERE is_stored),
+s1 AS (SELECT *, row_number() OVER (PARTITION BY shop, name ORDER BY o_orderkey) AS rn FROM crawl c
+  WHERE NOT is_stored AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.shop = c.shop AND s.name = c.name)),
+s2 AS (SELECT *, row_number() OVER (PARTITION BY shop, link ORDER BY o_orderkey) AS rn2 FROM s1 c
+  WHERE rn = 1 AND NOT EXISTS (
+    SELECT 1 FROM stored s WHERE s.link <> 'N/A' AND s.shop = c.shop AND s.link = c.link))
+SELECT o_orderkey, shop, name, link FROM s2 WHERE rn2 = 1 OR link = 'N/A'
+"""
+)
+def resume_dual_key_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The greedy resume by name, then link, with a filter before each of the two exact joins."""
+    orders = table(spark, sf_dir, "orders")
+    crawl = orders.select(
+        "o_orderkey",
+        (F.col("o_custkey") % 97).alias("shop"),
+        F.concat("o_orderstatus", F.lit("|"), F.floor(F.col("o_totalprice") / 100).cast("string")).alias("name"),
+        F.when(F.col("o_orderkey") % 7 == 0, "N/A").otherwise(F.concat(F.lit("u"), "o_custkey")).alias("link"),
+        (F.year("o_orderdate") < 1998).alias("_stored"),
+    )
+    stored = crawl.where(F.col("_stored")).drop("_stored")
+    linked = stored.where(F.col("link") != "N/A")
+    new = crawl.where(~F.col("_stored")).drop("_stored")
+    unseen = []
+    for on, of in ((["shop", "name"], stored), (["shop", "link"], linked)):
+        seen = SeenKeys(spark, shared_dir(spark, "seen"), of.select(*on).schema, blocks=64)
+        seen.add(of, "N/A")
+        unseen.append(lambda rows, seen=seen, on=on, of=of: seen.unseen(rows, lambda some: resume_anti(some, of, on)))
+    by_name, by_link = unseen
+    # A stored link drops all rows that share it, so it may be asked for after the first of them is found.
+    kept = dedup_dual_key(by_name(new), None, ["shop"], "name", "link", "o_orderkey", exempt_na=True)
+    return by_link(kept)
