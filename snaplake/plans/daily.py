@@ -1,17 +1,20 @@
 """One snapshot, from landed pages to tables and sheets.
 
-Each table is written before the next one is computed, and later steps read it
-back. So no step repeats the page parsing of an earlier one, nothing depends on
+Each table is written before those that need it are computed, and later steps read it
+back; tables that do not need each other are loaded at the same time. So no step repeats the page parsing of an earlier one, nothing depends on
 an executor staying alive, and a run that starts again finds what is stored and
 goes on from there.
 """
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +90,10 @@ class _Day:
         self.saved: dict[str, Saved] = {}
         self.loaded = _Watch()
 
+    def apart(self) -> _Day:
+        """The same day for a step that runs beside others: rows loaded are its own, ``saved`` is shared."""
+        return copy.copy(self)
+
     def path(self, table: str) -> str:
         return tables.table_path(self.warehouse, table)
 
@@ -118,6 +125,15 @@ class _Day:
         self.save(table, new, lambda rows, added: tables.append_rows(added(rows), self.path(table)))
 
 
+def _together(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Run steps that read nothing the others write at the same time, so that jobs too
+    small for the cluster do not wait for each other. All end before an error is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        done = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in done:
+        step.result()
+
+
 def run(
     spark: SparkSession,
     landing: str,
@@ -150,10 +166,18 @@ def run(
         return landed.where(F.col("kind") == kind)
 
     with _all_counted(spark):
-        _load_shops(day, pages)
-        _load_products(day, pages)
+        _together(
+            spark,
+            lambda: _load_shops(day.apart(), pages),
+            lambda: _load_shop_creators(day.apart(), pages),
+            lambda: _load_products(day.apart(), pages),
+        )
         _load_creators(day, pages)
-        _load_content(day, pages, live_host)
+        _together(
+            spark,
+            lambda: _load_videos(day.apart(), pages),
+            lambda: _load_lives(day.apart(), pages, live_host),
+        )
     if book is not None:
         write_book(spark, warehouse, book, snapshot)
     return day.saved
@@ -171,6 +195,8 @@ def _load_shops(day: _Day, pages: Callable[[str], DataFrame]) -> None:
     parsed = conform(records.shops(pages("shop")), SCHEMAS["shop_metrics"])
     day.append("shop_metrics", _new_rows(day, "shop_metrics", parsed, ["shop_link"]))
 
+
+def _load_shop_creators(day: _Day, pages: Callable[[str], DataFrame]) -> None:
     key = ["shop_link", "creator_name"]
     rows = records.with_row(pages("shop_creator"), "shop_creator")
     rows = rows.withColumn("creator_name", F.col("row.name"))
@@ -210,7 +236,7 @@ def _load_creators(day: _Day, pages: Callable[[str], DataFrame]) -> None:
     day.append("product_creators", _with_product_link(day, kept.drop("product_link")))
 
 
-def _load_content(day: _Day, pages: Callable[[str], DataFrame], live_host: str) -> None:
+def _load_videos(day: _Day, pages: Callable[[str], DataFrame]) -> None:
     stored = day.seeds("videos")
     rows = records.with_row(pages("video"), "video")
     rows = rows.withColumn("item_title", F.col("row.name"))
@@ -218,6 +244,8 @@ def _load_content(day: _Day, pages: Callable[[str], DataFrame], live_host: str)
     kept = dedup_dual_key(day.load(parsed), stored, PRODUCT, "item_title", "link", SEQ, exempt_na=True)
     _append_content(day, "videos", kept)
 
+
+def _load_lives(day: _Day, pages: Callable[[str], DataFrame], live_host: str) -> None:
     # Livestreams have no key of their own; a page taken once is not taken again.
     rows = records.with_row(pages("live"), "live")
     rows = rows.withColumn("item_title", F.col("row.name"))

@@ -310,3 +310,20 @@ def test_no_markup_is_shuffled(spark, places, conf):
         scans = [x for x in lines if "kind#" in x and "PartitionFilters" in x]
         assert scans and all("date_filter" in x.split("PartitionFilters")[1] for x in scans)
         assert text.count("ArrowEvalPython") <= 2
+
+
+def test_a_table_that_fails_does_not_keep_others_from_being_loaded(spark, places, monkeypatch):
+    """Tables are loaded beside each other; a run that starts again does the rest."""
+    from snaplake.plans import records
+
+    def broken(*_):
+        raise OSError("gave way")
+
+    land(spark, places["landing"], landed())
+    with monkeypatch.context() as patch:
+        patch.setattr(records, "shop_creators", broken)
+        with pytest.raises(OSError):
+            load(spark, places)
+    assert len(rows(spark, places, "product_dim", "product_name")) == 2
+    saved = load(spark, places)
+    assert {t: int(n) for t, n in saved.items() if n} == {"shop_creators": 1, "product_creators": 2, "videos": 3, "lives": 2}
