@@ -36,9 +36,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder all executors can reach, for tables that cut lineage.
 
     The cluster names the parent in ``spark.checkpoint.dir``; a session without
-    that setting uses its warehouse folder, which is shared as well.
+    that setting uses its warehouse folder. On a cluster that must not be a folder of one machine.
     """
-    parent = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
+    parent = spark.conf.get(CHECKPOINT_DIR, None)
+    if not parent:
+        parent = spark.conf.get("spark.sql.warehouse.dir")
+        local = spark.conf.get("spark.master", "local").startswith("local")
+        if not local and parent.startswith("file:"):
+            raise ValueError(f"{CHECKPOINT_DIR} is not set, and {parent} may be a folder of one machine")
     return f"{parent.rstrip('/')}/snaplake/{name}-{uuid.uuid4().hex}"
 
 
